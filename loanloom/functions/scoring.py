@@ -1,4 +1,4 @@
-"""Column expressions on scores and metrics.
+"""SQL expressions on scores and metrics.
 
 Scores are probabilities kept to six decimals, so a score is also an integer
 number of millionths. Histograms use that integer: it groups exactly, and a group
@@ -7,39 +7,34 @@ has at most 1,000,001 distinct scores however many rows it has.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 from loanloom.config import DEFAULTS, Settings
 
 MICRO = 1_000_000
 
 
-def to_micro(score: Column) -> Column:
-    return F.round(score * MICRO).cast("bigint")
+def to_micro(score: str) -> str:
+    return f"CAST(round({score} * {MICRO}) AS BIGINT)"
 
 
-def from_micro(micro: Column) -> Column:
-    return micro / F.lit(float(MICRO))
+def from_micro(micro: str) -> str:
+    return f"({micro} / {float(MICRO)!r}D)"
 
 
-def decide(score: Column, threshold: float | Column) -> Column:
-    cut = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
-    return (score >= cut).cast("int")
+def decide(score: str, threshold: float | str) -> str:
+    cut = threshold if isinstance(threshold, str) else f"{float(threshold)!r}D"
+    return f"CAST({score} >= {cut} AS INT)"
 
 
-def psi_band(psi: Column, settings: Settings = DEFAULTS) -> Column:
+def psi_band(psi: str, settings: Settings = DEFAULTS) -> str:
     return (
-        F.when(psi < settings.psi_watch, "green")
-        .when(psi < settings.psi_retrain, "amber")
-        .when(psi.isNotNull(), "red")
+        f"CASE WHEN {psi} < {settings.psi_watch!r}D THEN 'green' "
+        f"WHEN {psi} < {settings.psi_retrain!r}D THEN 'amber' "
+        f"WHEN {psi} IS NOT NULL THEN 'red' END"
     )
 
 
-def psi_of_shares(actual: list[Column], expected: list[Column], floor: float = 1e-6) -> Column:
-    """Population stability index of two binned distributions, empty bins floored."""
-    total = F.lit(0.0)
-    for a, e in zip(actual, expected):
-        a, e = F.greatest(a, F.lit(floor)), F.greatest(e, F.lit(floor))
-        total = total + (a - e) * F.ln(a / e)
-    return total
+def psi_of_shares(actual: str, expected: str, floor: str = "1e-6D") -> str:
+    """Population stability index of two arrays of bin shares, empty bins floored."""
+    a, e = f"greatest(a, {floor})", f"greatest(e, {floor})"
+    terms = f"zip_with({actual}, {expected}, (a, e) -> ({a} - {e}) * ln({a} / {e}))"
+    return f"aggregate({terms}, 0D, (s, x) -> s + x)"

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from loanloom.functions.cleaning import quoted
 from loanloom.operators.skew import HOT_ROWS, HOT_SHARE, salted_join
 
 
@@ -26,30 +26,26 @@ def asof_join(
     their match with a skew-safe equi-join.
     """
     payload = [c for c in right.columns if c != by]
-    snapshots = right.where(F.col(by).isNotNull() & F.col(right_on).isNotNull()).select(
-        by,
-        F.col(right_on).alias("_t"),
-        F.lit(0).alias("_side"),
-        F.struct(*payload).alias("_row"),
+    row = f"struct({', '.join(quoted(c) for c in payload)}) AS _row"
+    key = quoted(by)
+    snapshots = right.where(f"{key} IS NOT NULL AND {quoted(right_on)} IS NOT NULL").selectExpr(
+        key, f"{quoted(right_on)} AS _t", "0 AS _side", row
     )
     asked = (
-        left.where(F.col(by).isNotNull() & F.col(left_on).isNotNull())
-        .select(by, F.col(left_on).alias("_t"))
+        left.where(f"{key} IS NOT NULL AND {quoted(left_on)} IS NOT NULL")
+        .selectExpr(key, f"{quoted(left_on)} AS _t")
         .distinct()
-        .select(
-            by,
-            "_t",
-            F.lit(1).alias("_side"),
-            F.lit(None).cast(snapshots.schema["_row"].dataType).alias("_row"),
-        )
+        .selectExpr(key, "_t", "1 AS _side")
+        .withColumn("_row", F.lit(None).cast(snapshots.schema["_row"].dataType))
     )
-    so_far = (
-        W.partitionBy(by).orderBy("_t", "_side").rowsBetween(W.unboundedPreceding, W.currentRow)
+    carried = (
+        f"last(_row, true) OVER (PARTITION BY {key} ORDER BY _t, _side "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _row"
     )
     matched = (
         snapshots.unionByName(asked)
-        .withColumn("_row", F.last("_row", ignorenulls=True).over(so_far))
+        .selectExpr(key, "_t", "_side", carried)
         .where("_side = 1 AND _row IS NOT NULL")
-        .select(by, F.col("_t").alias(left_on), *[F.col(f"_row.`{c}`").alias(c) for c in payload])
+        .selectExpr(key, f"_t AS {quoted(left_on)}", "_row.*")
     )
     return salted_join(left, matched, [by, left_on], "left", share=share, min_rows=min_rows)

@@ -2,31 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from loanloom.config import DEFAULTS, Settings
-from loanloom.functions.dates import month_start
-
-
-def months_between(first: Column, last: Column) -> Column:
-    """Array of month starts from ``first`` to ``last``, both included."""
-    return F.sequence(month_start(first), last.try_cast("date"), F.expr("interval 1 month"))
+from loanloom.functions.dates import date_literal, month_start
 
 
 def month_calendar(bounds: DataFrame, first: str, last: str) -> DataFrame:
-    """One row per month between the bounds of each row of ``bounds``."""
-    return bounds.select(F.explode(months_between(F.col(first), F.col(last))).alias("month"))
+    """One row per month start from ``first`` to ``last``, both included, per row of ``bounds``."""
+    months = f"sequence({month_start(first)}, try_cast({last} AS DATE), INTERVAL 1 MONTH)"
+    return bounds.selectExpr(f"explode({months}) AS month")
 
 
 def run_months(
     spark: SparkSession, run_date: str | None, settings: Settings = DEFAULTS
 ) -> DataFrame:
     """Months a run covers: the month of ``run_date`` if configured, else the whole span."""
-    span = spark.range(1).select(
-        F.lit(settings.snapshot_start).alias("first"), F.lit(settings.snapshot_end).alias("last")
+    span = spark.range(1).selectExpr(
+        f"'{settings.snapshot_start}' AS first", f"'{settings.snapshot_end}' AS last"
     )
     months = month_calendar(span, "first", "last")
     if run_date is None:
         return months
-    return months.where(F.col("month") == month_start(F.lit(run_date[:10])))
+    return months.where(f"month = {month_start(date_literal(run_date))}")

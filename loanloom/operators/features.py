@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,14 +18,15 @@ from loanloom.config import (
     Settings,
 )
 from loanloom.functions.cleaning import (
-    bounded_ratio,
     clean_category,
     clean_numeric,
     clip,
     count_list_items,
     credit_history_months,
+    quoted,
+    ratio,
 )
-from loanloom.functions.dates import origination_month, split_name, window_bounds
+from loanloom.functions.dates import date_literal, origination_month, split_name, window_bounds
 from loanloom.operators.asof import asof_join
 from loanloom.operators.skew import HOT_ROWS, HOT_SHARE, latest_per, salted_join
 
@@ -33,7 +34,7 @@ from loanloom.operators.skew import HOT_ROWS, HOT_SHARE, latest_per, salted_join
 def clickstream_agg(clicks: DataFrame) -> DataFrame:
     """Mean of each click feature per customer and snapshot; NULLs are skipped."""
     return clicks.groupBy("Customer_ID", "snapshot_date").agg(
-        *[F.avg(c).alias(f"{c}_mean") for c in CLICK_FEATURES if c in clicks.columns]
+        *[F.expr(f"avg({c}) AS {c}_mean") for c in CLICK_FEATURES if c in clicks.columns]
     )
 
 
@@ -49,37 +50,44 @@ def feature_store(attributes: DataFrame, financials: DataFrame, clicks: DataFram
     )
 
 
+# Derived ratios, bounded to [0, 5].
+RATIOS = {
+    "emi_to_salary": ("Total_EMI_per_month", "Monthly_Inhand_Salary"),
+    "debt_to_income": ("Outstanding_Debt", "Annual_Income"),
+}
+
+
 def prepare_features(df: DataFrame, null_label: str = "Unknown") -> DataFrame:
     """Clean every known column that is present and add the derived features.
 
-    The expressions are composed column by column and end in two projections: the
-    cleaned columns, then the ratios that read them.
+    Three stacked projections: clean, then clip and divide, then clip the ratios.
+    A value used twice is a column of the projection below, so generated code
+    computes it once and stays small.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
-    cleaned: dict[str, Column] = {}
-    for name in DIRTY_NUMERIC:
-        if name in types:
-            value = clean_numeric(F.col(name), types[name])
-            cleaned[name] = clip(value, *CLIP_BOUNDS[name]) if name in CLIP_BOUNDS else value
-    for name in CATEGORICAL:
-        if name in types:
-            cleaned[name] = clean_category(F.col(name).cast("string"), null_label)
-    out = [cleaned[c].alias(c) if c in cleaned else F.col(f"`{c}`") for c in df.columns]
+    cleaned = {c: clean_numeric(c, types[c]) for c in DIRTY_NUMERIC if c in types}
+    cleaned |= {
+        c: clean_category(f"CAST({c} AS STRING)", null_label) for c in CATEGORICAL if c in types
+    }
+    names = [c for c in df.columns if c != "Credit_History_Age"]
+    out = [f"{cleaned[c]} AS {quoted(c)}" if c in cleaned else quoted(c) for c in names]
     if "Credit_History_Age" in types:
-        out = [c for c, name in zip(out, df.columns) if name != "Credit_History_Age"]
-        out.append(credit_history_months(F.col("Credit_History_Age")).alias("credit_history_months"))
+        out.append(f"{credit_history_months('Credit_History_Age')} AS credit_history_months")
+        names.append("credit_history_months")
     if "Type_of_Loan" in types:
-        out.append(count_list_items(F.col("Type_of_Loan")).alias("num_loan_types"))
-    ratios = {
-        name: bounded_ratio(F.col(top), F.col(bottom))
-        for name, top, bottom in (
-            ("emi_to_salary", "Total_EMI_per_month", "Monthly_Inhand_Salary"),
-            ("debt_to_income", "Outstanding_Debt", "Annual_Income"),
-        )
-        if top in types and bottom in types
-    }
-    prepared = df.select(*out)
-    return prepared.withColumns(ratios) if ratios else prepared
+        out.append(f"{count_list_items('Type_of_Loan')} AS num_loan_types")
+        names.append("num_loan_types")
+    clipped = [
+        f"{clip(c, *CLIP_BOUNDS[c])} AS {c}" if c in CLIP_BOUNDS else quoted(c) for c in names
+    ]
+    ratios = {r: pair for r, pair in RATIOS.items() if set(pair) <= set(types)}
+    divided = [f"{ratio(*pair)} AS {r}" for r, pair in ratios.items()]
+    prepared = df.selectExpr(*out).selectExpr(*clipped, *divided)
+    if not ratios:
+        return prepared
+    return prepared.selectExpr(
+        *[quoted(c) for c in names], *[f"{clip(r, 0, 5)} AS {r}" for r in ratios]
+    )
 
 
 def feature_columns(df: DataFrame) -> tuple[list[str], list[str]]:
@@ -98,9 +106,11 @@ def feature_align(
     df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = ()
 ) -> DataFrame:
     """Add the expected feature columns that are absent, as NULL."""
-    wanted = {**{c: "double" for c in numeric}, **{c: "string" for c in categorical}}
-    missing = {c: F.lit(None).cast(t) for c, t in wanted.items() if c not in df.columns}
-    return df.withColumns(missing) if missing else df
+    wanted = {**{c: "DOUBLE" for c in numeric}, **{c: "STRING" for c in categorical}}
+    missing = [
+        f"CAST(NULL AS {t}) AS {quoted(c)}" for c, t in wanted.items() if c not in df.columns
+    ]
+    return df.selectExpr("*", *missing)
 
 
 def _snapshots(features: DataFrame) -> DataFrame:
@@ -153,24 +163,19 @@ def modelling_table(
     ``latest_then_filter`` takes each customer's newest snapshot and drops the loans
     it postdates; ``asof`` looks up the snapshot that was current at origination.
     """
-    dated = labels.withColumn(
-        "orig_month", origination_month(F.col("snapshot_date"), settings.mob_label)
-    )
+    matured = origination_month("snapshot_date", settings.mob_label)
+    dated = labels.selectExpr("*", f"{matured} AS orig_month")
     ready = prepare_features if prepare else (lambda df: df)
     if mode == "asof":
         joined = ready(asof_features(dated, features))
-        return joined.where(F.col("feat_snapshot").isNotNull())
+        return joined.where("feat_snapshot IS NOT NULL")
     if mode != "latest_then_filter":
         raise ValueError(f"unknown mode {mode!r}")
     joined = salted_join(dated, ready(latest_features(features)), ["Customer_ID"], "inner")
-    return joined.where(F.col("feat_snapshot") <= F.col("orig_month"))
+    return joined.where("feat_snapshot <= orig_month")
 
 
-def window_split(
-    df: DataFrame, bounds: Mapping[str, Column] | None = None, month: str | None = None,
-    settings: Settings = DEFAULTS,
-) -> DataFrame:
+def window_split(df: DataFrame, month: str, settings: Settings = DEFAULTS) -> DataFrame:
     """Add ``split`` (train, test, oot or NULL) by origination month."""
-    if bounds is None:
-        bounds = window_bounds(F.lit(month).cast("date"), settings)
-    return df.withColumn("split", split_name(F.col("orig_month"), bounds))
+    bounds = window_bounds(date_literal(month), settings)
+    return df.selectExpr("*", f"{split_name('orig_month', bounds)} AS split")

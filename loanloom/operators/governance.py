@@ -4,66 +4,66 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanloom.config import DEFAULTS, Settings
-from loanloom.functions.dates import months_diff
+from loanloom.functions.dates import date_literal, months_diff
 from loanloom.functions.scoring import psi_band
+from loanloom.operators.metrics import exprs
 from loanloom.operators.skew import latest_per
 
 
-def decision(
-    month: Column, train_date: Column, auc: Column, psi: Column, settings: Settings = DEFAULTS
-) -> Column:
-    """Struct (action, reason): what training to run in ``month``; the first rule wins.
+def decision_reason(
+    month: str, train_date: str, auc: str, psi: str, settings: Settings = DEFAULTS
+) -> str:
+    """Why to train or not in ``month``; the first rule that holds wins.
 
     ``train_date`` is NULL while there is no champion; ``auc`` and ``psi`` are the
-    latest known values. ``action`` is NULL when nothing is to be done.
+    latest known values.
     """
-    anchor = F.lit(settings.anchor).cast("date")
+    return (
+        f"CASE WHEN {month} < {date_literal(settings.anchor)} THEN 'before_anchor' "
+        f"WHEN {train_date} IS NULL THEN 'bootstrap_initial' "
+        f"WHEN {months_diff(train_date, month)} >= {settings.refresh_months} THEN 'scheduled_cadence' "
+        f"WHEN {auc} < {settings.auc_floor!r}D THEN 'trigger_auc_below_floor' "
+        f"WHEN {psi} >= {settings.psi_retrain!r}D THEN 'trigger_psi_breach' "
+        "ELSE 'within_sla' END"
+    )
 
-    def outcome(action: str | None, reason: str) -> Column:
-        return F.struct(
-            F.lit(action).cast("string").alias("action"), F.lit(reason).alias("reason")
-        )
 
+def decision_action(reason: str) -> str:
+    """Training that follows from a reason; NULL when nothing is to be done."""
     return (
-        F.when(month < anchor, outcome(None, "before_anchor"))
-        .when(train_date.isNull(), outcome("bootstrap", "bootstrap_initial"))
-        .when(
-            months_diff(train_date, month) >= settings.refresh_months,
-            outcome("refresh", "scheduled_cadence"),
-        )
-        .when(auc < settings.auc_floor, outcome("refresh", "trigger_auc_below_floor"))
-        .when(psi >= settings.psi_retrain, outcome("refresh", "trigger_psi_breach"))
-        .otherwise(outcome(None, "within_sla"))
+        f"CASE WHEN {reason} = 'bootstrap_initial' THEN 'bootstrap' "
+        f"WHEN {reason} NOT IN ('before_anchor', 'within_sla') THEN 'refresh' END"
     )
 
 
-def latest_metrics(monitoring: DataFrame) -> DataFrame:
-    """One row: the newest non-NULL AUC and PSI of the monitoring table."""
+def _decided(df: DataFrame, settings: Settings) -> DataFrame:
+    reason = decision_reason("month", "train_date", "auc", "psi", settings)
+    return df.selectExpr("*", f"{reason} AS reason").selectExpr(
+        "*", f"{decision_action('reason')} AS action"
+    )
 
-    def newest(metric: str) -> Column:
-        known = F.when(F.col(metric).isNotNull(), F.struct("month", "model_version", metric))
-        return F.max(known)[metric].alias(metric)
 
-    return monitoring.agg(newest("auc"), newest("psi"))
+def latest_metrics(monitoring: DataFrame) -> DataFrame:
+    """One row: the newest non-NULL AUC and PSI of the monitoring table."""
+    newest = [
+        f"max(CASE WHEN {m} IS NOT NULL THEN struct(month, model_version, {m}) END).{m} AS {m}"
+        for m in ("auc", "psi")
+    ]
+    return monitoring.agg(*exprs(*newest))
 
 
 def decide_training_action(
     monitoring: DataFrame, month: str, train_date: str | None, settings: Settings = DEFAULTS
 ) -> DataFrame:
     """One row (action, reason) for one month, from the current monitoring table."""
-    d = decision(
-        F.lit(month).cast("date"),
-        F.lit(train_date).cast("date"),
-        F.col("auc"),
-        F.col("psi"),
-        settings,
+    one = latest_metrics(monitoring).selectExpr(
+        "*", f"{date_literal(month)} AS month", f"{date_literal(train_date)} AS train_date"
     )
-    return latest_metrics(monitoring).select(d.alias("d")).select("d.*")
+    return _decided(one, settings).select("action", "reason")
 
 
 def governance_decisions(
@@ -74,18 +74,17 @@ def governance_decisions(
     A month sees the metrics of earlier cohorts only. Both inputs have a row per
     calendar month and version, so the ordered window is over calendar months.
     """
-    monthly = monitoring.groupBy("month").agg(
-        F.max(F.when(F.col("auc").isNotNull(), F.struct("model_version", "auc")))["auc"].alias("auc"),
-        F.max(F.when(F.col("psi").isNotNull(), F.struct("model_version", "psi")))["psi"].alias("psi"),
-    )
-    earlier = W.orderBy("month").rowsBetween(W.unboundedPreceding, -1)
-    known = months.join(monthly, "month", "left").withColumns(
-        {c: F.last(c, ignorenulls=True).over(earlier) for c in ("auc", "psi")}
-    )
-    d = decision(F.col("month"), F.col("train_date"), F.col("auc"), F.col("psi"), settings)
-    return known.select("month", "train_date", "auc", "psi", d.alias("d")).select(
-        "month", "train_date", "auc", "psi", "d.action", "d.reason"
+    newest = [
+        f"max(CASE WHEN {m} IS NOT NULL THEN struct(model_version, {m}) END).{m} AS {m}"
+        for m in ("auc", "psi")
+    ]
+    earlier = "(ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    known = months.join(monitoring.groupBy("month").agg(*exprs(*newest)), "month", "left").selectExpr(
+        "month",
+        "train_date",
+        *[f"last({m}, true) OVER {earlier} AS {m}" for m in ("auc", "psi")],
     )
+    return _decided(known, settings)
 
 
 def registry_upsert(registry: DataFrame, rows: DataFrame) -> DataFrame:
@@ -94,46 +93,40 @@ def registry_upsert(registry: DataFrame, rows: DataFrame) -> DataFrame:
     return latest_per(both, ["model_version"], ["seq"])
 
 
-def champion_select(
-    split_metrics: DataFrame, by: Sequence[str] = (), settings: Settings = DEFAULTS
-) -> DataFrame:
-    """The winning candidate: best out-of-time AUC, else test AUC, else zero.
+def candidate_scores(split_metrics: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Per candidate its AUC per split and the value it is ranked by.
 
-    Takes (by..., model, ordinal, split, auc); the first candidate wins ties.
+    Out-of-time AUC ranks first, then test AUC, then zero. The gate looks at
+    ``measured``, where an out-of-time AUC of exactly zero counts as missing.
     """
-    board = candidate_scores(split_metrics, by)
-    best = F.max(F.struct("ranking_auc", (-F.col("ordinal")).alias("o"), "model", "measured"))
-    picked = board.groupBy(*by).agg(best.alias("b"))
-    return picked.select(
-        *by,
-        F.col("b.model").alias("model"),
-        F.col("b.ranking_auc").alias("ranking_auc"),
-        promoted(F.col("b.measured"), settings).alias("promoted"),
+    splits = [
+        f"max(CASE WHEN split = '{s}' THEN auc END) AS auc_{s}" for s in ("train", "test", "oot")
+    ]
+    return (
+        split_metrics.groupBy(*by, "model", "ordinal")
+        .agg(*exprs(*splits))
+        .selectExpr(
+            "*",
+            "coalesce(auc_oot, auc_test, 0D) AS ranking_auc",
+            "coalesce(nullif(auc_oot, 0D), auc_test) AS measured",
+        )
     )
 
 
-def promoted(selected_auc: Column, settings: Settings = DEFAULTS) -> Column:
-    """Whether the winner passes the gate; a missing or zero AUC never does."""
-    return F.coalesce(selected_auc >= settings.promotion_gate_auc, F.lit(False))
-
-
-def candidate_scores(split_metrics: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Per candidate its test and out-of-time AUC and the value it is ranked by."""
-
-    def auc_of(split: str) -> Column:
-        return F.max(F.when(F.col("split") == split, F.col("auc")))
+def champion_select(
+    split_metrics: DataFrame, by: Sequence[str] = (), settings: Settings = DEFAULTS
+) -> DataFrame:
+    """The winning candidate per ``by`` and whether it passes the gate.
 
-    scored = split_metrics.groupBy(*by, "model", "ordinal").agg(
-        auc_of("train").alias("auc_train"),
-        auc_of("test").alias("auc_test"),
-        auc_of("oot").alias("auc_oot"),
-    )
-    return scored.withColumns(
-        {
-            "ranking_auc": F.coalesce("auc_oot", "auc_test", F.lit(0.0)),
-            # An out-of-time AUC of exactly zero counts as missing here.
-            "measured": F.coalesce(F.nullif(F.col("auc_oot"), F.lit(0.0)), F.col("auc_test")),
-        }
+    Takes (by..., model, ordinal, split, auc); the first candidate wins ties.
+    """
+    best = "max(struct(ranking_auc, -ordinal AS first, model, measured)) AS b"
+    gate = f"coalesce(b.measured >= {settings.promotion_gate_auc!r}D, false) AS promoted"
+    return (
+        candidate_scores(split_metrics, by)
+        .groupBy(*by)
+        .agg(F.expr(best))
+        .selectExpr(*by, "b.model AS model", "b.ranking_auc AS ranking_auc", gate)
     )
 
 
@@ -141,35 +134,35 @@ def leaderboard(
     split_metrics: DataFrame, by: Sequence[str] = (), settings: Settings = DEFAULTS
 ) -> DataFrame:
     """Every candidate with its AUC, whether it was selected and whether it passes the gate."""
-    board = candidate_scores(split_metrics, by)
-    order = W.partitionBy(*by) if by else W.partitionBy(F.lit(1))  # a few candidates
-    rank = F.row_number().over(order.orderBy(F.col("ranking_auc").desc(), "ordinal"))
-    return board.withColumn("_rn", rank).select(
+    group = f"PARTITION BY {', '.join(by)} " if by else ""  # a few candidates per group
+    first = f"row_number() OVER ({group}ORDER BY ranking_auc DESC, ordinal) = 1 AS selected"
+    return candidate_scores(split_metrics, by).selectExpr(
         *by,
         "model",
         "ordinal",
-        F.col("ranking_auc").alias("auc"),
-        (F.col("_rn") == 1).alias("selected"),
-        (F.col("ranking_auc") >= settings.promotion_gate_auc).alias("passes_gate"),
+        "ranking_auc AS auc",
+        first,
+        f"ranking_auc >= {settings.promotion_gate_auc!r}D AS passes_gate",
     )
 
 
 def model_eras(monitoring: DataFrame) -> DataFrame:
     """First and last cohort month of each model version."""
     return (
-        monitoring.where(F.col("model_version").isNotNull())
+        monitoring.where("model_version IS NOT NULL")
         .groupBy("model_version")
-        .agg(F.min("month").alias("first_month"), F.max("month").alias("last_month"))
+        .agg(*exprs("min(month) AS first_month", "max(month) AS last_month"))
     )
 
 
 def training_events(registry: DataFrame) -> DataFrame:
     """Training dates with their kind, for marking on a time axis."""
-    kind = F.when(F.col("action") == "bootstrap", "bootstrap").otherwise("refresh")
-    return registry.select("train_date", "model_version", kind.alias("event"))
+    kind = "CASE WHEN action = 'bootstrap' THEN 'bootstrap' ELSE 'refresh' END AS event"
+    return registry.selectExpr("train_date", "model_version", kind)
 
 
 def psi_series(monitoring: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    return monitoring.where(F.col("psi").isNotNull()).select(
-        "month", "model_version", "psi", psi_band(F.col("psi"), settings).alias("band")
+    band = psi_band("psi", settings)
+    return monitoring.where("psi IS NOT NULL").selectExpr(
+        "month", "model_version", "psi", f"{band} AS band"
     )

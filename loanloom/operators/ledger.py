@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanloom.config import DEFAULTS, PII, Settings
-from loanloom.functions.cleaning import clean_numeric, to_int
+from loanloom.functions.cleaning import clean_numeric, quoted, to_int
+from loanloom.functions.dates import date_literal
 from loanloom.schemas import ATTRIBUTE_TYPES, CLICKSTREAM_TYPES, FINANCIAL_TYPES, LOAN_TYPES
 
 # Numeric loan columns whose NULLs become zero once delinquency is derived.
@@ -21,18 +22,16 @@ ZERO_FILLED = (
     "paid_amt",
     "overdue_amt",
     "balance",
-    "mob",
-    "installments_missed",
 )
 
 
 def snapshot_slice(df: DataFrame, month: str) -> DataFrame:
     """Rows of one monthly snapshot; a partition filter on partitioned stores."""
-    return df.where(F.col("snapshot_date") == F.lit(month).cast("date"))
+    return df.where(f"snapshot_date = {date_literal(month)}")
 
 
 def snapshot_counts(df: DataFrame) -> DataFrame:
-    return df.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("row_count"))
+    return df.groupBy("snapshot_date").agg(F.expr("count(*) AS row_count"))
 
 
 def enforce_types(df: DataFrame, types: Mapping[str, T.DataType], clean: bool = False) -> DataFrame:
@@ -42,19 +41,20 @@ def enforce_types(df: DataFrame, types: Mapping[str, T.DataType], clean: bool =
     that a value such as ``52312.68_`` survives.
     """
     out = []
-    for field in df.schema.fields:
-        c, wanted = F.col(f"`{field.name}`"), types.get(field.name)
-        if wanted is None or wanted == field.dataType:
+    for f in df.schema.fields:
+        c, wanted = quoted(f.name), types.get(f.name)
+        if wanted is None or wanted == f.dataType:
             out.append(c)
             continue
+        expr = c
         if clean and isinstance(wanted, (T.IntegerType, T.FloatType)):
-            c = clean_numeric(c, field.dataType)
+            expr = clean_numeric(c, f.dataType)
         if isinstance(wanted, T.IntegerType):
-            c = to_int(c)
+            expr = to_int(expr)
         else:
-            c = c.try_cast(wanted)
-        out.append(c.alias(field.name))
-    return df.select(*out)
+            expr = f"try_cast({expr} AS {wanted.simpleString()})"
+        out.append(f"{expr} AS {c}")
+    return df.selectExpr(*out)
 
 
 def typed_loans(raw: DataFrame) -> DataFrame:
@@ -80,42 +80,54 @@ def drop_pii(df: DataFrame) -> DataFrame:
 
 
 def delinquency(loans: DataFrame) -> DataFrame:
-    """Month on book, missed instalments, first missed date and days past due."""
-    missed = F.coalesce(
-        F.ceil(F.try_divide(F.col("overdue_amt"), F.col("due_amt"))).try_cast("int"), F.lit(0)
+    """Month on book, missed instalments, first missed date and days past due.
+
+    Missed instalments come from the amounts as given; only then do NULL numbers
+    become zero. Overdue with nothing due counts as no missed instalment.
+    """
+    missed = "coalesce(try_cast(ceil(try_divide(overdue_amt, due_amt)) AS INT), 0)"
+    filled = [
+        f"coalesce({quoted(f.name)}, CAST(0 AS {f.dataType.simpleString()})) AS {quoted(f.name)}"
+        if f.name in ZERO_FILLED
+        else quoted(f.name)
+        for f in loans.schema.fields
+    ]
+    first_missed = (
+        "CASE WHEN installments_missed > 0 THEN add_months(snapshot_date, -installments_missed) END"
     )
-    derived = loans.withColumns(
-        {"mob": F.col("installment_num").cast("int"), "installments_missed": missed}
-    ).fillna(0, subset=[c for c in ZERO_FILLED if c in {*loans.columns, "mob"}])
-    first_missed = F.when(
-        F.col("installments_missed") > 0,
-        F.add_months("snapshot_date", -F.col("installments_missed")),
+    return (
+        loans.selectExpr(
+            *filled,
+            "coalesce(CAST(installment_num AS INT), 0) AS mob",
+            f"{missed} AS installments_missed",
+        )
+        .selectExpr("*", f"{first_missed} AS first_missed_date")
+        .selectExpr(
+            "*",
+            "CASE WHEN overdue_amt > 0 THEN datediff(snapshot_date, first_missed_date) ELSE 0 END AS dpd",
+        )
     )
-    dpd = F.when(F.col("overdue_amt") > 0, F.datediff("snapshot_date", first_missed)).otherwise(0)
-    return derived.withColumns({"first_missed_date": first_missed, "dpd": dpd.cast("int")})
 
 
 def label_store(loans: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Default label of each loan at its maturity month."""
-    return loans.where(F.col("mob") == settings.mob_label).select(
+    return loans.where(f"mob = {settings.mob_label}").selectExpr(
         "loan_id",
         "Customer_ID",
-        F.when(F.col("dpd") >= settings.dpd_threshold, 1).otherwise(0).alias("label"),
-        F.lit(settings.label_def).alias("label_def"),
+        f"CASE WHEN dpd >= {settings.dpd_threshold} THEN 1 ELSE 0 END AS label",
+        f"'{settings.label_def}' AS label_def",
         "snapshot_date",
     )
 
 
 def applications(loans: DataFrame) -> DataFrame:
     """Loans in their first month; the snapshot is the origination month."""
-    return loans.where(F.col("mob") == 0).select(
-        "loan_id", "Customer_ID", F.col("snapshot_date").alias("orig_month")
-    )
+    return loans.where("mob = 0").selectExpr("loan_id", "Customer_ID", "snapshot_date AS orig_month")
 
 
 def ledger_issues(loans: DataFrame) -> DataFrame:
     """Per snapshot, rows overdue with nothing due: they get no missed instalments."""
-    odd = (F.col("overdue_amt") > 0) & (F.coalesce(F.col("due_amt"), F.lit(0.0)) == 0)
     return loans.groupBy("snapshot_date").agg(
-        F.count(F.lit(1)).alias("row_count"), F.count_if(odd).alias("overdue_without_due")
+        F.expr("count(*) AS row_count"),
+        F.expr("count_if(overdue_amt > 0 AND coalesce(due_amt, 0) = 0) AS overdue_without_due"),
     )

@@ -8,13 +8,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanloom.functions.scoring import MICRO, from_micro, psi_of_shares, to_micro
 from loanloom.operators.stats import interpolate, rank_pair
 
+BINS = 10
+
+
+def exprs(*texts: str) -> list:
+    return [F.expr(t) for t in texts]
+
 
 def score_counts(
     df: DataFrame,
@@ -27,49 +32,46 @@ def score_counts(
 
     ``bad`` and ``good`` count labelled rows only; ``n`` counts all rows.
     """
-    aggs = [F.count(F.lit(1)).alias("n")]
+    aggs = ["count(*) AS n"]
     if label:
-        y = F.col(label).cast("int")
-        aggs += [F.count_if(y == 1).alias("bad"), F.count_if(y == 0).alias("good")]
+        aggs += [
+            f"count_if(CAST({label} AS INT) = 1) AS bad",
+            f"count_if(CAST({label} AS INT) = 0) AS good",
+        ]
     if prediction:
-        aggs.append(F.sum(F.col(prediction).cast("bigint")).alias("positive"))
-    return df.groupBy(*by, to_micro(F.col(score)).alias("micro")).agg(*aggs)
+        aggs.append(f"sum(CAST({prediction} AS BIGINT)) AS positive")
+    return df.groupBy(*by, F.expr(f"{to_micro(score)} AS micro")).agg(*exprs(*aggs))
 
 
 def cumulate(hist: DataFrame, by: Sequence[str]) -> DataFrame:
     """Add ``cum_bad`` and ``cum_good`` from the highest score down, and the totals."""
-    group = W.partitionBy(*by)
-    down = group.orderBy(F.col("micro").desc()).rowsBetween(W.unboundedPreceding, W.currentRow)
-    return hist.where(F.col("micro").isNotNull()).withColumns(
-        {
-            "cum_bad": F.sum("bad").over(down),
-            "cum_good": F.sum("good").over(down),
-            "all_bad": F.sum("bad").over(group),
-            "all_good": F.sum("good").over(group),
-        }
+    group = f"PARTITION BY {', '.join(by)}"
+    down = f"({group} ORDER BY micro DESC)"
+    return hist.where("micro IS NOT NULL").selectExpr(
+        "*",
+        f"sum(bad) OVER {down} AS cum_bad",
+        f"sum(good) OVER {down} AS cum_good",
+        f"sum(bad) OVER ({group}) AS all_bad",
+        f"sum(good) OVER ({group}) AS all_good",
     )
 
 
-def ranking_aggs() -> dict[str, Column]:
+def ranking_aggs() -> dict[str, str]:
     """AUC, average precision and KS as aggregates over ``cumulate`` rows.
 
     Area: a bad row beats every good row scored lower and half of those scored
     equal. Average precision is the step-wise sum of precision over recall gains.
     KS compares the two distributions at distinct scores.
     """
-    bad, good = F.col("bad").cast("double"), F.col("good").cast("double")
-    all_bad, all_good = F.max("all_bad"), F.max("all_good")
-    both = (all_bad > 0) & (all_good > 0)
-    not_beaten = F.sum(bad * (F.col("cum_good") - good / 2))
-    precision = F.col("cum_bad") / F.nullif(F.col("cum_bad") + F.col("cum_good"), F.lit(0))
-    gap = F.abs(
-        F.col("cum_bad") / F.greatest(F.col("all_bad"), F.lit(1))
-        - F.col("cum_good") / F.greatest(F.col("all_good"), F.lit(1))
-    )
+    both = "max(all_bad) > 0 AND max(all_good) > 0"
+    not_beaten = "sum(CAST(bad AS DOUBLE) * (cum_good - good / 2D))"
+    pairs = "(CAST(max(all_bad) AS DOUBLE) * max(all_good))"
+    precision = "sum(CASE WHEN bad > 0 THEN bad * (cum_bad / (cum_bad + cum_good)) END)"
+    gap = "abs(cum_bad / greatest(all_bad, 1) - cum_good / greatest(all_good, 1))"
     return {
-        "auc": F.when(both, 1 - not_beaten / (all_bad.cast("double") * all_good)),
-        "auc_pr": F.when(both, F.sum(F.when(bad > 0, bad * precision)) / all_bad),
-        "ks": F.when(both, F.max(gap)),
+        "auc": f"CASE WHEN {both} THEN 1 - {not_beaten} / {pairs} END",
+        "auc_pr": f"CASE WHEN {both} THEN {precision} / max(all_bad) END",
+        "ks": f"CASE WHEN {both} THEN max({gap}) END",
     }
 
 
@@ -78,23 +80,21 @@ def ranking_metrics(hist: DataFrame, by: Sequence[str], digits: int | None = 4)
 
     Groups with one class keep their bad rate and count; the rest is NULL.
     """
-    aggs = ranking_aggs()
-    labelled = F.sum("bad") + F.sum("good")
-    out = cumulate(hist, by).groupBy(*by).agg(
-        aggs["auc"].alias("auc"),
-        aggs["auc_pr"].alias("auc_pr"),
-        (2 * aggs["auc"] - 1).alias("gini"),
-        aggs["ks"].alias("ks"),
-        F.try_divide(F.sum("bad"), labelled).alias("bad_rate"),
-        labelled.alias("n"),
-    )
-    return rounded(out, ("auc", "auc_pr", "gini", "ks", "bad_rate"), digits)
+    bundle = [f"{e} AS {name}" for name, e in ranking_aggs().items()]
+    counts = ["sum(bad) AS bad", "sum(bad) + sum(good) AS n"]
+    out = cumulate(hist, by).groupBy(*by).agg(*exprs(*bundle, *counts))
+    values = {
+        "auc": "auc",
+        "auc_pr": "auc_pr",
+        "gini": "2 * auc - 1",
+        "ks": "ks",
+        "bad_rate": "try_divide(bad, n)",
+    }
+    return out.selectExpr(*by, *[f"{round_to(e, digits)} AS {c}" for c, e in values.items()], "n")
 
 
-def rounded(df: DataFrame, columns: Sequence[str], digits: int | None) -> DataFrame:
-    if digits is None:
-        return df
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+def round_to(expr: str, digits: int | None) -> str:
+    return expr if digits is None else f"round({expr}, {digits})"
 
 
 def recall_threshold(
@@ -104,109 +104,99 @@ def recall_threshold(
 
     The lowest threshold wins ties; 0.5 when the group has one class only.
     """
-    recall = F.col("cum_bad") / F.nullif(F.col("all_bad"), F.lit(0))
-    precision = F.col("cum_bad") / F.nullif(F.col("cum_bad") + F.col("cum_good"), F.lit(0))
-    labelled = (F.col("bad") + F.col("good")) > 0
-    both = (F.col("all_bad") > 0) & (F.col("all_good") > 0)
-    pick = F.max(
-        F.when(
-            both & labelled & (recall >= target),
-            F.struct(precision.alias("precision"), (-F.col("micro")).alias("neg")),
-        )
+    reached = (
+        "all_bad > 0 AND all_good > 0 AND bad + good > 0 "
+        f"AND cum_bad / all_bad >= {float(target)!r}D"
     )
-    out = (
-        cumulate(hist, by)
-        .groupBy(*by)
-        .agg(pick.alias("pick"))
-        .select(*by, F.coalesce(from_micro(-F.col("pick.neg")), F.lit(0.5)).alias("threshold"))
+    candidate = "struct(cum_bad / (cum_bad + cum_good) AS precision, -micro AS neg)"
+    picked = cumulate(hist, by).groupBy(*by).agg(
+        F.expr(f"max(CASE WHEN {reached} THEN {candidate} END) AS pick")
     )
-    return rounded(out, ("threshold",), digits)
+    threshold = f"coalesce({from_micro('-pick.neg')}, 0.5D)"
+    return picked.selectExpr(*by, f"{round_to(threshold, digits)} AS threshold")
 
 
-def baseline_shape(baseline: DataFrame, by: str = "model_version", bins: int = 10) -> DataFrame:
+def baseline_shape(baseline: DataFrame, by: str = "model_version", bins: int = BINS) -> DataFrame:
     """Inner quantile edges (in millionths) and bin shares of each baseline histogram.
 
     One row per version: ``edges`` has ``bins - 1`` entries, ``expected`` has ``bins``.
+    An edge lies on the value at its rank or between it and the next one, so the rows
+    below it are known from the cumulative count there; no second pass bins the rows.
     """
-    hist = baseline.groupBy(by, "micro").agg(F.sum("n").alias("n"))
-    group = W.partitionBy(by)
-    up = group.orderBy("micro").rowsBetween(W.unboundedPreceding, W.currentRow)
-    cum = hist.withColumns({"upto": F.sum("n").over(up), "total": F.sum("n").over(group)})
-    probs = [i / bins for i in range(1, bins)]
-    at_rank = []
-    for i, p in enumerate(probs):
-        low, high, _ = rank_pair(F.col("total"), p)
-        at_rank += [
-            F.min(F.when(F.col("upto") > low, F.col("micro"))).alias(f"lo{i}"),
-            F.min(F.when(F.col("upto") > high, F.col("micro"))).alias(f"hi{i}"),
-        ]
-    ranks = cum.groupBy(by).agg(F.max("total").alias("total"), *at_rank)
-    edges = [
-        interpolate(F.col(f"lo{i}").cast("double"), F.col(f"hi{i}").cast("double"),
-                    rank_pair(F.col("total"), p)[2])
-        for i, p in enumerate(probs)
-    ]
-    shaped = ranks.select(by, "total", F.array(*edges).alias("edges"))
-    counted = hist.join(shaped, by).groupBy(by).agg(
-        F.first("edges").alias("edges"),
-        F.max("total").alias("total"),
-        *bin_counts(F.col("micro"), F.col("n"), F.col("edges"), bins),
+    cum = (
+        baseline.groupBy(by, "micro")
+        .agg(F.expr("sum(n) AS n"))
+        .selectExpr(
+            by,
+            "micro",
+            "n",
+            f"sum(n) OVER (PARTITION BY {by} ORDER BY micro) AS upto",
+            f"sum(n) OVER (PARTITION BY {by}) AS total",
+        )
     )
-    return counted.select(
-        by, "edges", F.array(*[F.col(f"bin{i}") / F.col("total") for i in range(bins)]).alias("expected")
+    found, edges, below = ["max(total) AS total"], [], []
+    for i in range(1, bins):
+        low, high, weight = rank_pair("total", i / bins)
+        point = "named_struct('v', CAST(micro AS DOUBLE), 'before', upto - n, 'upto', upto)"
+        found += [
+            f"min(CASE WHEN upto > {low} THEN {point} END) AS lo{i}",
+            f"min(CASE WHEN upto > {high} THEN CAST(micro AS DOUBLE) END) AS hi{i}",
+        ]
+        edges.append(interpolate(f"lo{i}.v", f"hi{i}", weight))
+        below.append(f"CASE WHEN {weight} > 0 AND hi{i} > lo{i}.v THEN lo{i}.upto ELSE lo{i}.before END")
+    steps = zip([*below, "total"], ["CAST(0 AS BIGINT)", *below])
+    shares = [f"(({upper}) - ({lower})) / total" for upper, lower in steps]
+    return (
+        cum.groupBy(by)
+        .agg(*exprs(*found))
+        .selectExpr(
+            by, f"array({', '.join(edges)}) AS edges", f"array({', '.join(shares)}) AS expected"
+        )
     )
 
 
-def bin_counts(micro: Column, n: Column, edges: Column, bins: int = 10) -> list[Column]:
-    """Conditional sums bin0, bin1, ...: bin i holds edge[i-1] <= score < edge[i].
+def bin_of(micro: str, edges: str, bins: int = BINS) -> str:
+    """Bin number from zero: how many edges are at or below the score; NULL without edges."""
+    return " + ".join(f"CAST({micro} >= {edges}[{i}] AS INT)" for i in range(bins - 1))
 
-    Plain sums per bin keep empty bins at zero, so no bin list has to be joined in.
-    """
-    out = []
-    for i in range(bins):
-        inside = F.lit(True)
-        if i > 0:
-            inside = inside & (micro >= edges[i - 1])
-        if i < bins - 1:
-            inside = inside & (micro < edges[i])
-        out.append(F.coalesce(F.sum(F.when(inside, n)), F.lit(0)).alias(f"bin{i}"))
-    return out
+
+def bin_counts(n: str = "n", bin_id: str = "bin", bins: int = BINS) -> str:
+    """Aggregate: array of rows per bin. Plain sums keep empty bins at zero, so no
+    list of bins has to be joined in."""
+    sums = [f"coalesce(sum(CASE WHEN {bin_id} = {i} THEN {n} END), 0)" for i in range(bins)]
+    return f"array({', '.join(sums)})"
 
 
 def with_baseline(
-    hist: DataFrame, baseline: DataFrame, production_version: str | None = None, bins: int = 10
+    hist: DataFrame, baseline: DataFrame, production_version: str | None = None, bins: int = BINS
 ) -> DataFrame:
-    """Attach ``edges`` and ``expected`` of the row's own version, else of production's.
+    """Attach ``bin`` and ``expected`` by the row's own version, else by production's.
 
     The baseline side has one row per model version. It carries no broadcast hint:
     Spark picks the join by its measured size.
     """
     shape = baseline_shape(baseline, bins=bins)
-    own = hist.join(shape, "model_version", "left")
-    if production_version is None:
-        return own
-    fallback = shape.where(F.col("model_version") == production_version).select(
-        F.col("model_version").alias("_fallback"),
-        F.col("edges").alias("_edges"),
-        F.col("expected").alias("_expected"),
-    )
-    return (
-        own.withColumn("_fallback", F.when(F.col("edges").isNull(), F.lit(production_version)))
-        .join(fallback, "_fallback", "left")
-        .withColumns(
-            {
-                "edges": F.coalesce("edges", "_edges"),
-                "expected": F.coalesce("expected", "_expected"),
-            }
+    joined = hist.join(shape, "model_version", "left")
+    if production_version is not None:
+        fallback = shape.where(F.col("model_version") == production_version).selectExpr(
+            "model_version AS _fallback", "edges AS _edges", "expected AS _expected"
         )
-        .drop("_fallback", "_edges", "_expected")
-    )
+        missing = F.when(F.col("edges").isNull(), F.lit(production_version))
+        joined = (
+            joined.withColumn("_fallback", missing)
+            .join(fallback, "_fallback", "left")
+            .selectExpr(
+                *hist.columns,
+                "coalesce(edges, _edges) AS edges",
+                "coalesce(expected, _expected) AS expected",
+            )
+        )
+    return joined.selectExpr(*hist.columns, "expected", f"{bin_of('micro', 'edges', bins)} AS bin")
 
 
-def psi_value(total: Column, expected: Column, bins: int = 10) -> Column:
-    """PSI from the aggregated bin0.. columns; NULL without a baseline or rows."""
-    actual = [F.col(f"bin{i}") / F.nullif(total, F.lit(0)) for i in range(bins)]
-    return F.when(expected.isNotNull(), psi_of_shares(actual, [expected[i] for i in range(bins)]))
+def psi_value(binned: str, total: str, expected: str) -> str:
+    """PSI from an array of rows per bin; NULL without a baseline."""
+    return psi_of_shares(f"transform({binned}, b -> b / {total})", expected)
 
 
 def psi_by_group(
@@ -215,21 +205,15 @@ def psi_by_group(
     by: Sequence[str],
     production_version: str | None = None,
     digits: int | None = 4,
-    bins: int = 10,
+    bins: int = BINS,
 ) -> DataFrame:
     """Population stability of each group's scores against its version's baseline."""
-    known = hist.where(F.col("micro").isNotNull())
-    out = (
-        with_baseline(known, baseline, production_version, bins)
-        .groupBy(*by)
-        .agg(
-            F.sum("n").alias("n"),
-            F.first("expected", ignorenulls=True).alias("expected"),
-            *bin_counts(F.col("micro"), F.col("n"), F.col("edges"), bins),
-        )
-        .select(*by, "n", psi_value(F.col("n"), F.col("expected"), bins).alias("psi"))
+    known = hist.where("micro IS NOT NULL")
+    binned = with_baseline(known, baseline, production_version, bins).groupBy(*by).agg(
+        *exprs("sum(n) AS n", "max(expected) AS expected", f"{bin_counts(bins=bins)} AS binned")
     )
-    return rounded(out, ("psi",), digits)
+    psi = round_to(psi_value("binned", "n", "expected"), digits)
+    return binned.selectExpr(*by, "n", f"{psi} AS psi")
 
 
 def score_histogram(hist: DataFrame, by: Sequence[str], bins: int = 25) -> DataFrame:
@@ -237,24 +221,28 @@ def score_histogram(hist: DataFrame, by: Sequence[str], bins: int = 25) -> DataF
 
     Only bins with rows are listed.
     """
-    inside = hist.where(F.col("micro").between(0, MICRO))
-    edge = F.col("micro") * bins
-    bin_id = F.least(F.floor(edge / MICRO) + 1, F.lit(bins)).cast("int")
-    binned = inside.groupBy(*by, bin_id.alias("bin")).agg(F.sum("n").alias("n"))
-    total = F.sum("n").over(W.partitionBy(*by))
-    return binned.select(*by, "bin", "n", (F.col("n") * bins / total).alias("density"))
+    bin_id = f"CAST(least((micro * {bins}) div {MICRO} + 1, {bins}) AS INT) AS bin"
+    binned = (
+        hist.where(f"micro BETWEEN 0 AND {MICRO}")
+        .groupBy(*by, F.expr(bin_id))
+        .agg(F.expr("sum(n) AS n"))
+    )
+    density = f"n * {bins} / sum(n) OVER (PARTITION BY {', '.join(by)}) AS density"
+    return binned.selectExpr(*by, "bin", "n", density)
 
 
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
     """Per class its rows, balanced weight n / (classes * rows) and the negative-to-positive ratio."""
-    counts = df.where(F.col(label).isNotNull()).groupBy(F.col(label).cast("int").alias("label"))
-    one = counts.agg(F.count(F.lit(1)).alias("n"))
-    both = W.partitionBy(F.lit(1))  # one row per class
-    zeros = F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).over(both)
-    ones = F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).over(both)
-    return one.select(
+    counts = (
+        df.where(f"{label} IS NOT NULL")
+        .groupBy(F.expr(f"CAST({label} AS INT) AS label"))
+        .agg(F.expr("count(*) AS n"))
+    )
+    # The window covers one row per class.
+    return counts.selectExpr(
         "label",
         "n",
-        (F.sum("n").over(both) / (F.count(F.lit(1)).over(both) * F.col("n"))).alias("balanced_weight"),
-        (zeros / F.greatest(ones, F.lit(1))).alias("scale_pos_weight"),
+        "sum(n) OVER () / (count(*) OVER () * n) AS balanced_weight",
+        "sum(CASE WHEN label = 0 THEN n ELSE 0 END) OVER () "
+        "/ greatest(sum(CASE WHEN label = 1 THEN n ELSE 0 END) OVER (), 1) AS scale_pos_weight",
     )

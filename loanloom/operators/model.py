@@ -9,10 +9,11 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanloom.config import DEFAULTS, Settings
+from loanloom.functions.cleaning import quoted
 from loanloom.functions.scoring import decide, to_micro
 from loanloom.operators.metrics import class_weights, ranking_metrics, recall_threshold, score_counts
 from loanloom.operators.stats import impute_stats, melt, modes, top_categories
@@ -84,10 +85,10 @@ class Preparation:
         out = {}
         for c, (median, mean, std) in self.numeric.items():
             scale = std if std > 0 else 1.0
-            value = f"coalesce(CAST(`{c}` AS DOUBLE), {median!r}D)"
+            value = f"coalesce(CAST({quoted(c)} AS DOUBLE), {median!r}D)"
             out[f"num_{c}"] = f"({value} - ({mean!r}D)) / {scale!r}D"
         for c, cat in self.categorical.items():
-            value = f"coalesce(`{c}`, {_text(cat.mode)})"
+            value = f"coalesce({quoted(c)}, {_text(cat.mode)})"
             for i, v in enumerate(cat.kept):
                 out[f"cat_{c}_{i}"] = f"CAST({value} = {_text(v)} AS DOUBLE)"
             listed = ", ".join(_text(v) for v in (cat.kept if cat.rare is None else cat.rare))
@@ -96,15 +97,13 @@ class Preparation:
                 out[f"cat_{c}_{INFREQUENT}"] = f"CAST({value} {test} ({listed}) AS DOUBLE)"
         return out
 
-    def columns(self) -> list[Column]:
-        return [F.expr(e).alias(name) for name, e in self.expressions().items()]
+    def columns(self) -> list[str]:
+        return [f"{e} AS {quoted(name)}" for name, e in self.expressions().items()]
 
     def stages(self) -> list:
-        made = self.expressions()
-        listed = ", ".join(f"{e} AS `{name}`" for name, e in made.items())
         return [
-            SQLTransformer(statement=f"SELECT *, {listed} FROM __THIS__"),
-            VectorAssembler(inputCols=list(made), outputCol="features"),
+            SQLTransformer(statement=f"SELECT *, {', '.join(self.columns())} FROM __THIS__"),
+            VectorAssembler(inputCols=list(self.expressions()), outputCol="features"),
         ]
 
 
@@ -207,18 +206,14 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df).select(*df.columns, F.round(probability, 6).alias("score"))
 
 
-def predictions(
-    scored: DataFrame, model_name: str, version: str | Column, threshold: float
-) -> DataFrame:
+def predictions(scored: DataFrame, model_name: str, version: str, threshold: float) -> DataFrame:
     """Scored applications as prediction rows with their provenance."""
-    version = version if isinstance(version, Column) else F.lit(version)
-    return scored.withColumns(
-        {
-            "prediction": decide(F.col("score"), threshold),
-            "model_name": F.lit(model_name),
-            "model_version": version,
-            "scored_at": F.current_timestamp(),
-        }
+    return scored.selectExpr(
+        "*",
+        f"{decide('score', threshold)} AS prediction",
+        f"{_text(model_name)} AS model_name",
+        f"{_text(version)} AS model_version",
+        "current_timestamp() AS scored_at",
     ).select(*PREDICTION_COLUMNS)
 
 
@@ -237,7 +232,7 @@ def split_threshold(
 def baseline_counts(scored: DataFrame) -> DataFrame:
     """Training score baseline per version, kept as a histogram."""
     return (
-        scored.where(F.col("score").isNotNull())
-        .groupBy("model_version", to_micro(F.col("score")).alias("micro"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        scored.where("score IS NOT NULL")
+        .groupBy("model_version", F.expr(f"{to_micro('score')} AS micro"))
+        .agg(F.expr("count(*) AS n"))
     )

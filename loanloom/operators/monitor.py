@@ -10,9 +10,10 @@ from loanloom.functions.scoring import MICRO
 from loanloom.operators.metrics import (
     bin_counts,
     cumulate,
+    exprs,
     psi_value,
     ranking_aggs,
-    rounded,
+    round_to,
     score_counts,
     with_baseline,
 )
@@ -24,10 +25,10 @@ COHORT = ("orig_month", "model_version")
 def one_label_per_loan(labels: DataFrame) -> DataFrame:
     """The newest label of each loan, the worse one on ties, combined map-side."""
     return (
-        labels.where(F.col("loan_id").isNotNull())
+        labels.where("loan_id IS NOT NULL")
         .groupBy("loan_id")
-        .agg(F.max(F.struct("snapshot_date", "label")).alias("newest"))
-        .select("loan_id", F.col("newest.label").alias("label"))
+        .agg(F.expr("max(struct(snapshot_date, label)) AS newest"))
+        .selectExpr("loan_id", "newest.label AS label")
     )
 
 
@@ -58,45 +59,47 @@ def cohort_monitor(
     """
     if "model_version" not in predictions.columns:
         predictions = predictions.withColumn("model_version", F.lit("unknown"))
-    scored = predictions.select("loan_id", *COHORT, "score", "prediction").where(
-        F.col("orig_month").isNotNull()
+    scored = predictions.where("orig_month IS NOT NULL").select(
+        "loan_id", *COHORT, "score", "prediction"
     )
     hist = score_counts(attach_labels(scored, labels), COHORT, prediction="prediction")
     rows = cumulate(with_baseline(hist, baseline, production_version), COHORT)
-    n_scored, n_labelled = F.sum("n"), F.sum("bad") + F.sum("good")
     ranking = ranking_aggs()
     totals = rows.groupBy(*COHORT).agg(
-        n_scored.alias("n_scored"),
-        n_labelled.alias("n_labelled"),
-        (F.sum((F.col("micro") * F.col("n")).cast("double")) / n_scored / MICRO).alias("avg_score"),
-        (F.sum("positive") / n_scored).alias("pred_positive_rate"),
-        (F.sum("bad") / F.nullif(n_labelled, F.lit(0))).alias("bad_rate"),
-        F.first("expected", ignorenulls=True).alias("expected"),
-        *[c.alias(name) for name, c in ranking.items()],
-        *bin_counts(F.col("micro"), F.col("n"), F.col("edges")),
+        *exprs(
+            "sum(n) AS n_scored",
+            "sum(bad) AS n_bad",
+            "sum(bad) + sum(good) AS n_labelled",
+            "sum(positive) AS n_positive",
+            "sum(CAST(micro * n AS DOUBLE)) AS micros",
+            "max(expected) AS expected",
+            *[f"{e} AS {name}" for name, e in ranking.items()],
+            f"{bin_counts()} AS binned",
+        )
     )
-    enough = F.col("n_labelled") >= settings.min_labelled
-    measured = enough & F.col("auc").isNotNull()
-    out = totals.select(
-        F.col("orig_month").alias("month"),
+    enough = f"n_labelled >= {settings.min_labelled}"
+    measured = f"{enough} AND auc IS NOT NULL"
+    numbers = {
+        "avg_score": f"micros / n_scored / {MICRO}",
+        "pred_positive_rate": "n_positive / n_scored",
+        "psi": psi_value("binned", "n_scored", "expected"),
+        **{c: f"CASE WHEN {measured} THEN {c} END" for c in ranking},
+        "actual_bad_rate": f"CASE WHEN {measured} THEN n_bad / n_labelled END",
+    }
+    return totals.selectExpr(
+        "orig_month AS month",
         "model_version",
-        F.when(enough, "labelled").otherwise("unlabelled").alias("cohort_type"),
+        f"CASE WHEN {enough} THEN 'labelled' ELSE 'unlabelled' END AS cohort_type",
         "n_scored",
         "n_labelled",
-        "avg_score",
-        "pred_positive_rate",
-        psi_value(F.col("n_scored"), F.col("expected")).alias("psi"),
-        *[F.when(measured, F.col(c)).alias(c) for c in ranking],
-        F.when(measured, F.col("bad_rate")).alias("actual_bad_rate"),
+        *[f"{round_to(e, digits)} AS {c}" for c, e in numbers.items()],
     )
-    numbers = ("avg_score", "pred_positive_rate", "psi", *ranking, "actual_bad_rate")
-    return rounded(out, numbers, digits)
 
 
 def performance_series(monitoring: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Matured cohorts with their AUC and whether it is under the floor."""
-    return monitoring.where(F.col("auc").isNotNull()).select(
-        "month", "model_version", "auc", (F.col("auc") < settings.auc_floor).alias("below_floor")
+    return monitoring.where("auc IS NOT NULL").selectExpr(
+        "month", "model_version", "auc", f"auc < {settings.auc_floor!r}D AS below_floor"
     )
 
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loanloom.functions.cleaning import quoted
+
 # A key is hot above this share of the rows, so at most 1 / HOT_SHARE keys are.
 HOT_SHARE = 0.001
 HOT_KEYS = 1000
@@ -16,6 +17,10 @@ HOT_ROWS = 1_000_000
 TRACKED = 10_000
 
 
+def _hash(names: Sequence[str]) -> str:
+    return f"xxhash64({', '.join(quoted(n) for n in names)})"
+
+
 def hot_keys(
     df: DataFrame, on: Sequence[str], share: float = HOT_SHARE, min_rows: int = HOT_ROWS
 ) -> DataFrame:
@@ -25,16 +30,15 @@ def hot_keys(
     shuffled, never keys. The result has at most HOT_KEYS rows by construction.
     NULL keys hash like any other, so a hot NULL key is found too.
     """
-    hashed = ", ".join(f"`{c}`" for c in on)
-    sketch = df.agg(
-        F.expr(f"approx_top_k(xxhash64({hashed}), {HOT_KEYS}, {TRACKED})").alias("_top"),
-        F.count(F.lit(1)).alias("_rows"),
-    )
-    limit = F.greatest(F.col("_rows") * F.lit(share), F.lit(float(min_rows)))
     return (
-        sketch.select(F.explode("_top").alias("_item"), "_rows")
-        .where(F.col("_item.count") > limit)
-        .select(F.col("_item.item").alias("_hot"))
+        df.selectExpr(f"{_hash(on)} AS _key")
+        .agg(
+            F.expr(f"approx_top_k(_key, {HOT_KEYS}, {TRACKED})").alias("_top"),
+            F.expr("count(*)").alias("_rows"),
+        )
+        .selectExpr("explode(_top) AS _item", "_rows")
+        .where(f"_item.count > greatest(_rows * {float(share)!r}D, {float(min_rows)!r}D)")
+        .selectExpr("_item.item AS _hot")
     )
 
 
@@ -64,67 +68,61 @@ def salted_join(
     if how not in ("left", "inner"):
         raise ValueError(f"salted_join supports left and inner joins, not {how!r}")
     on = list(on)
-    hot = hot_keys(left, on, share, min_rows).select(
-        "_hot", F.lit(True).alias("_many_left"), F.lit(False).alias("_many_right")
-    )
+    hot = hot_keys(left, on, share, min_rows).selectExpr("_hot", "true AS _many_left", "false AS _many_right")
     if not right_unique:
-        other = hot_keys(right, on, share, min_rows).select(
-            "_hot", F.lit(False).alias("_many_left"), F.lit(True).alias("_many_right")
-        )
+        other = hot_keys(right, on, share, min_rows)
         hot = (
-            hot.unionByName(other)
+            hot.unionByName(other.selectExpr("_hot", "false AS _many_left", "true AS _many_right"))
             .groupBy("_hot")
-            .agg(F.max("_many_left").alias("_many_left"), F.max("_many_right").alias("_many_right"))
+            .agg(F.expr("max(_many_left) AS _many_left"), F.expr("max(_many_right) AS _many_right"))
         )
     hot = F.broadcast(hot)
+    every = f"sequence(0, {salts - 1})"
 
-    def mark(df: DataFrame) -> DataFrame:
-        return df.withColumn("_key", F.xxhash64(*on)).join(hot, F.col("_key") == F.col("_hot"), "left")
-
-    def spread(df: DataFrame) -> Column:
-        row = [F.col(f"`{c}`") for c in df.columns]
-        return F.pmod(F.xxhash64(*row, F.spark_partition_id()), F.lit(salts)).cast("int")
+    def marked(df: DataFrame) -> DataFrame:
+        return df.selectExpr("*", f"{_hash(on)} AS _key").join(hot, F.expr("_key = _hot"), "left")
 
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    cold = F.lit(0)
-    plain = F.array(cold)
-    helpers = ("_key", "_hot", "_many_left", "_many_right")
+    def spread(df: DataFrame) -> str:
+        names = ", ".join(quoted(c) for c in df.columns)
+        return f"CAST(pmod(xxhash64({names}, spark_partition_id()), {salts}) AS INT)"
 
-    lhs = mark(left).withColumn("_copied", F.coalesce(F.col("_many_right"), F.lit(False)))
-    one = F.when(F.col("_many_left"), spread(left)).otherwise(cold)
+    kept = [quoted(c) for c in left.columns]
+    one = f"CASE WHEN _many_left THEN {spread(left)} ELSE 0 END"
     if right_unique:
-        lhs = lhs.withColumn("_salt", one)
+        lhs = marked(left).selectExpr(*kept, f"{one} AS _salt")
     else:
-        lhs = lhs.withColumn("_salt", F.explode(F.when(F.col("_copied"), every).otherwise(F.array(one))))
-    lhs = lhs.drop(*helpers)
-
-    one = F.when(F.col("_many_right"), spread(right)).otherwise(cold)
-    rhs = mark(right).withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.col("_many_left") & ~F.col("_many_right"), every).otherwise(F.array(one))
-        ),
-    )
-    rhs = rhs.drop(*helpers).withColumn("_matched", F.lit(True))
+        lhs = marked(left).selectExpr(
+            *kept,
+            "coalesce(_many_right, false) AS _copied",
+            f"explode(CASE WHEN _many_right THEN {every} ELSE array({one}) END) AS _salt",
+        )
 
+    one = f"CASE WHEN _many_right THEN {spread(right)} ELSE 0 END"
+    rhs = marked(right).selectExpr(
+        *[quoted(c) for c in right.columns],
+        f"explode(CASE WHEN _many_left AND NOT _many_right THEN {every} ELSE array({one}) END) AS _salt",
+        "true AS _matched",
+    )
     joined = lhs.join(rhs, [*on, "_salt"], how)
     if not right_unique and how == "left":
         # A copied left row matches in at least one salt; its other copies may not.
-        joined = joined.where(~F.col("_copied") | F.col("_matched").isNotNull())
+        joined = joined.where("NOT _copied OR _matched IS NOT NULL")
     for extra in more:
-        copies = mark(extra).withColumn(
-            "_salt", F.explode(F.when(F.col("_hot").isNotNull(), every).otherwise(plain))
+        copies = marked(extra).selectExpr(
+            *[quoted(c) for c in extra.columns],
+            f"explode(CASE WHEN _hot IS NOT NULL THEN {every} ELSE array(0) END) AS _salt",
         )
-        joined = joined.join(copies.drop(*helpers), [*on, "_salt"], how)
+        joined = joined.join(copies, [*on, "_salt"], how)
     return joined.drop("_salt", "_copied", "_matched")
 
 
-def latest_per(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """One row per key: the last in ``order``.
+def latest_per(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row per key: the last in ``order`` (column names, NULLs first).
 
     Spark turns the rank filter into a group limit before the shuffle, so a task
     ships one row per key and a hot key costs one row per map task.
     """
-    descending = [(F.col(o) if isinstance(o, str) else o).desc_nulls_last() for o in order]
-    w = W.partitionBy(*keys).orderBy(*descending)
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    by = ", ".join(quoted(k) for k in keys)
+    last_first = ", ".join(f"{quoted(o)} DESC NULLS LAST" for o in order)
+    rank = f"row_number() OVER (PARTITION BY {by} ORDER BY {last_first}) AS _rn"
+    return df.selectExpr("*", rank).where("_rn = 1").drop("_rn")

@@ -5,106 +5,105 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loanloom.functions.cleaning import quoted
+
 # Order-preserving bucket of a double: 65,536 buckets per unit of asinh.
 BUCKETS_PER_UNIT = 65_536
 
 
-def rank_pair(n: Column, p: float) -> tuple[Column, Column, Column]:
+def rank_pair(n: str, p: float) -> tuple[str, str, str]:
     """Lower rank, upper rank (from zero) and weight of a linear quantile of ``n`` values.
 
     Whole-number arithmetic, so a quantile that falls on a value is that value.
     """
     q = Fraction(p).limit_denominator(10_000)
-    position = (n - 1) * q.numerator
-    low = F.call_function("div", position, F.lit(q.denominator))
-    weight = F.pmod(position, F.lit(q.denominator)) / F.lit(float(q.denominator))
-    return low, low + F.when(weight > 0, 1).otherwise(0), weight
+    position = f"(({n} - 1) * {q.numerator})"
+    low = f"({position} div {q.denominator})"
+    high = f"(({position} + {q.denominator - 1}) div {q.denominator})"
+    return low, high, f"(({position} % {q.denominator}) / {float(q.denominator)!r}D)"
 
 
-def interpolate(low: Column, high: Column, weight: Column) -> Column:
-    return low + (high - low) * weight
+def interpolate(low: str, high: str, weight: str) -> str:
+    return f"({low} + ({high} - {low}) * {weight})"
 
 
-def melt(df: DataFrame, columns: Sequence[str], kind: str = "double") -> DataFrame:
+def melt(df: DataFrame, columns: Sequence[str], kind: str = "DOUBLE") -> DataFrame:
     """Long form (``column``, ``value``) of the non-NULL values."""
     return (
-        df.select([F.col(f"`{c}`").cast(kind).alias(c) for c in columns])
+        df.selectExpr(*[f"CAST({quoted(c)} AS {kind}) AS {quoted(c)}" for c in columns])
         .unpivot([], list(columns), "column", "value")
-        .where(F.col("value").isNotNull())
+        .where("value IS NOT NULL")
     )
 
 
+def value_counts(df: DataFrame, columns: Sequence[str], kind: str = "DOUBLE") -> DataFrame:
+    """Distinct values of each column with their rows (``column``, ``value``, ``n``)."""
+    return melt(df, columns, kind).groupBy("column", "value").agg(F.expr("count(*) AS n"))
+
+
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Mapping[str, float]) -> DataFrame:
     """Exact linear quantiles of many columns: one row per column, one field per prob.
 
     Values are counted first, then bucketed in value order. Cumulative bucket counts
-    find the one or two buckets that hold each wanted rank, and only those are ranked
-    in full. No task ever sees a whole column. Columns without values give no row.
+    find the bucket that holds each wanted rank, and only those buckets are ranked in
+    full. No task ever sees a whole column. Columns without values give no row.
     """
-    counts = melt(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    bucketed = counts.withColumn("bucket", F.floor(F.asinh("value") * BUCKETS_PER_UNIT))
-    buckets = bucketed.groupBy("column", "bucket").agg(F.sum("n").alias("bn"))
-    by_bucket = W.partitionBy("column").orderBy("bucket")
-    upto = by_bucket.rowsBetween(W.unboundedPreceding, W.currentRow)
-    placed = buckets.withColumns(
-        {"before": F.sum("bn").over(upto) - F.col("bn"), "total": F.sum("bn").over(W.partitionBy("column"))}
+    bucketed = value_counts(df, columns).selectExpr(
+        "*", f"floor(asinh(value) * {BUCKETS_PER_UNIT}) AS bucket"
     )
-    ranks = []
-    for name, p in probs.items():
-        low, high, _ = rank_pair(F.col("total"), p)
-        ranks += [low.alias(f"{name}_lo"), high.alias(f"{name}_hi")]
-    wanted = [c for name in probs for c in (f"{name}_lo", f"{name}_hi")]
-    placed = placed.select("column", "bucket", "before", "bn", "total", *ranks)
-    holds = [
-        (F.col(r) >= F.col("before")) & (F.col(r) < F.col("before") + F.col("bn")) for r in wanted
-    ]
-    any_holds = holds[0]
-    for h in holds[1:]:
-        any_holds = any_holds | h
-    # At most two buckets per column and prob.
-    chosen = F.broadcast(placed.where(any_holds).drop("bn"))
-    in_bucket = W.partitionBy("column", "bucket").orderBy("value")
-    ranked = (
-        bucketed.join(chosen, ["column", "bucket"])
-        .withColumn(
-            "first",
-            F.sum("n").over(in_bucket.rowsBetween(W.unboundedPreceding, W.currentRow))
-            - F.col("n")
-            + F.col("before"),
+    ranks = {name: rank_pair("total", p) for name, p in probs.items()}
+    wanted = ", ".join(f"{low}, {high}" for low, high, _ in ranks.values())
+    # At most two ranks per column and prob remain after the explode.
+    held = (
+        bucketed.groupBy("column", "bucket")
+        .agg(F.expr("sum(n) AS bn"))
+        .selectExpr(
+            "column",
+            "bucket",
+            "sum(bn) OVER (PARTITION BY column ORDER BY bucket) - bn AS before",
+            "sum(bn) OVER (PARTITION BY column ORDER BY bucket) AS upto",
+            "sum(bn) OVER (PARTITION BY column) AS total",
         )
-        .groupBy("column")
-        .agg(
-            F.max("total").alias("total"),
-            *[
-                F.max(
-                    F.when(
-                        (F.col(r) >= F.col("first")) & (F.col(r) < F.col("first") + F.col("n")),
-                        F.col("value"),
-                    )
-                ).alias(f"v_{r}")
-                for r in wanted
-            ],
+        .selectExpr(
+            "*", f"filter(array_distinct(array({wanted})), r -> r >= before AND r < upto) AS held"
         )
+        .where("size(held) > 0")
+        .selectExpr("column", "bucket", "before", "total", "explode(held) AS wanted")
+    )
+    at_rank = (
+        bucketed.join(F.broadcast(held), ["column", "bucket"])
+        .selectExpr(
+            "column",
+            "total",
+            "wanted",
+            "value",
+            "n",
+            "before + sum(n) OVER (PARTITION BY column, bucket, wanted ORDER BY value) AS upto",
+        )
+        .where("wanted >= upto - n AND wanted < upto")
+    )
+    by_rank = at_rank.groupBy("column").agg(
+        F.expr("max(total) AS total"),
+        F.expr("map_from_entries(collect_list(struct(wanted, value))) AS at"),
     )
-    out = []
-    for name, p in probs.items():
-        _, _, weight = rank_pair(F.col("total"), p)
-        out.append(interpolate(F.col(f"v_{name}_lo"), F.col(f"v_{name}_hi"), weight).alias(name))
-    return ranked.select("column", F.col("total").alias("n"), *out)
+    out = [
+        f"{interpolate(f'at[{low}]', f'at[{high}]', weight)} AS {name}"
+        for name, (low, high, weight) in ranks.items()
+    ]
+    return by_rank.selectExpr("column", "total AS n", *out)
 
 
 def modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Most frequent text of each column; the smallest text on ties."""
-    counts = melt(df, columns, "string").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    best = W.partitionBy("column").orderBy(F.col("n").desc(), F.col("value"))
+    best = "row_number() OVER (PARTITION BY column ORDER BY n DESC, value) AS _rn"
     return (
-        counts.withColumn("_rn", F.row_number().over(best))
+        value_counts(df, columns, "STRING")
+        .selectExpr("*", best)
         .where("_rn = 1")
-        .select("column", F.col("value").alias("mode"))
+        .selectExpr("column", "value AS mode")
     )
 
 
@@ -115,21 +114,15 @@ def moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     one = df.agg(
         *[
-            F.struct(
-                F.count(F.lit(1)).alias("n_rows"),
-                F.count(c).alias("n_present"),
-                F.avg(c).alias("mean"),
-                F.stddev_pop(c).alias("std"),
-            ).alias(c)
+            F.expr(
+                f"named_struct('column', '{c}', 'n_rows', count(*), 'n_present', count({quoted(c)}), "
+                f"'mean', avg({quoted(c)}), 'std', stddev_pop({quoted(c)})) AS {quoted(c)}"
+            )
             for c in columns
         ]
     )
-    pairs = [F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("m")) for c in columns]
-    return (
-        one.select(F.explode(F.array(*pairs)).alias("p"))
-        .select("p.column", "p.m.*")
-        .where("n_present > 0")
-    )
+    listed = ", ".join(quoted(c) for c in columns)
+    return one.selectExpr(f"inline(array({listed}))").where("n_present > 0")
 
 
 def impute_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -138,22 +131,26 @@ def impute_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     The moments of the filled column follow from those of its two parts, so the
     data is not read a third time.
     """
-    present, total = F.col("n_present"), F.col("n_rows")
-    missing = total - present
-    mean = (F.col("mean") * present + F.col("median") * missing) / total
+    numbers = df.selectExpr(*[f"CAST({quoted(c)} AS DOUBLE) AS {quoted(c)}" for c in columns])
+    medians = exact_quantiles(numbers, columns, {"median": 0.5}).select("column", "median")
+    filled = "(mean * n_present + median * (n_rows - n_present)) / n_rows AS filled_mean"
     variance = (
-        present * (F.pow("std", F.lit(2)) + F.pow(F.col("mean") - mean, F.lit(2)))
-        + missing * F.pow(F.col("median") - mean, F.lit(2))
-    ) / total
-    medians = exact_quantiles(df, columns, {"median": 0.5}).select("column", "median")
+        "(n_present * (pow(std, 2) + pow(mean - filled_mean, 2)) "
+        "+ (n_rows - n_present) * pow(median - filled_mean, 2)) / n_rows"
+    )
     # Both sides have one row per column.
-    return moments(df, columns).join(medians, "column").select(
-        "column",
-        "n_present",
-        missing.alias("n_missing"),
-        "median",
-        mean.alias("mean"),
-        F.sqrt(variance).alias("std"),
+    return (
+        moments(numbers, columns)
+        .join(medians, "column")
+        .selectExpr("*", filled)
+        .selectExpr(
+            "column",
+            "n_present",
+            "n_rows - n_present AS n_missing",
+            "median",
+            "filled_mean AS mean",
+            f"sqrt({variance}) AS std",
+        )
     )
 
 
@@ -163,10 +160,7 @@ def top_categories(df: DataFrame, columns: Sequence[str], limit: int = 20) -> Da
     All of them up to ``limit - 1``, else the ``limit - 1`` most frequent, later
     texts first on ties; the rest share one ``infrequent`` indicator.
     """
-    counts = melt(df, columns, "string").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    order = W.partitionBy("column").orderBy(F.col("n").desc(), F.col("value").desc())
+    place = "row_number() OVER (PARTITION BY column ORDER BY n DESC, value DESC) AS position"
     return (
-        counts.withColumn("position", F.row_number().over(order))
-        .where(F.col("position") <= limit - 1)
-        .select("column", "value", "n", "position")
+        value_counts(df, columns, "STRING").selectExpr("*", place).where(f"position <= {limit - 1}")
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loanloom.config import CATEGORICAL, CLIP_BOUNDS, DIRTY_NUMERIC, Settings
 from loanloom.functions import cleaning, dates
+from loanloom.functions.cleaning import quoted
 from loanloom.functions.scoring import from_micro
 from loanloom.operators import calendar, features, governance, ledger, metrics, model, monitor, stats
 from loanloom.plans import adapters as A
@@ -31,7 +32,8 @@ def query(fn: Query) -> Query:
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.round(c, DIGITS) for c in columns})
+    kept = [f"round({c}, {DIGITS}) AS {c}" if c in columns else quoted(c) for c in df.columns]
+    return df.selectExpr(*kept)
 
 
 # --- scans, types, ledger ---------------------------------------------------------
@@ -107,39 +109,39 @@ def ledger_issues(spark, sf_dir):
 @query
 def clean_numeric(spark, sf_dir):
     both = A.customers(spark, sf_dir)
-    return both.select(
-        "Customer_ID", *[cleaning.clean_numeric(F.col(c)).alias(c) for c in DIRTY_NUMERIC]
+    return both.selectExpr(
+        "Customer_ID", *[f"{cleaning.clean_numeric(c)} AS {c}" for c in DIRTY_NUMERIC]
     )
 
 
 @query
 def clean_category(spark, sf_dir):
-    return A.customers(spark, sf_dir).select(
-        "Customer_ID", *[cleaning.clean_category(F.col(c)).alias(c) for c in CATEGORICAL]
+    return A.customers(spark, sf_dir).selectExpr(
+        "Customer_ID", *[f"{cleaning.clean_category(c)} AS {c}" for c in CATEGORICAL]
     )
 
 
 @query
 def credit_history_months(spark, sf_dir):
-    months = cleaning.credit_history_months(F.col("Credit_History_Age"))
-    return A.financials(spark, sf_dir).select("Customer_ID", months.alias("credit_history_months"))
+    months = cleaning.credit_history_months("Credit_History_Age")
+    return A.financials(spark, sf_dir).selectExpr(
+        "Customer_ID", f"{months} AS credit_history_months"
+    )
 
 
 @query
 def count_loan_types(spark, sf_dir):
-    items = cleaning.count_list_items(F.col("Type_of_Loan"))
-    return A.financials(spark, sf_dir).select("Customer_ID", items.alias("num_loan_types"))
+    items = cleaning.count_list_items("Type_of_Loan")
+    return A.financials(spark, sf_dir).selectExpr("Customer_ID", f"{items} AS num_loan_types")
 
 
 @query
 def sentinel_clip(spark, sf_dir):
-    both = A.customers(spark, sf_dir)
-    return both.select(
-        "Customer_ID",
-        *[
-            cleaning.clip(cleaning.clean_numeric(F.col(c)), *bounds).alias(c)
-            for c, bounds in CLIP_BOUNDS.items()
-        ],
+    numbers = A.customers(spark, sf_dir).selectExpr(
+        "Customer_ID", *[f"{cleaning.clean_numeric(c)} AS {c}" for c in CLIP_BOUNDS]
+    )
+    return numbers.selectExpr(
+        "Customer_ID", *[f"{cleaning.clip(c, *b)} AS {c}" for c, b in CLIP_BOUNDS.items()]
     )
 
 
@@ -236,34 +238,28 @@ def feature_align(spark, sf_dir):
 def month_calendar(spark, sf_dir):
     """Every month of the application history with its applications."""
     apps = A.applications(spark, sf_dir)
-    counted = apps.groupBy("orig_month").agg(F.count(F.lit(1)).alias("n"))
-    span = counted.agg(F.min("orig_month").alias("first"), F.max("orig_month").alias("last"))
+    counted = apps.groupBy(F.col("orig_month").alias("month")).agg(F.expr("count(*) AS n"))
+    span = counted.agg(F.expr("min(month) AS first"), F.expr("max(month) AS last"))
     months = calendar.month_calendar(span, "first", "last")
-    in_span = F.col("month").between(
-        F.lit("1996-01-01").cast("date"), F.lit("2000-12-01").cast("date")
-    )
-    return months.join(
-        counted.withColumnRenamed("orig_month", "month"), "month", "left"
-    ).select("month", F.coalesce("n", F.lit(0)).alias("n"), in_span.alias("in_span"))
+    in_span = "month BETWEEN DATE '1996-01-01' AND DATE '2000-12-01' AS in_span"
+    return months.join(counted, "month", "left").selectExpr("month", "coalesce(n, 0) AS n", in_span)
 
 
 @query
 def months_diff(spark, sf_dir):
-    lines = A.lines_with_orders(spark, sf_dir)
-    ordered, shipped = F.col("o_orderdate").cast("date"), F.col("l_shipdate").cast("date")
-    return lines.select(
+    return A.lines_with_orders(spark, sf_dir).selectExpr(
         "l_orderkey",
         "l_linenumber",
-        dates.month_start(shipped).alias("ship_month"),
-        dates.months_diff(ordered, shipped).alias("months"),
+        f"{dates.month_start('l_shipdate')} AS ship_month",
+        f"{dates.months_diff('o_orderdate', 'l_shipdate')} AS months",
     )
 
 
 @query
 def rolling_windows(spark, sf_dir):
     months = A.applications(spark, sf_dir).select("orig_month").distinct()
-    bounds = dates.window_bounds(F.col("orig_month"), SETTINGS)
-    return months.select("orig_month", *[c.alias(name) for name, c in bounds.items()])
+    bounds = dates.window_bounds("orig_month", SETTINGS)
+    return months.selectExpr("orig_month", *[f"{e} AS {name}" for name, e in bounds.items()])
 
 
 @query
@@ -302,9 +298,7 @@ def cohort_ks(spark, sf_dir):
 
 def _baseline(spark, sf_dir):
     """Training scores of each yearly model up to 1998; later models have none of their own."""
-    trained = A.scored(spark, sf_dir).where(
-        F.col("orig_month") < F.lit(f"{A.BASELINE_YEARS}-01-01").cast("date")
-    )
+    trained = A.scored(spark, sf_dir).where(f"orig_month < DATE '{A.BASELINE_YEARS}-01-01'")
     return model.baseline_counts(trained)
 
 
@@ -349,7 +343,7 @@ def score_histogram(spark, sf_dir):
     """Production baseline against the newest cohort."""
     base = _baseline(spark, sf_dir).where(F.col("model_version") == A.PRODUCTION_VERSION)
     hist = _cohort_counts(spark, sf_dir)
-    newest = hist.agg(F.max("orig_month").alias("orig_month"))
+    newest = hist.agg(F.expr("max(orig_month) AS orig_month"))
     latest = hist.join(F.broadcast(newest), "orig_month")  # one row
     both = base.select(F.lit("baseline").alias("series"), "micro", "n").unionByName(
         latest.select(F.lit("latest").alias("series"), "micro", "n")
@@ -434,13 +428,12 @@ def _inline_monitor(spark, sf_dir):
 def governance_decision(spark, sf_dir):
     """Decision of every month, with a champion trained each January from 1997."""
     monitoring = _inline_monitor(spark, sf_dir)
-    month = F.col("orig_month")
-    trained = F.when(F.year(month) >= 1997, F.trunc(month, "year"))
+    trained = "CASE WHEN year(orig_month) >= 1997 THEN trunc(orig_month, 'year') END AS train_date"
     months = (
         A.applications(spark, sf_dir)
         .select("orig_month")
         .distinct()
-        .select(month.alias("month"), trained.alias("train_date"))
+        .selectExpr("orig_month AS month", trained)
     )
     return governance.governance_decisions(months, monitoring, SETTINGS)
 
@@ -449,19 +442,20 @@ def _registry(spark, sf_dir):
     """Yearly training runs, then a rerun of each with the volumes of its own year."""
     scored = A.scored(spark, sf_dir)
     yearly = scored.groupBy("model_version").agg(
-        F.min("orig_month").alias("train_date"),
-        F.count(F.lit(1)).alias("n_train"),
-        F.count("label").alias("n_test"),
+        F.expr("min(orig_month) AS train_date"),
+        F.expr("count(*) AS n_train"),
+        F.expr("count(label) AS n_test"),
     )
-    names = F.array(*[F.lit(name) for name, _, _ in A.CANDIDATES])
-    first = F.year("train_date") == 1995
-    rows = yearly.select(
+    names = ", ".join(f"'{name}'" for name, _, _ in A.CANDIDATES)
+    candidates = (
+        f"CASE WHEN year(train_date) = 1995 THEN array({names})[0] "
+        f"ELSE concat_ws('|', array_sort(array({names}))) END AS candidates"
+    )
+    rows = yearly.selectExpr(
         "train_date",
-        dates.version_name(F.trunc("train_date", "year")).alias("model_version"),
-        F.when(first, "bootstrap").otherwise("refresh").alias("action"),
-        F.when(first, F.element_at(names, 1))
-        .otherwise(F.concat_ws("|", F.array_sort(names)))
-        .alias("candidates"),
+        f"{dates.version_name("trunc(train_date, 'year')")} AS model_version",
+        "CASE WHEN year(train_date) = 1995 THEN 'bootstrap' ELSE 'refresh' END AS action",
+        candidates,
         "n_train",
         "n_test",
     )
@@ -492,15 +486,14 @@ def _candidate_metrics(spark, sf_dir):
         "split IS NOT NULL AND label IS NOT NULL"
     )
     names = [name for name, _, _ in A.CANDIDATES]
-    long = split.unpivot(["split", "label"], names, "model", "micro").withColumn(
-        "score", from_micro(F.col("micro"))
+    long = split.unpivot(["split", "label"], names, "model", "micro").selectExpr(
+        "*", f"{from_micro('micro')} AS score"
     )
     hist = metrics.score_counts(long, ["model", "split"])
-    ordinal = F.element_at(
-        F.create_map(*[x for name, i, _ in A.CANDIDATES for x in (F.lit(name), F.lit(i))]),
-        F.col("model"),
+    places = " ".join(f"WHEN '{name}' THEN {i}" for name, i, _ in A.CANDIDATES)
+    return metrics.ranking_metrics(hist, ["model", "split"], DIGITS).selectExpr(
+        "*", f"CASE model {places} END AS ordinal"
     )
-    return metrics.ranking_metrics(hist, ["model", "split"], DIGITS).withColumn("ordinal", ordinal)
 
 
 @query
@@ -529,7 +522,7 @@ def topk_category(spark, sf_dir):
         F.col("c_nationkey").cast("string").alias("nation")
     )
     folded = model.fold_categories(nations, "nation", stats.top_categories(nations, ["nation"]))
-    return folded.groupBy("nation").agg(F.count(F.lit(1)).alias("n"))
+    return folded.groupBy("nation").agg(F.expr("count(*) AS n"))
 
 
 @query
@@ -542,7 +535,7 @@ def model_matrix(spark, sf_dir):
     )
     numeric, categorical = features.feature_columns(ready)
     plan = model.fit_preparation(ready, numeric, categorical)
-    matrix = ready.select("Customer_ID", *plan.columns())
+    matrix = ready.selectExpr("Customer_ID", *plan.columns())
     return rounded(matrix, *[c for c in matrix.columns if c.startswith("num_")])
 
 
@@ -572,6 +565,4 @@ def score_cohorts(spark, sf_dir):
     frame = _training_frame(spark, sf_dir)
     fitted = _baseline_model(frame)
     scored = model.score(fitted, frame)
-    return model.predictions(
-        scored, "logistic_regression", dates.version_name(F.lit(TRAIN_MONTH).cast("date")), 0.5
-    )
+    return model.predictions(scored, "logistic_regression", "credit_model_2001_06_01", 0.5)

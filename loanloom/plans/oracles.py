@@ -437,7 +437,8 @@ rank_metrics AS (
   FROM c GROUP BY ALL),
 volume AS (
   SELECT orig_month, model_version, CAST(count(*) AS BIGINT) AS n_scored,
-    CAST(count(label) AS BIGINT) AS n_labelled, avg(score) AS avg_score,
+    CAST(count(label) AS BIGINT) AS n_labelled,
+    avg(CAST(round(score * 1000000) AS BIGINT)) / 1000000 AS avg_score,
     avg(prediction) AS pred_positive_rate, min(label) < max(label) AS two_classes
   FROM merged GROUP BY ALL),
 monitoring AS (

@@ -12,5 +12,5 @@ def unseen_cohorts(scored: DataFrame, done: DataFrame, cohort: str = "orig_month
     ``done`` is reduced to its distinct months, one row per calendar month at most,
     which is what is broadcast.
     """
-    months = done.select(cohort).where(F.col(cohort).isNotNull()).distinct()
-    return scored.where(F.col(cohort).isNotNull()).join(F.broadcast(months), cohort, "left_anti")
+    months = done.where(f"{cohort} IS NOT NULL").select(cohort).distinct()
+    return scored.where(f"{cohort} IS NOT NULL").join(F.broadcast(months), cohort, "left_anti")

@@ -13,7 +13,7 @@ MICRO = 1_000_000
 
 
 def to_micro(score: str) -> str:
-    return f"CAST(round({score} * {MICRO}) AS BIGINT)"
+    return f"floor({score} * {MICRO}D + 0.5D)"
 
 
 def from_micro(micro: str) -> str:

@@ -23,12 +23,15 @@ COHORT = ("orig_month", "model_version")
 
 
 def one_label_per_loan(labels: DataFrame) -> DataFrame:
-    """The newest label of each loan, the worse one on ties, combined map-side."""
+    """The newest label of each loan, the worse one on ties, combined map-side.
+
+    The order is one number, so that the aggregate stays hash-based.
+    """
+    recency = "coalesce(unix_date(snapshot_date), -1000000) * 2 + label"
     return (
         labels.where("loan_id IS NOT NULL")
         .groupBy("loan_id")
-        .agg(F.expr("max(struct(snapshot_date, label)) AS newest"))
-        .selectExpr("loan_id", "newest.label AS label")
+        .agg(F.expr(f"max_by(label, {recency}) AS label"))
     )
 
 

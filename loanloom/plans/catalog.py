@@ -546,8 +546,13 @@ def _training_frame(spark, sf_dir):
 
 
 def _baseline_model(frame):
-    train = frame.where("split = 'train' AND label IS NOT NULL")
-    return model.fit_candidate("logistic_regression", train, MODEL_INPUTS, [], SETTINGS)
+    # The fit reads its rows many times; hold the narrow columns it uses meanwhile.
+    train = frame.where("split = 'train' AND label IS NOT NULL").select("label", *MODEL_INPUTS)
+    train.persist()
+    try:
+        return model.fit_candidate("logistic_regression", train, MODEL_INPUTS, [], SETTINGS)
+    finally:
+        train.unpersist()
 
 
 @query

@@ -15,6 +15,7 @@ HOT_KEYS = 1000
 # Below this many rows a key fits a task whatever its share.
 HOT_ROWS = 1_000_000
 TRACKED = 10_000
+FAN_IN = 64
 
 
 def _hash(names: Sequence[str]) -> str:
@@ -26,17 +27,27 @@ def hot_keys(
 ) -> DataFrame:
     """Hashes (``_hot``) of the keys that hold more than ``share`` of the rows.
 
-    One pass with a frequent-items sketch, combined map-side: only sketches are
-    shuffled, never keys. The result has at most HOT_KEYS rows by construction.
-    NULL keys hash like any other, so a hot NULL key is found too.
+    One narrow pass with a frequent-items sketch: only sketches are shuffled, never
+    keys, and they are merged in two levels, so that the last task reads FAN_IN of
+    them however many tasks made one. The result has at most HOT_KEYS rows by
+    construction. NULL keys hash like any other, so a hot NULL key is found too.
     """
-    return (
+    merged = (
         df.selectExpr(f"{_hash(on)} AS _key")
+        .groupBy(F.expr(f"spark_partition_id() % {FAN_IN} AS _branch"))
+        .agg(
+            F.expr(f"approx_top_k_accumulate(_key, {TRACKED}) AS _sketch"),
+            F.expr("count(*) AS _rows"),
+        )
+        # One group for all branches, and none when there are no rows.
+        .groupBy(F.expr("_branch >= 0 AS _all"))
         .agg(
-            F.expr(f"approx_top_k(_key, {HOT_KEYS}, {TRACKED})").alias("_top"),
-            F.expr("count(*)").alias("_rows"),
+            F.expr(f"approx_top_k_combine(_sketch, {TRACKED}) AS _sketch"),
+            F.expr("sum(_rows) AS _rows"),
         )
-        .selectExpr("explode(_top) AS _item", "_rows")
+    )
+    return (
+        merged.selectExpr(f"explode(approx_top_k_estimate(_sketch, {HOT_KEYS})) AS _item", "_rows")
         .where(f"_item.count > greatest(_rows * {float(share)!r}D, {float(min_rows)!r}D)")
         .selectExpr("_item.item AS _hot")
     )

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MONTH_SHIP = "CAST(date_trunc('month', l_shipdate) AS DATE)"
-MONTH_ORDER = "CAST(date_trunc('month', o_orderdate) AS DATE)"
+MONTH_SHIP = "make_date(year(l_shipdate), month(l_shipdate), 1)"
+MONTH_ORDER = "make_date(year(o_orderdate), month(o_orderdate), 1)"
 
 # Loan ledger: a line is one monthly statement of a loan, an order is the loan.
 LEDGER = {
@@ -57,13 +57,13 @@ SNAPSHOT_ROWS = {
     "Customer_ID": "CAST(o_custkey AS STRING)",
     "snapshot_date": MONTH_SHIP,
     "loan_id": "CAST(o_orderkey AS STRING)",
-    "discount_cents": "CAST(round(l_discount * 100) AS BIGINT)",
+    "discount_cents": "CAST(floor(l_discount * 100 + 0.5) AS BIGINT)",
     "quantity": "CAST(floor(l_quantity) AS BIGINT)",
 }
 
 CLICKS = {
     "Customer_ID": "CAST(user_id AS STRING)",
-    "snapshot_date": "CAST(date_trunc('month', ts) AS DATE)",
+    "snapshot_date": "make_date(year(ts), month(ts), 1)",
     **{
         f"fe_{i}": f"CASE WHEN event_id % 20 = {i - 1} THEN CAST(floor(value * 100) AS BIGINT) END"
         for i in range(1, 21)
@@ -184,13 +184,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def lines_with_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lines_with_orders(spark: SparkSession, sf_dir: str, shipped: str | None = None) -> DataFrame:
+    """Lines with their orders, all of them or those shipped in one month.
+
+    The month is a range on the stored column, which reaches the file scan.
+    """
     lines = table(spark, sf_dir, "lineitem")
+    if shipped is not None:
+        lines = lines.where(
+            f"l_shipdate >= TIMESTAMP_NTZ '{shipped}' "
+            f"AND l_shipdate < TIMESTAMP_NTZ '{shipped}' + INTERVAL 1 MONTH"
+        )
     return lines.join(table(spark, sf_dir, "orders"), lines["l_orderkey"] == F.col("o_orderkey"))
 
 
-def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines_with_orders(spark, sf_dir).selectExpr(*select_list(LEDGER))
+def ledger(spark: SparkSession, sf_dir: str, month: str | None = None) -> DataFrame:
+    return lines_with_orders(spark, sf_dir, month).selectExpr(*select_list(LEDGER))
 
 
 def raw_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:

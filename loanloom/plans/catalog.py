@@ -41,7 +41,8 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 @query
 def snapshot_slice(spark, sf_dir):
-    return ledger.snapshot_slice(A.ledger(spark, sf_dir), "1998-03-01")
+    month = "1998-03-01"
+    return ledger.snapshot_slice(A.ledger(spark, sf_dir, month), month)
 
 
 @query
@@ -555,6 +556,14 @@ def _baseline_model(frame):
         train.unpersist()
 
 
+@query
+def prediction_rows(spark, sf_dir):
+    """Given scores as prediction rows; the time of scoring is left out."""
+    scored = A.scored(spark, sf_dir).select("loan_id", "Customer_ID", "orig_month", "score")
+    rows = model.predictions(scored, "logistic_regression", "credit_model_2001_06_01", 0.35)
+    return rows.drop("scored_at")
+
+
 @query
 def train_baseline_model(spark, sf_dir):
     """Metrics of a logistic regression on the three windows."""

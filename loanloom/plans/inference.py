@@ -30,7 +30,7 @@ def run_inference(spark: SparkSession, mart: Mart, settings: Settings = DEFAULTS
     done = read_store(spark, mart.gold("model_predictions"), S.PREDICTIONS)
     apps = unseen_cohorts(ledger.applications(loans), done)
     # Prepared before the lookup, so that applications without features stay NULL.
-    prepared = prepare_features(read_store(spark, mart.gold("feature_store")))
+    prepared = prepare_features(read_store(spark, mart.gold("feature_store"), S.FEATURE_STORE))
     known = asof_features(apps, prepared)
     aligned = feature_align(known, meta["numeric_columns"], meta["categorical"])
     scored = model.score(load_model(meta), aligned)

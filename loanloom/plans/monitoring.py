@@ -17,7 +17,7 @@ from loanloom.sources.mart import (
     read_monitoring,
     read_registry,
 )
-from loanloom.sources.sinks import export_csv, write_partitions
+from loanloom.sources.sinks import export_csv, export_json, write_partitions
 from loanloom.sources.stores import read_store, store_exists
 
 
@@ -81,4 +81,6 @@ def run_reports(spark: SparkSession, mart: Mart, settings: Settings = DEFAULTS)
     tables = report_tables(spark, mart, settings)
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(mart.report(name))
+    export_json(read_leaderboard(spark, mart), mart.report("leaderboard_json"))
+    export_csv(read_registry(spark, mart), mart.report("registry_csv"), "train_date")
     return {"tables": sorted(tables), "status": "ok"}

@@ -555,3 +555,7 @@ SELECT Customer_ID,
   {', '.join(f'round(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER (), 6) AS num_{c}' for c in MATRIX)},
   {', '.join(f"CAST(mix = '{m}' AS DOUBLE) AS cat_Credit_Mix_{i}" for i, m in enumerate(MIX))}
 FROM f"""
+ORACLES["prediction_rows"] = f"""
+WITH {SCORED}
+SELECT loan_id, Customer_ID, orig_month, score, CAST(score >= 0.35 AS INTEGER) AS prediction,
+  'logistic_regression' AS model_name, 'credit_model_2001_06_01' AS model_version FROM scored"""

@@ -127,7 +127,7 @@ def _training_rows(
     Every fit and metric rereads this narrow table, so no iteration depends on the
     joins behind it and a lost executor costs a file scan.
     """
-    features = read_store(spark, mart.gold("feature_store"))
+    features = read_store(spark, mart.gold("feature_store"), S.FEATURE_STORE)
     labels = read_store(spark, mart.gold("label_store"), S.LABEL_STORE)
     table = modelling_table(labels, features, settings, mode)
     numeric, categorical = feature_columns(table)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-from loanloom.config import CATEGORICAL, CLICK_FEATURES, DIRTY_NUMERIC
+from loanloom.config import CATEGORICAL, CLICK_FEATURES, DIRTY_NUMERIC, PII
 
 
 def _strings(*names: str) -> T.StructType:
@@ -68,6 +68,20 @@ SILVER_LOANS = (
 LABEL_STORE = (
     "loan_id string, Customer_ID string, label int, label_def string, snapshot_date date"
 )
+# Attributes without personal data, financials as typed, click means.
+FEATURE_STORE = T.StructType(
+    [
+        T.StructField("Customer_ID", T.StringType()),
+        *[
+            T.StructField(f.name, {**ATTRIBUTE_TYPES, **FINANCIAL_TYPES}.get(f.name, f.dataType))
+            for source in ("attributes", "financials")
+            for f in RAW[source].fields
+            if f.name not in ("Customer_ID", "snapshot_date", *PII)
+        ],
+        *[T.StructField(f"{c}_mean", T.DoubleType()) for c in CLICK_FEATURES],
+        T.StructField("snapshot_date", T.DateType()),
+    ]
+)
 PREDICTIONS = (
     "loan_id string, Customer_ID string, score double, prediction int, model_name string, "
     "model_version string, scored_at timestamp, orig_month date"

@@ -111,10 +111,15 @@ def read_csv_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def read_json_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """JSON documents under a declared schema; no rows when there are none."""
+def read_json_table(
+    spark: SparkSession, path: str, schema: str, multi_line: bool = False
+) -> DataFrame:
+    """JSON documents under a declared schema; no rows when there are none.
+
+    One document per line, or per file with ``multi_line``.
+    """
     try:
-        return spark.read.schema(schema).option("multiLine", True).json(path)
+        return spark.read.schema(schema).option("multiLine", multi_line).json(path)
     except AnalysisException as error:
         if not _missing(error):
             raise

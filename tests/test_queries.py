@@ -54,3 +54,11 @@ def test_scan_reads_only_what_is_used(spark):
     text = plan(spark, "label_store")
     assert "l_tax" not in text and "l_comment" not in text
     assert text.index("Join") < text.index("(coalesce((l_linenumber")
+
+
+def test_one_month_reaches_the_scan(spark, capsys):
+    queries()["snapshot_slice"](spark, SF).explain("formatted")
+    text = capsys.readouterr().out
+    assert "GreaterThanOrEqual(l_shipdate,1998-03-01" in text
+    assert "LessThan(l_shipdate,1998-04-01" in text
+    assert "l_comment" not in text and "l_returnflag" not in text

@@ -68,7 +68,10 @@ def test_exports(spark, tmp_path):
     export_csv(df, str(tmp_path / "c"), "n")
     assert [r["n"] for r in read_csv_table(spark, str(tmp_path / "c"), "n int, s string").collect()] == [1, 2]
     export_json(df, str(tmp_path / "j"))
-    assert read_json_table(spark, str(tmp_path / "j"), "n int, s string").count() == 2
+    assert len(read_json_table(spark, str(tmp_path / "j"), "n int, s string").collect()) == 2
+    (tmp_path / "meta.json").write_text('{\n  "version": "v",\n  "windows": {"a": "b"}\n}')
+    meta = read_json_table(spark, str(tmp_path / "meta.json"), "version string, windows map<string,string>", True)
+    assert [tuple(r) for r in meta.collect()] == [("v", {"a": "b"})]
 
 
 @pytest.mark.parametrize("run_date, n", [(None, 24), ("2024-02-15", 1), ("2022-12-01", 0), ("2025-01-01", 0)])

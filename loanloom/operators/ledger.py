@@ -49,10 +49,14 @@ def enforce_types(df: DataFrame, types: Mapping[str, T.DataType], clean: bool =
         expr = c
         if clean and isinstance(wanted, (T.IntegerType, T.FloatType)):
             expr = clean_numeric(c, f.dataType)
+        kind = wanted.simpleString()
         if isinstance(wanted, T.IntegerType):
             expr = to_int(expr)
+        elif isinstance(wanted, T.FractionalType):
+            # The text 'NaN' casts, but means missing.
+            expr = f"nullif(try_cast({expr} AS {kind}), CAST('NaN' AS {kind}))"
         else:
-            expr = f"try_cast({expr} AS {wanted.simpleString()})"
+            expr = f"try_cast({expr} AS {kind})"
         out.append(f"{expr} AS {c}")
     return df.selectExpr(*out)
 

@@ -56,6 +56,10 @@ def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _number(value: float) -> str:
+    return f"CAST('{value!r}' AS DOUBLE)"
+
+
 @dataclass(frozen=True)
 class Category:
     """Fitted categorical column.
@@ -85,8 +89,8 @@ class Preparation:
         out = {}
         for c, (median, mean, std) in self.numeric.items():
             scale = std if std > 0 else 1.0
-            value = f"coalesce(CAST({quoted(c)} AS DOUBLE), {median!r}D)"
-            out[f"num_{c}"] = f"({value} - ({mean!r}D)) / {scale!r}D"
+            value = f"coalesce(CAST({quoted(c)} AS DOUBLE), {_number(median)})"
+            out[f"num_{c}"] = f"({value} - {_number(mean)}) / {_number(scale)}"
         for c, cat in self.categorical.items():
             value = f"coalesce({quoted(c)}, {_text(cat.mode)})"
             for i, v in enumerate(cat.kept):

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from loanloom.functions.cleaning import quoted
 
-# Order-preserving bucket of a double: 65,536 buckets per unit of asinh.
-BUCKETS_PER_UNIT = 65_536
+# Order-preserving buckets of a double: 4,096 per unit of asinh, at most 5.8 million,
+# each cut into equal parts between its own smallest and largest value.
+BUCKETS_PER_UNIT = 4_096
+PARTS = 1_048_576
 
 
 def rank_pair(n: str, p: float) -> tuple[str, str, str]:
@@ -48,8 +50,10 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Mapping[str, f
     """Exact linear quantiles of many columns: one row per column, one field per prob.
 
     Values are counted first, then bucketed in value order. Cumulative bucket counts
-    find the bucket that holds each wanted rank, and only those buckets are ranked in
-    full. No task ever sees a whole column. Columns without values give no row.
+    find the bucket that holds each wanted rank; those buckets are cut into parts, the
+    same step finds the part, and only its values are ranked. No task sees a whole
+    column, also when most values lie close together. Columns without values give no
+    row.
     """
     bucketed = value_counts(df, columns).selectExpr(
         "*", f"floor(asinh(value) * {BUCKETS_PER_UNIT}) AS bucket"
@@ -59,29 +63,49 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Mapping[str, f
     # At most two ranks per column and prob remain after the explode.
     held = (
         bucketed.groupBy("column", "bucket")
-        .agg(F.expr("sum(n) AS bn"))
+        .agg(F.expr("sum(n) AS bn"), F.expr("min(value) AS low"), F.expr("max(value) AS high"))
         .selectExpr(
-            "column",
-            "bucket",
-            "sum(bn) OVER (PARTITION BY column ORDER BY bucket) - bn AS before",
+            "*",
             "sum(bn) OVER (PARTITION BY column ORDER BY bucket) AS upto",
             "sum(bn) OVER (PARTITION BY column) AS total",
         )
         .selectExpr(
-            "*", f"filter(array_distinct(array({wanted})), r -> r >= before AND r < upto) AS held"
+            "*",
+            f"filter(array_distinct(array({wanted})), r -> r >= upto - bn AND r < upto) AS held",
         )
         .where("size(held) > 0")
-        .selectExpr("column", "bucket", "before", "total", "explode(held) AS wanted")
+        .selectExpr(
+            "column", "bucket", "upto - bn AS before", "total", "low", "high",
+            "explode(held) AS wanted",
+        )
+    )
+    part = f"CASE WHEN high > low THEN floor((value - low) / (high - low) * {PARTS}) ELSE 0 END"
+    parted = bucketed.join(F.broadcast(held), ["column", "bucket"]).selectExpr(
+        "column", "wanted", "before", "total", "value", "n", f"{part} AS part"
+    )
+    # One part per wanted rank.
+    found = (
+        parted.groupBy("column", "wanted", "before", "part")
+        .agg(F.expr("sum(n) AS bn"))
+        .selectExpr(
+            "column",
+            "wanted",
+            "part",
+            "bn",
+            "before + sum(bn) OVER (PARTITION BY column, wanted ORDER BY part) AS upto",
+        )
+        .where("wanted >= upto - bn AND wanted < upto")
+        .selectExpr("column", "wanted", "part", "upto - bn AS part_before")
     )
     at_rank = (
-        bucketed.join(F.broadcast(held), ["column", "bucket"])
+        parted.join(F.broadcast(found), ["column", "wanted", "part"])
         .selectExpr(
             "column",
             "total",
             "wanted",
             "value",
             "n",
-            "before + sum(n) OVER (PARTITION BY column, bucket, wanted ORDER BY value) AS upto",
+            "part_before + sum(n) OVER (PARTITION BY column, wanted ORDER BY value) AS upto",
         )
         .where("wanted >= upto - n AND wanted < upto")
     )

@@ -61,6 +61,12 @@ def test_typing_is_null_safe(spark):
     assert (row["due_amt"], row["paid_amt"], row["overdue_amt"]) == (None, None, None)
 
 
+def test_nan_text_is_missing(spark):
+    raw = spark.createDataFrame([("c", "NaN", "3")], "Customer_ID string, fe_1 string, fe_2 string")
+    row = ledger.typed_clickstream(raw).first()
+    assert (row["fe_1"], row["fe_2"]) == (None, 3.0)
+
+
 def test_underscored_money(spark):
     raw = spark.createDataFrame([("c", "52312.68_")], "Customer_ID string, Annual_Income string")
     assert abs(ledger.typed_financials(raw).first()["Annual_Income"] - 52312.68) < 0.01

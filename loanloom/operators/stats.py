@@ -55,8 +55,12 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Mapping[str, f
     column, also when most values lie close together. Columns without values give no
     row.
     """
-    bucketed = value_counts(df, columns).selectExpr(
-        "*", f"floor(asinh(value) * {BUCKETS_PER_UNIT}) AS bucket"
+    # The filter is the one the join below implies; stated here, all uses of the counts
+    # have the same plan and share one shuffle.
+    bucketed = (
+        value_counts(df, columns)
+        .selectExpr("*", f"floor(asinh(value) * {BUCKETS_PER_UNIT}) AS bucket")
+        .where("column IS NOT NULL AND bucket IS NOT NULL")
     )
     ranks = {name: rank_pair("total", p) for name, p in probs.items()}
     wanted = ", ".join(f"{low}, {high}" for low, high, _ in ranks.values())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import tempfile
 import uuid
@@ -36,6 +37,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove shuffle files of finished steps; results stay.
+
+    The cleaner acts on what the driver's JVM has found to be garbage.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def partitions(spark: SparkSession) -> int:
     """Shuffle partitions of the session; a job sizes them to its data."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanloom.llm.common import cut, partitions
+from loanloom.llm.common import cut, partitions, release
 from loanloom.llm.components import smallest_reachable
 from loanloom.llm.shingles import U64, chunks, mix, shingle_sets
 
@@ -38,12 +38,13 @@ PERCENT = 80
 HOT_ROWS = 20_000
 HOT_LIMIT = 1_000_000
 #: Entries a map task packs before it sends them on.
-PACK = 2_000_000
+PACK = 500_000
 #: Blocks for each shuffle partition, so that uneven blocks even out.
 SPREAD = 2
 #: A task reports n-grams that so many of its documents hold to the hot count.
 LOCAL = 8
-MASK48 = U64((1 << 48) - 1)
+#: Bits of an n-gram's hash that go along; its block adds the rest.
+MASK40 = U64((1 << 40) - 1)
 
 PACKED = "block int, low binary, high binary, rank binary, doc binary"
 TICKETS = "block int, gram binary, rank binary, doc binary"
@@ -125,7 +126,7 @@ def _send(blocks: int, width: int, hot) -> Callable[[Batches], Batches]:
         known, count = hot.value
         for turn, (ids, sizes, grams, doc) in enumerate(_grams(batches, width)):
             block = (((grams >> U64(32)) * U64(blocks)) >> U64(32)).astype(np.int32)
-            grams, rank = (block.astype(U64) % U64(32768) << U64(48)) | grams & MASK48, grams
+            grams, rank = (block.astype(U64) % U64(32768) << U64(48)) | grams & MASK40, grams
             if len(known):
                 at = np.minimum(np.searchsorted(known, rank), len(known) - 1)
                 is_hot = known[at] == rank
@@ -155,9 +156,9 @@ def _schema(ddl: str) -> pa.Schema:
 
 
 def _piece(block: int, grams: np.ndarray, doc: np.ndarray, rank: np.ndarray | None) -> dict:
-    """Six bytes an n-gram: the block gives the rest. Past the blocks all eight are kept."""
+    """Five bytes an n-gram: the block gives the rest. Past the blocks all eight are kept."""
     low = (grams & U64(0xFFFFFFFF)).astype(np.uint32)
-    high = (grams >> U64(32)).astype(np.uint16 if block >= 0 else np.uint32)
+    high = (grams >> U64(32)).astype(np.uint8 if block >= 0 else np.uint32)
     return {
         "block": block, "low": low.tobytes(), "high": high.tobytes(),
         "rank": b"" if rank is None else rank.tobytes(), "doc": doc.astype(np.int64).tobytes(),
@@ -185,7 +186,7 @@ def _count(buckets: int) -> Callable[[Batches], Batches]:
                 high = _joined([r["high"] for r in rows], np.uint32).astype(U64)
                 kept.append((high << U64(32) | low, _joined([r["rank"] for r in rows], np.uint8), doc))
                 continue
-            high = _joined([r["high"] for r in rows], np.uint16).astype(U64)
+            high = _joined([r["high"] for r in rows], np.uint8).astype(U64)
             grams = U64(block % 32768) << U64(48) | high << U64(32) | low
             order = np.argsort(grams)
             grams, doc = grams[order], doc[order]
@@ -274,13 +275,17 @@ def _candidates(pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose accumulated overlap reaches the threshold."""
-    left = rows.selectExpr("doc_id AS a", "n AS na", "grams AS ga")
+    """The pairs whose accumulated overlap reaches the threshold.
+
+    ``a`` is the side that few documents are on, so only their sets travel a second time.
+    """
+    few = pairs.select("a").distinct()
+    left = rows.join(few, F.expr("doc_id = a"), "left_semi").selectExpr("doc_id AS a", "n AS na", "grams AS ga")
     right = rows.selectExpr("doc_id AS b", "n AS nb", "grams AS gb")
     return (
-        pairs.join(left, "a")
-        .join(right, "b")
-        .selectExpr("a", "b", "na + nb AS total", "size(array_intersect(ga, gb)) AS overlap")
+        pairs.join(right, "b")
+        .join(left, "a")
+        .selectExpr("a", "b", "na + nb AS total", "size(array_intersect(gb, ga)) AS overlap")
         .where(f"100 * overlap >= {percent} * (total - overlap)")
         .select("a", "b")
     )
@@ -298,6 +303,7 @@ def jaccard_components(
     without doc_id are left out, other columns are not read.
     """
     sets = cut(document_sets(documents, width, percent, hot_rows))
+    release(documents.sparkSession)
     may = sets.where("s1 IS NOT NULL")
     classes = may.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"))
     member = cut(
@@ -314,7 +320,8 @@ def jaccard_components(
         hub = hub.where("rows > 1").selectExpr("gram", "hub.b AS a", "hub.nb AS na")
         return _candidates(entries.join(hub, "gram").where("a <> b"), percent)
 
-    links = cut(_verified(stars(postings), rows, percent))
+    links = cut(_verified(cut(stars(postings)), rows, percent))
+    release(documents.sparkSession)
     labels = smallest_reachable(links)
     placed = postings.join(labels.withColumnRenamed("node", "b"), "b", "left").selectExpr(
         "gram", "b", "nb", "coalesce(component, b) AS part"
@@ -327,8 +334,8 @@ def jaccard_components(
     rest = cut(placed.join(open_grams, "gram"))
     minor = rest.where("part <> main").selectExpr("gram", "b AS a", "nb AS na", "part AS own")
     pairs = minor.join(rest.select("gram", "b", "nb", "part"), "gram").where("own <> part")
-    pairs = _candidates(pairs.selectExpr("least(a, b) AS a", "greatest(a, b) AS b", "na", "nb"), percent)
-    more = _verified(pairs.join(links, ["a", "b"], "left_anti"), rows, percent)
+    pairs = cut(_candidates(pairs, percent))
+    more = _verified(pairs, rows, percent)
     labels = smallest_reachable(links.union(more))
     labels = member.join(labels.withColumnRenamed("node", "rep"), "rep", "left").selectExpr(
         "doc_id", "coalesce(component, rep) AS component"

@@ -9,10 +9,11 @@ nothing. What is left are the rows of the product that can hold a link.
 
 Overlap of two rows is then accumulated only for pairs that share one of their rarest
 shared n-grams (at Jaccard t, two sets of size n agree on one of the rarest
-n - ceil(t n) + 1) and whose sizes allow it. Equal sets are one row. For each n-gram the
-smallest document is compared with the others first; linked rows become one component, and
-only pairs that still lie in different components are compared after that. So a group of
-near copies costs its size, not its square, and no link between components is lost.
+n - ceil(t n) + 1) and whose sizes allow it. Equal sets are one row. For each n-gram one
+document, the one with the largest shared part, is compared with the others first; linked
+rows become one component, and that is repeated for what is left. At last all pairs that
+still lie in different components are compared. So a group of near copies costs its size,
+not its square, and no link between components is lost.
 
 Hot n-grams: a pass before the first counts inside each map task and sums over tasks; an
 n-gram with more than ``hot_rows`` entries skips its block, its count goes along from the
@@ -41,6 +42,8 @@ HOT_LIMIT = 1_000_000
 PACK = 500_000
 #: Blocks for each shuffle partition, so that uneven blocks even out.
 SPREAD = 2
+#: Rounds that compare one document of each n-gram with the rest, after the first.
+ROUNDS = 2
 #: A task reports n-grams that so many of its documents hold to the hot count.
 LOCAL = 8
 #: Bits of an n-gram's hash that go along; its block adds the rest.
@@ -270,8 +273,9 @@ def document_sets(documents: DataFrame, width: int = WIDTH, percent: int = PERCE
 
 
 def _candidates(pairs: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs whose sizes allow a link."""
-    return pairs.where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").selectExpr("a", "b").distinct()
+    """Distinct pairs whose sizes allow a link: they share at most what each shares at all."""
+    allowed = f"{100 + percent} * least(sa, sb) >= {percent} * (na + nb)"
+    return pairs.where(allowed).selectExpr("a", "b").distinct()
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
@@ -310,33 +314,49 @@ def jaccard_components(
         may.select("doc_id", "s1", "s2", "n").join(classes, ["s1", "s2", "n"]).select("doc_id", "rep")
     )
     rows = cut(
-        may.join(member.where("doc_id = rep").select("doc_id"), "doc_id", "left_semi").select("doc_id", "n", "grams", "prefix")
+        may.join(member.where("doc_id = rep").select("doc_id"), "doc_id", "left_semi").select(
+            "doc_id", "n", "shared", "grams", "prefix"
+        )
     )
-    postings = cut(rows.selectExpr("explode(prefix) AS gram", "doc_id AS b", "n AS nb"))
-
-    def stars(entries: DataFrame) -> DataFrame:
-        """Of every n-gram, the smallest document against the others."""
-        hub = entries.groupBy("gram").agg(F.min(F.struct("b", "nb")).alias("hub"), F.count("*").alias("rows"))
-        hub = hub.where("rows > 1").selectExpr("gram", "hub.b AS a", "hub.nb AS na")
-        return _candidates(entries.join(hub, "gram").where("a <> b"), percent)
-
-    links = cut(_verified(cut(stars(postings)), rows, percent))
+    postings = cut(rows.selectExpr("explode(prefix) AS gram", "doc_id AS b", "n AS nb", "shared AS sb"))
+
+    def stars(entries: DataFrame, among: DataFrame) -> DataFrame:
+        """Of every n-gram, one document of ``among`` against the others.
+
+        The one that shares the largest part of its set: in a group of copies, the original.
+        """
+        hub = among.groupBy("gram").agg(F.min(F.expr("struct(nb - sb AS alone, b, nb, sb, part)")).alias("hub"))
+        hub = hub.selectExpr("gram", "hub.b AS a", "hub.nb AS na", "hub.sb AS sa", "hub.part AS own")
+        return cut(_candidates(entries.join(hub, "gram").where("own <> part"), percent))
+
+    def open_postings(links: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Postings of n-grams that still join different components; of these, all that
+        are not in the component of the n-gram's first document."""
+        labels = smallest_reachable(links).withColumnRenamed("node", "b")
+        placed = postings.join(labels, "b", "left").selectExpr("gram", "b", "nb", "sb", "coalesce(component, b) AS part")
+        grams = placed.groupBy("gram").agg(
+            F.min("part").alias("low"), F.max("part").alias("high"), F.min(F.struct("b", "part")).alias("first")
+        )
+        grams = grams.where("low < high").selectExpr("gram", "first.part AS main")
+        left = cut(placed.join(grams, "gram"))
+        return left, left.where("part <> main")
+
+    placed = postings.withColumn("part", F.col("b"))
+    links = cut(_verified(stars(placed, placed), rows, percent))
+    left, minor = open_postings(links)
+    for _ in range(ROUNDS):
+        more = cut(_verified(stars(left, minor), rows, percent))
+        if more.isEmpty():
+            break
+        links = links.union(more)
+        left, minor = open_postings(links)
     release(documents.sparkSession)
-    labels = smallest_reachable(links)
-    placed = postings.join(labels.withColumnRenamed("node", "b"), "b", "left").selectExpr(
-        "gram", "b", "nb", "coalesce(component, b) AS part"
+    # What is left: every document outside the first one's component against all others.
+    pairs = minor.selectExpr("gram", "b AS a", "nb AS na", "sb AS sa", "part AS own").join(
+        left.select("gram", "b", "nb", "sb", "part", "main"), "gram"
     )
-    # N-grams that still join different components; there, all but the hub's component
-    # are compared with every other one.
-    open_grams = placed.groupBy("gram").agg(
-        F.min("part").alias("low"), F.max("part").alias("high"), F.min(F.struct("b", "part")).alias("hub")
-    ).where("low < high").selectExpr("gram", "hub.part AS main")
-    rest = cut(placed.join(open_grams, "gram"))
-    minor = rest.where("part <> main").selectExpr("gram", "b AS a", "nb AS na", "part AS own")
-    pairs = minor.join(rest.select("gram", "b", "nb", "part"), "gram").where("own <> part")
-    pairs = cut(_candidates(pairs, percent))
-    more = _verified(pairs, rows, percent)
-    labels = smallest_reachable(links.union(more))
+    pairs = cut(_candidates(pairs.where("own <> part AND (part = main OR a < b)"), percent))
+    labels = smallest_reachable(links.union(_verified(pairs, rows, percent)))
     labels = member.join(labels.withColumnRenamed("node", "rep"), "rep", "left").selectExpr(
         "doc_id", "coalesce(component, rep) AS component"
     )

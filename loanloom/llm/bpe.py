@@ -38,7 +38,7 @@ SPACE = r"\t-\r \x85\xa0  -     　"
 #: Characters of text that go through at a time, if white space allows a cut there.
 PIECE = 1 << 16
 #: Runs of words whose ids a task remembers; the memory is emptied when it is full.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 #: A word of more symbols than this is streamed.
 WHOLE = 512
 #: Rank of a pair that does not merge.

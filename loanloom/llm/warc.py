@@ -3,7 +3,7 @@
 Writing: one record per page. Payloads that repeat are stored once, in the record with the
 largest page_id; the others are revisit records that name it. Records are text with CRLF
 line ends, so Spark's own text writer puts them into files on any file system, and its
-reader splits those files again at a mark that names the run and stands in every record's
+reader cuts those files again at a mark that names the run and stands in every record's
 first header line. A record's stated length is checked when it is read.
 
 Index: captures are dealt to ranges of (URL key, timestamp, page). Each range sorts chunks
@@ -29,6 +29,8 @@ from loanloom.llm.common import partitions, scratch_dir
 
 #: Payloads of fewer bytes are stored with every page.
 LEAST_BYTES = 0
+#: Records of one archive file, at most.
+FILE_RECORDS = 20_000
 #: Captures of a sorted run.
 RUN_ROWS = 50_000
 BASE32, DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "0123456789ABCDEFGHIJKLMNOPQRSTUV"
@@ -102,7 +104,9 @@ def write_archive(pages: DataFrame, path: str, run: str, least_bytes: int = LEAS
         f"concat('WARC/1.1', {line}, 'WARC-Run: {run}', {line}, "
         f"concat_ws({line}, {', '.join(head)}), {line}, {line}, IF(refers_to IS NULL, html, ''), {line}) AS value"
     )
-    records(pages, least_bytes).selectExpr(record).write.mode("overwrite").option("lineSep", "\r\n").text(path)
+    # Packed files are not split, so their size is bounded.
+    files = records(pages, least_bytes).selectExpr(record).write.mode("overwrite")
+    files.option("maxRecordsPerFile", FILE_RECORDS).option("compression", "gzip").option("lineSep", "\r\n").text(path)
 
 
 def read_archive(spark, path: str, run: str) -> DataFrame:

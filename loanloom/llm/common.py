@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import sys
 import tempfile
 import uuid
@@ -31,19 +30,23 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The same rows, read back from the shared folder: lost executors cost no rerun."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner remove shuffle files of finished steps; results stay.
+def cut(df: DataFrame) -> DataFrame:
+    """The same rows, read back from the shared folder: lost executors cost no rerun.
 
-    The cleaner acts on what the driver's JVM has found to be garbage.
+    What was shuffled on the way is not needed after that; its files go at once.
     """
-    gc.collect()
-    spark._jvm.System.gc()
+    spark = df.sparkSession
+    shared_dir(spark)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        # A plan of its own, so that no other DataFrame's shuffles are removed.
+        return df.select("*").checkpoint()
+    finally:
+        spark.conf.set(CLEANUP, before)
 
 
 def partitions(spark: SparkSession) -> int:

@@ -13,7 +13,8 @@ MICRO = 1_000_000
 
 
 def to_micro(score: str) -> str:
-    return f"floor({score} * {MICRO}D + 0.5D)"
+    """Millionths; NULL for a score that is missing or not a number."""
+    return f"floor(nullif({score}, DOUBLE('NaN')) * {MICRO}D + 0.5D)"
 
 
 def from_micro(micro: str) -> str:

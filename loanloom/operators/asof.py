@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanloom.functions.cleaning import quoted
-from loanloom.operators.skew import HOT_ROWS, HOT_SHARE, salted_join
+from loanloom.operators.skew import keyed_join
 
 
 def asof_join(
@@ -15,37 +15,36 @@ def asof_join(
     by: str,
     left_on: str,
     right_on: str,
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Backward as-of join, exact matches allowed, unmatched left rows kept.
 
-    ``right`` must hold one row per (``by``, ``right_on``). The carry window runs
-    over the *distinct* (key, date) pairs of both sides, so one key costs at most
-    a row per calendar date however many rows it has; the left rows then fetch
-    their match with a skew-safe equi-join.
+    ``right`` must hold one row per (``by``, ``right_on``). The carry window runs over the
+    *distinct* (key, date) pairs of both sides and carries the date alone, so one key costs
+    at most a row per calendar date however many rows it has. The left rows fetch their
+    match's date, and its row, with two equi-joins; wide rows are shuffled once.
     """
-    payload = [c for c in right.columns if c != by]
-    row = f"struct({', '.join(quoted(c) for c in payload)}) AS _row"
     key = quoted(by)
-    snapshots = right.where(f"{key} IS NOT NULL AND {quoted(right_on)} IS NOT NULL").selectExpr(
-        key, f"{quoted(right_on)} AS _t", "0 AS _side", row
-    )
+    known = right.where(f"{key} IS NOT NULL AND {quoted(right_on)} IS NOT NULL")
+    dates = known.selectExpr(key, f"{quoted(right_on)} AS _t", f"{quoted(right_on)} AS _at")
     asked = (
         left.where(f"{key} IS NOT NULL AND {quoted(left_on)} IS NOT NULL")
         .selectExpr(key, f"{quoted(left_on)} AS _t")
         .distinct()
-        .selectExpr(key, "_t", "1 AS _side")
-        .withColumn("_row", F.lit(None).cast(snapshots.schema["_row"].dataType))
+        .selectExpr(key, "_t", "NULL AS _at")
     )
+    # On a shared date the snapshot comes first: NULL sorts last among equal dates.
     carried = (
-        f"last(_row, true) OVER (PARTITION BY {key} ORDER BY _t, _side "
-        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _row"
+        f"last(_at, true) OVER (PARTITION BY {key} ORDER BY _t, _at NULLS LAST "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _last"
     )
     matched = (
-        snapshots.unionByName(asked)
-        .selectExpr(key, "_t", "_side", carried)
-        .where("_side = 1 AND _row IS NOT NULL")
-        .selectExpr(key, f"_t AS {quoted(left_on)}", "_row.*")
+        dates.unionByName(asked)
+        .selectExpr(key, "_t", "_at", carried)
+        .where("_at IS NULL AND _last IS NOT NULL")
+        .selectExpr(key, f"_t AS {quoted(left_on)}", "_last")
     )
-    return salted_join(left, matched, [by, left_on], "left", share=share, min_rows=min_rows)
+    payload = [c for c in right.columns if c != by]
+    rows = known.selectExpr(f"{key} AS _by", *[f"{quoted(c)} AS {quoted('_r_' + c)}" for c in payload])
+    dated = keyed_join(left, matched, [by, left_on], "left")
+    found = dated.join(rows, (dated[by] == rows["_by"]) & (dated["_last"] == rows[f"_r_{right_on}"]), "left")
+    return found.selectExpr(*map(quoted, left.columns), *[f"{quoted('_r_' + c)} AS {quoted(c)}" for c in payload])

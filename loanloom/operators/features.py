@@ -28,7 +28,7 @@ from loanloom.functions.cleaning import (
 )
 from loanloom.functions.dates import date_literal, origination_month, split_name, window_bounds
 from loanloom.operators.asof import asof_join
-from loanloom.operators.skew import HOT_ROWS, HOT_SHARE, latest_per, salted_join
+from loanloom.operators.skew import keyed_join, latest_per
 
 
 def clickstream_agg(clicks: DataFrame) -> DataFrame:
@@ -45,9 +45,7 @@ def feature_store(attributes: DataFrame, financials: DataFrame, clicks: DataFram
     aggregated before they are joined.
     """
     key = ["Customer_ID", "snapshot_date"]
-    return salted_join(
-        attributes, financials, key, "left", clickstream_agg(clicks), right_unique=False
-    )
+    return keyed_join(attributes, financials, key, "left", clickstream_agg(clicks))
 
 
 # Derived ratios, bounded to [0, 5].
@@ -137,7 +135,7 @@ def dedupe_snapshots(features: DataFrame) -> DataFrame:
 
 
 def asof_features(
-    apps: DataFrame, features: DataFrame, share: float = HOT_SHARE, min_rows: int = HOT_ROWS
+    apps: DataFrame, features: DataFrame
 ) -> DataFrame:
     """Features known at each application's origination month, none from later."""
     return asof_join(
@@ -146,8 +144,6 @@ def asof_features(
         "Customer_ID",
         "orig_month",
         "feat_snapshot",
-        share=share,
-        min_rows=min_rows,
     )
 
 
@@ -171,7 +167,7 @@ def modelling_table(
         return joined.where("feat_snapshot IS NOT NULL")
     if mode != "latest_then_filter":
         raise ValueError(f"unknown mode {mode!r}")
-    joined = salted_join(dated, ready(latest_features(features)), ["Customer_ID"], "inner")
+    joined = keyed_join(dated, ready(latest_features(features)), ["Customer_ID"], "inner")
     return joined.where("feat_snapshot <= orig_month")
 
 

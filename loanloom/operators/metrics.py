@@ -44,15 +44,22 @@ def score_counts(
 
 
 def cumulate(hist: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Add ``cum_bad`` and ``cum_good`` from the highest score down, and the totals."""
+    """Add ``cum_bad`` and ``cum_good`` from the highest score down, and the totals.
+
+    Rows without a score keep their counts ``bad`` and ``good`` and rank nowhere:
+    ``ranked_bad`` and ``ranked_good`` are 0 there.
+    """
     group = f"PARTITION BY {', '.join(by)}"
     down = f"({group} ORDER BY micro DESC)"
-    return hist.where("micro IS NOT NULL").selectExpr(
+    ranked = hist.selectExpr(
+        "*", *[f"CASE WHEN micro IS NULL THEN 0 ELSE {c} END AS ranked_{c}" for c in ("bad", "good")]
+    )
+    return ranked.selectExpr(
         "*",
-        f"sum(bad) OVER {down} AS cum_bad",
-        f"sum(good) OVER {down} AS cum_good",
-        f"sum(bad) OVER ({group}) AS all_bad",
-        f"sum(good) OVER ({group}) AS all_good",
+        f"sum(ranked_bad) OVER {down} AS cum_bad",
+        f"sum(ranked_good) OVER {down} AS cum_good",
+        f"sum(ranked_bad) OVER ({group}) AS all_bad",
+        f"sum(ranked_good) OVER ({group}) AS all_good",
     )
 
 
@@ -64,9 +71,9 @@ def ranking_aggs() -> dict[str, str]:
     KS compares the two distributions at distinct scores.
     """
     both = "max(all_bad) > 0 AND max(all_good) > 0"
-    not_beaten = "sum(CAST(bad AS DOUBLE) * (cum_good - good / 2D))"
+    not_beaten = "sum(CAST(ranked_bad AS DOUBLE) * (cum_good - ranked_good / 2D))"
     pairs = "(CAST(max(all_bad) AS DOUBLE) * max(all_good))"
-    precision = "sum(CASE WHEN bad > 0 THEN bad * (cum_bad / (cum_bad + cum_good)) END)"
+    precision = "sum(CASE WHEN ranked_bad > 0 THEN ranked_bad * (cum_bad / (cum_bad + cum_good)) END)"
     gap = "abs(cum_bad / greatest(all_bad, 1) - cum_good / greatest(all_good, 1))"
     return {
         "auc": f"CASE WHEN {both} THEN 1 - {not_beaten} / {pairs} END",
@@ -105,7 +112,7 @@ def recall_threshold(
     The lowest threshold wins ties; 0.5 when the group has one class only.
     """
     reached = (
-        "all_bad > 0 AND all_good > 0 AND bad + good > 0 "
+        "all_bad > 0 AND all_good > 0 AND ranked_bad + ranked_good > 0 "
         f"AND cum_bad / all_bad >= {float(target)!r}D"
     )
     candidate = "struct(cum_bad / (cum_bad + cum_good) AS precision, -micro AS neg)"

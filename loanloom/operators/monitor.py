@@ -17,7 +17,7 @@ from loanloom.operators.metrics import (
     score_counts,
     with_baseline,
 )
-from loanloom.operators.skew import HOT_ROWS, HOT_SHARE, salted_join
+from loanloom.operators.skew import keyed_join
 
 COHORT = ("orig_month", "model_version")
 
@@ -35,16 +35,9 @@ def one_label_per_loan(labels: DataFrame) -> DataFrame:
     )
 
 
-def attach_labels(
-    predictions: DataFrame,
-    labels: DataFrame,
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_ROWS,
-) -> DataFrame:
+def attach_labels(predictions: DataFrame, labels: DataFrame) -> DataFrame:
     """Predictions with the label of their loan, NULL while it has not matured."""
-    return salted_join(
-        predictions, one_label_per_loan(labels), ["loan_id"], "left", share=share, min_rows=min_rows
-    )
+    return keyed_join(predictions, one_label_per_loan(labels), ["loan_id"])
 
 
 def cohort_monitor(
@@ -75,6 +68,7 @@ def cohort_monitor(
             "sum(bad) + sum(good) AS n_labelled",
             "sum(positive) AS n_positive",
             "sum(CAST(micro * n AS DOUBLE)) AS micros",
+            "sum(CASE WHEN micro IS NOT NULL THEN n END) AS n_with_score",
             "max(expected) AS expected",
             *[f"{e} AS {name}" for name, e in ranking.items()],
             f"{bin_counts()} AS binned",
@@ -83,9 +77,9 @@ def cohort_monitor(
     enough = f"n_labelled >= {settings.min_labelled}"
     measured = f"{enough} AND auc IS NOT NULL"
     numbers = {
-        "avg_score": f"micros / n_scored / {MICRO}",
+        "avg_score": f"micros / n_with_score / {MICRO}",
         "pred_positive_rate": "n_positive / n_scored",
-        "psi": psi_value("binned", "n_scored", "expected"),
+        "psi": psi_value("binned", "n_with_score", "expected"),
         **{c: f"CASE WHEN {measured} THEN {c} END" for c in ranking},
         "actual_bad_rate": f"CASE WHEN {measured} THEN n_bad / n_labelled END",
     }

@@ -5,126 +5,24 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from loanloom.functions.cleaning import quoted
 
-# A key is hot above this share of the rows, so at most 1 / HOT_SHARE keys are.
-HOT_SHARE = 0.001
-HOT_KEYS = 1000
-# Below this many rows a key fits a task whatever its share.
-HOT_ROWS = 1_000_000
-TRACKED = 10_000
-FAN_IN = 64
 
+def keyed_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", *more: DataFrame) -> DataFrame:
+    """Equi-join (``left`` or ``inner``) with ``right`` and then each of ``more``.
 
-def _hash(names: Sequence[str]) -> str:
-    return f"xxhash64({', '.join(quoted(n) for n in names)})"
-
-
-def hot_keys(
-    df: DataFrame, on: Sequence[str], share: float = HOT_SHARE, min_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Hashes (``_hot``) of the keys that hold more than ``share`` of the rows.
-
-    One narrow pass with a frequent-items sketch: only sketches are shuffled, never
-    keys, and they are merged in two levels, so that the last task reads FAN_IN of
-    them however many tasks made one. The result has at most HOT_KEYS rows by
-    construction. NULL keys hash like any other, so a hot NULL key is found too.
-    """
-    merged = (
-        df.selectExpr(f"{_hash(on)} AS _key")
-        .groupBy(F.expr(f"spark_partition_id() % {FAN_IN} AS _branch"))
-        .agg(
-            F.expr(f"approx_top_k_accumulate(_key, {TRACKED}) AS _sketch"),
-            F.expr("count(*) AS _rows"),
-        )
-        # One group for all branches, and none when there are no rows.
-        .groupBy(F.expr("_branch >= 0 AS _all"))
-        .agg(
-            F.expr(f"approx_top_k_combine(_sketch, {TRACKED}) AS _sketch"),
-            F.expr("sum(_rows) AS _rows"),
-        )
-    )
-    return (
-        merged.selectExpr(f"explode(approx_top_k_estimate(_sketch, {HOT_KEYS})) AS _item", "_rows")
-        .where(f"_item.count > greatest(_rows * {float(share)!r}D, {float(min_rows)!r}D)")
-        .selectExpr("_item.item AS _hot")
-    )
-
-
-def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    *more: DataFrame,
-    right_unique: bool = True,
-    salts: int = 64,
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Equi-join (``left`` or ``inner``) that spreads hot keys; equals the plain join.
-
-    Rows of a key that is hot on one side get one of ``salts`` values, and the rows
-    of that key on the other side are repeated once per value; all other keys join
-    as usual. ``right_unique=False`` also looks for keys that are hot on the right.
-    Further frames in ``more`` hold one row per key; they are joined on the same
-    partitioning, so the left side is shuffled once for all of them.
-
-    The broadcast list holds at most HOT_KEYS hashes per side. The salt depends on
-    the row and its partition only, so a recomputed task places its rows where the
-    lost one did.
+    The plain join: inputs are read once, and filters reach their scans. A key that holds
+    much of the left side, NULL included, is split at run time by the measured size of its
+    partition (the session forces that also where a later step then needs one more
+    shuffle), so there is no threshold, list of keys or number of salts to outgrow.
     """
     if how not in ("left", "inner"):
-        raise ValueError(f"salted_join supports left and inner joins, not {how!r}")
-    on = list(on)
-    hot = hot_keys(left, on, share, min_rows).selectExpr("_hot", "true AS _many_left", "false AS _many_right")
-    if not right_unique:
-        other = hot_keys(right, on, share, min_rows)
-        hot = (
-            hot.unionByName(other.selectExpr("_hot", "false AS _many_left", "true AS _many_right"))
-            .groupBy("_hot")
-            .agg(F.expr("max(_many_left) AS _many_left"), F.expr("max(_many_right) AS _many_right"))
-        )
-    hot = F.broadcast(hot)
-    every = f"sequence(0, {salts - 1})"
-
-    def marked(df: DataFrame) -> DataFrame:
-        return df.selectExpr("*", f"{_hash(on)} AS _key").join(hot, F.expr("_key = _hot"), "left")
-
-    def spread(df: DataFrame) -> str:
-        names = ", ".join(quoted(c) for c in df.columns)
-        return f"CAST(pmod(xxhash64({names}, spark_partition_id()), {salts}) AS INT)"
-
-    kept = [quoted(c) for c in left.columns]
-    one = f"CASE WHEN _many_left THEN {spread(left)} ELSE 0 END"
-    if right_unique:
-        lhs = marked(left).selectExpr(*kept, f"{one} AS _salt")
-    else:
-        lhs = marked(left).selectExpr(
-            *kept,
-            "coalesce(_many_right, false) AS _copied",
-            f"explode(CASE WHEN _many_right THEN {every} ELSE array({one}) END) AS _salt",
-        )
-
-    one = f"CASE WHEN _many_right THEN {spread(right)} ELSE 0 END"
-    rhs = marked(right).selectExpr(
-        *[quoted(c) for c in right.columns],
-        f"explode(CASE WHEN _many_left AND NOT _many_right THEN {every} ELSE array({one}) END) AS _salt",
-        "true AS _matched",
-    )
-    joined = lhs.join(rhs, [*on, "_salt"], how)
-    if not right_unique and how == "left":
-        # A copied left row matches in at least one salt; its other copies may not.
-        joined = joined.where("NOT _copied OR _matched IS NOT NULL")
+        raise ValueError(f"keyed_join supports left and inner joins, not {how!r}")
+    joined = left.join(right, list(on), how)
     for extra in more:
-        copies = marked(extra).selectExpr(
-            *[quoted(c) for c in extra.columns],
-            f"explode(CASE WHEN _hot IS NOT NULL THEN {every} ELSE array(0) END) AS _salt",
-        )
-        joined = joined.join(copies, [*on, "_salt"], how)
-    return joined.drop("_salt", "_copied", "_matched")
+        joined = joined.join(extra, list(on), how)
+    return joined
 
 
 def latest_per(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

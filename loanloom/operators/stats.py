@@ -14,6 +14,9 @@ from loanloom.functions.cleaning import quoted
 # each cut into equal parts between its own smallest and largest value.
 BUCKETS_PER_UNIT = 4_096
 PARTS = 1_048_576
+# asinh of the magnitude: for negative numbers the engine's own cancels digits. Capped, as
+# the square inside overflows above 1e154; the second step tells the values apart.
+BUCKET = f"CAST(floor(signum(value) * asinh(least(abs(value), 1e150D)) * {BUCKETS_PER_UNIT}) AS BIGINT)"
 
 
 def rank_pair(n: str, p: float) -> tuple[str, str, str]:
@@ -29,15 +32,16 @@ def rank_pair(n: str, p: float) -> tuple[str, str, str]:
 
 
 def interpolate(low: str, high: str, weight: str) -> str:
-    return f"({low} + ({high} - {low}) * {weight})"
+    """Between the two values; the value itself where they are equal or the weight is 0."""
+    return f"CASE WHEN {weight} = 0 OR {low} = {high} THEN {low} ELSE {low} + ({high} - {low}) * {weight} END"
 
 
 def melt(df: DataFrame, columns: Sequence[str], kind: str = "DOUBLE") -> DataFrame:
-    """Long form (``column``, ``value``) of the non-NULL values."""
+    """Long form (``column``, ``value``) of the values; NULL and NaN are none."""
     return (
         df.selectExpr(*[f"CAST({quoted(c)} AS {kind}) AS {quoted(c)}" for c in columns])
         .unpivot([], list(columns), "column", "value")
-        .where("value IS NOT NULL")
+        .where("value IS NOT NULL" + (" AND NOT isnan(value)" if kind == "DOUBLE" else ""))
     )
 
 
@@ -59,7 +63,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Mapping[str, f
     # have the same plan and share one shuffle.
     bucketed = (
         value_counts(df, columns)
-        .selectExpr("*", f"floor(asinh(value) * {BUCKETS_PER_UNIT}) AS bucket")
+        .selectExpr("*", f"{BUCKET} AS bucket")
         .where("column IS NOT NULL AND bucket IS NOT NULL")
     )
     ranks = {name: rank_pair("total", p) for name, p in probs.items()}
@@ -83,7 +87,13 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Mapping[str, f
             "explode(held) AS wanted",
         )
     )
-    part = f"CASE WHEN high > low THEN floor((value - low) / (high - low) * {PARTS}) ELSE 0 END"
+    # Halves, so that the width does not overflow; infinite ends have parts of their own.
+    width = f"(value / 2 - low / 2) / (high / 2 - low / 2) * {PARTS}"
+    part = (
+        "CAST(CASE WHEN value = DOUBLE('-Infinity') THEN -1 "
+        f"WHEN value = DOUBLE('Infinity') THEN {PARTS + 1} "
+        f"WHEN high > low AND abs(low) + abs(high) < DOUBLE('Infinity') THEN floor({width}) ELSE 0 END AS BIGINT)"
+    )
     parted = bucketed.join(F.broadcast(held), ["column", "bucket"]).selectExpr(
         "column", "wanted", "before", "total", "value", "n", f"{part} AS part"
     )

@@ -17,19 +17,28 @@ CORRUPT = "_corrupt"
 def read_raw(
     spark: SparkSession, path: str, source: str, schema: T.StructType | None = None
 ) -> DataFrame:
-    """Raw CSV with a header under the declared text schema.
+    """Raw CSV as text, its columns found by the names in the header line.
 
-    Lines that do not fit the layout keep their text in ``_corrupt``.
+    The declared columns come first, whatever their order in the file, then columns that
+    were not declared. A declared column the header lacks is an error, as are files of one
+    source whose headers differ. Lines that do not fit the layout keep their text in
+    ``_corrupt``.
     """
-    layout = schema or RAW[source]
-    with_corrupt = T.StructType([*layout.fields, T.StructField(CORRUPT, T.StringType())])
-    return (
-        spark.read.schema(with_corrupt)
+    declared = (schema or RAW[source]).names
+    names = spark.read.option("header", True).csv(path).columns
+    if lacking := [c for c in declared if c not in names]:
+        raise ValueError(f"{path}: the header lacks {', '.join(lacking)}")
+    layout = T.StructType([T.StructField(c, T.StringType()) for c in [*names, CORRUPT]])
+    rows = (
+        spark.read.schema(layout)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
     )
+    extra = [c for c in names if c not in declared]
+    return rows.selectExpr(*map(quoted, [*declared, *extra, CORRUPT]))
 
 
 def raw_months(

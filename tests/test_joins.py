@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 
 from loanloom.operators.asof import asof_join
-from loanloom.operators.skew import hot_keys, latest_per, salted_join
+from loanloom.operators.skew import keyed_join, latest_per
 from loanloom.streaming.incremental import unseen_cohorts
 
 
@@ -30,43 +30,29 @@ def sides(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize("min_rows", [0, 1_000_000])
-def test_salted_join_equals_join(sides, how, min_rows):
+def test_keyed_join_equals_join(sides, how, spark):
     left, right, many = sides
-    got = salted_join(left, right, ["k"], how, salts=4, share=0.02, min_rows=min_rows)
+    third = spark.createDataFrame([("hot", 1.5), ("k2", 2.5)], "k string, z double")
+    got = keyed_join(left, right, ["k"], how)
     assert got.columns == ["k", "v", "r"]
     assert rows(got) == rows(left.join(right, "k", how))
-    got = salted_join(left, many, ["k"], how, right_unique=False, salts=4, share=0.02, min_rows=min_rows)
-    assert rows(got) == rows(left.join(many, "k", how))
-
-
-def test_salted_join_of_three(sides, spark):
-    left, right, many = sides
-    third = spark.createDataFrame([("hot", 1.5), ("k2", 2.5)], "k string, z double")
-    got = salted_join(left, many, ["k"], "left", third, right_unique=False, salts=4, share=0.02, min_rows=0)
-    assert rows(got) == rows(left.join(many, "k", "left").join(third, "k", "left"))
-
-
-def test_hot_keys_finds_null_and_hot(sides, spark):
-    left, _, _ = sides
-    found = {r["_hot"] for r in hot_keys(left, ["k"], 0.1, 0).collect()}
-    hashes = spark.sql("SELECT xxhash64('hot') AS h, xxhash64('k1') AS c").first()
-    assert hashes["h"] in found and hashes["c"] not in found
+    got = keyed_join(left, many, ["k"], how, third)
+    assert rows(got) == rows(left.join(many, "k", how).join(third, "k", how))
 
 
-def test_hot_rows_spread(sides):
+def test_keyed_join_reads_once(sides):
     left, right, _ = sides
-    joined = salted_join(left.repartition(1), right, ["k"], "left", salts=8, share=0.02, min_rows=0)
-    plan = joined._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" in plan and "approx_top_k_combine" in plan
+    with pytest.raises(ValueError):
+        keyed_join(left, right, ["k"], "full")
+    plan = keyed_join(left, right, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") + plan.count("Repartition") <= 4
 
 
 def day(n):
     return dt.date(2024, 1, 1) + dt.timedelta(days=n)
 
 
-@pytest.mark.parametrize("min_rows", [0, 1_000_000])
-def test_asof_equals_pandas(spark, min_rows):
+def test_asof_equals_pandas(spark):
     rng = random.Random(5)
     left = [(rng.choice("abcdX"), day(rng.randint(0, 60)), i) for i in range(300)]
     right = {(rng.choice("abcd"), day(rng.randint(5, 55))): rng.random() for _ in range(60)}
@@ -77,7 +63,7 @@ def test_asof_equals_pandas(spark, min_rows):
     got = asof_join(
         spark.createDataFrame(left, "k string, t date, i int"),
         spark.createDataFrame([(*k, v) for k, v in right.items()], "k string, ft date, x double"),
-        "k", "t", "ft", share=0.05, min_rows=min_rows,
+        "k", "t", "ft",
     )
     assert sorted((r["i"], r["x"]) for r in got.collect()) == want
     assert got.where("ft > t").count() == 0

@@ -63,6 +63,18 @@ def test_raw_csv_keeps_bad_lines(spark, tmp_path):
     assert raw_months(raw).first()["snapshot_date"] == dt.date(2023, 2, 1)
 
 
+def test_raw_csv_goes_by_header_names(spark, tmp_path):
+    file = tmp_path / "a.csv"
+    file.write_text("snapshot_date,Extra,SSN,Age,Name,Occupation,Customer_ID\n2023-02-01,7,1,28_,Ann,Lawyer,007\n")
+    raw = read_raw(spark, str(file), "attributes")
+    row = raw.first()
+    assert (row["Customer_ID"], row["Age"], row["Extra"], row["snapshot_date"]) == ("007", "28_", "7", "2023-02-01")
+    assert raw_months(raw, "2023-02-01").count() == 1
+    file.write_text("Customer_ID,Name\n007,Ann\n")
+    with pytest.raises(ValueError, match="lacks Age"):
+        read_raw(spark, str(file), "attributes")
+
+
 def test_exports(spark, tmp_path):
     df = spark.sql("SELECT * FROM VALUES (2, 'b'), (1, 'a') AS t(n, s)")
     export_csv(df, str(tmp_path / "c"), "n")

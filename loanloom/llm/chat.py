@@ -110,7 +110,7 @@ def read_windows(windows: DataFrame) -> DataFrame:
         "conv_id", "window_no", "length(formatted) AS chars",
         # A turn ends at each end mark; the first piece of a role runs to the first
         # line break that is not escaped.
-        f"slice(split(formatted, '\\\\Q{END.replace(chr(92) + 'n', '')}\\\\E\\n'), n_repeated + 1, 2147483647) AS pieces",
+        f"slice(split(formatted, '\\\\Q{END.replace(chr(92) + 'n', '')}\\\\E\\n'), n_repeated + 1, 1000000000) AS pieces",
         "transform(loss, x -> substring(formatted, x.start + 1, x.size)) AS masked",
     )
     role = r"regexp_extract(p, '(?s)^<\\|im_start\\|>((?:[^\\\\\n]++|\\\\.)*+)\n', 1)"

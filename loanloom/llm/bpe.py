@@ -37,7 +37,7 @@ from loanloom.llm.common import worker_memory
 SPACE = r"\t-\r \x85\xa0  -     　"
 #: Characters of text that go through at a time, if white space allows a cut there.
 PIECE = 1 << 16
-#: Runs of words whose ids a task remembers; the memory is emptied when it is full.
+#: Runs of words whose ids a task remembers; when so many are new, the ones not met since go.
 REMEMBERED = 250_000
 #: A word of more symbols than this is streamed.
 WHOLE = 512
@@ -65,6 +65,7 @@ class Bpe:
     pattern: str
     added: dict[str, int]
     _memory: dict[str, tuple[int, ...]] = field(default_factory=dict)
+    _older: dict[str, tuple[int, ...]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         self.words = regex.compile(self.pattern.replace(r"\s", SPACE))
@@ -139,11 +140,12 @@ class Bpe:
 
     def _run(self, run: str) -> tuple[int, ...]:
         """Ids of a run of words; short runs are remembered."""
+        if found := self._known(run):
+            return found
         ids: list[int] = []
         words = self.words.findall(run)
-        known = self._memory.get
         for word in words:
-            if word != run and (found := known(word)):
+            if word != run and (found := self._known(word)):
                 ids += found
                 continue
             symbols = [self.start[b] for b in word.encode("utf-8", "surrogatepass")]
@@ -152,12 +154,22 @@ class Bpe:
             ids += self._remember(word, merged)
         return tuple(ids) if words == [run] else self._remember(run, ids)
 
+    def _known(self, run: str) -> tuple[int, ...] | None:
+        """What is remembered of a run; an older one counts as new again."""
+        found = self._memory.get(run)
+        if found is None and (found := self._older.get(run)) is not None:
+            self._keep(run, found)
+        return found
+
+    def _keep(self, run: str, made: tuple[int, ...]) -> None:
+        if len(self._memory) >= REMEMBERED:
+            self._older, self._memory = self._memory, {}
+        self._memory[run] = made
+
     def _remember(self, run: str, ids: Iterable[int]) -> tuple[int, ...]:
         made = tuple(map(self.ids.__getitem__, ids))
         if len(run) <= 64:
-            if len(self._memory) >= REMEMBERED:
-                self._memory.clear()
-            self._memory[run] = made
+            self._keep(run, made)
         return made
 
     def stream(self, symbols: Iterator[int], room: int = 2048) -> Iterator[int]:

@@ -131,6 +131,16 @@ def test_bpe_equals_the_library(library):
         assert "".join(own.decode([ids])) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_bpe_forgets_without_a_trace(library, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 3)
+    own, rng = bpe.Bpe.read(tokenizer_path()), random.Random(7)
+    words = ["one,", "two", "three.", "it's", "four", "five-six", "…", "seven", "一二"]
+    for _ in range(20):
+        text = " ".join(rng.choice(words) for _ in range(40))
+        assert [i for part in own.encode(text) for i in part] == library.encode(text, add_special_tokens=False).ids
+        assert len(own._memory) <= 3 and len(own._older) <= 3
+
+
 def test_bpe_streams_long_words_the_same():
     own, rng = bpe.Bpe.read(tokenizer_path()), random.Random(3)
     for letters in ("abcdefghijklmnop", "ab", "thein"):

@@ -134,6 +134,12 @@ def dedupe_snapshots(features: DataFrame) -> DataFrame:
     return latest_per(snaps, keys, _rest(snaps, *keys))
 
 
+def known_to(apps: DataFrame, features: DataFrame) -> DataFrame:
+    """The snapshots an as-of lookup for ``apps`` can reach; columns as given."""
+    until = apps.groupBy(F.col("Customer_ID").alias("_who")).agg(F.max("orig_month").alias("_until"))
+    return features.join(until, F.expr("Customer_ID = _who AND snapshot_date <= _until"), "left_semi")
+
+
 def asof_features(
     apps: DataFrame, features: DataFrame
 ) -> DataFrame:

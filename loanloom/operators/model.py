@@ -3,27 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanloom.config import DEFAULTS, Settings
 from loanloom.functions.cleaning import quoted
 from loanloom.functions.scoring import decide, to_micro
 from loanloom.operators.metrics import class_weights, ranking_metrics, recall_threshold, score_counts
+from loanloom.operators.skew import keyed_join
 from loanloom.operators.stats import impute_stats, melt, modes, top_categories
+from loanloom.sources.stores import store_exists
 
 # In bake-off order: the first one wins ties.
 CANDIDATES = ("logistic_regression", "gbt_shallow", "gbt_deep")
 MAX_CATEGORIES = 20
 INFREQUENT = "infrequent"
-# Rare categories remembered by name; see Preparation.
-RARE_LIMIT = 10_000
 
 PREDICTION_COLUMNS = (
     "loan_id",
@@ -37,21 +38,6 @@ PREDICTION_COLUMNS = (
 )
 
 
-def fold_categories(
-    df: DataFrame, column: str, kept: DataFrame, label: str = INFREQUENT
-) -> DataFrame:
-    """Replace the categories outside ``kept`` (top_categories rows, at most 19) by one label."""
-    mine = kept.where(F.col("column") == column).select(
-        F.col("value").alias(column), F.lit(True).alias("_kept")
-    )
-    rare = F.col(column).isNotNull() & F.col("_kept").isNull()
-    return (
-        df.join(F.broadcast(mine), column, "left")
-        .withColumn(column, F.when(rare, label).otherwise(F.col(column)))
-        .drop("_kept")
-    )
-
-
 def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -60,30 +46,57 @@ def _number(value: float) -> str:
     return f"CAST('{value!r}' AS DOUBLE)"
 
 
-@dataclass(frozen=True)
-class Category:
-    """Fitted categorical column.
+def _flag(column: str) -> str:
+    return f"_rare_{column}"
+
 
-    ``rare`` lists the categories that share the infrequent indicator, so that a
-    category never seen gets no indicator at all. Above RARE_LIMIT names it is None
-    and every text that is not kept counts as infrequent.
+def mark_rare(df: DataFrame, rare: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Add a flag per column: its text is among the rare ones seen in training.
+
+    ``rare`` is a table (column, value) of any size; each column is one equi-join with it.
     """
+    for c in columns:
+        mine = rare.where(F.col("column") == c).select(F.col("value").alias(c), F.lit(True).alias(_flag(c)))
+        df = keyed_join(df, mine, [c], "left")
+    return df
+
+
+@dataclass(frozen=True)
+class Category:
+    """Fitted categorical column: its mode, the categories with an indicator of their own,
+    and whether others share the infrequent one. A category never seen gets no indicator."""
 
     mode: str
     kept: tuple[str, ...]
-    rare: tuple[str, ...] | None = ()
+    others: bool = False
 
 
 @dataclass(frozen=True)
 class Preparation:
     """Fitted preparation: median, mean and deviation per number, indicators per category.
 
-    Holds a few values per column, never data. It is applied as one SQL projection,
-    which saves and loads inside a Spark ML pipeline.
+    Holds a few values per column, never data. The categories that share the infrequent
+    indicator are rows of the table ``rare``, however many they are: ``flagged`` joins it,
+    the rest is one SQL projection, which saves and loads inside a Spark ML pipeline.
     """
 
     numeric: Mapping[str, tuple[float, float, float]]
     categorical: Mapping[str, Category] = field(default_factory=dict)
+    rare: DataFrame | None = None
+
+    def rare_columns(self) -> tuple[str, ...]:
+        return tuple(c for c, cat in self.categorical.items() if cat.others)
+
+    def flagged(self, df: DataFrame) -> DataFrame:
+        """``df`` with what the expressions need besides its own columns."""
+        return mark_rare(df, self.rare, self.rare_columns())
+
+    def stored(self, path: str) -> Preparation:
+        """The same with the rare categories written to ``path`` and read from there."""
+        if not self.rare_columns():
+            return self
+        self.rare.write.mode("overwrite").parquet(path)
+        return replace(self, rare=self.rare.sparkSession.read.schema(self.rare.schema).parquet(path))
 
     def expressions(self) -> dict[str, str]:
         out = {}
@@ -95,10 +108,10 @@ class Preparation:
             value = f"coalesce({quoted(c)}, {_text(cat.mode)})"
             for i, v in enumerate(cat.kept):
                 out[f"cat_{c}_{i}"] = f"CAST({value} = {_text(v)} AS DOUBLE)"
-            listed = ", ".join(_text(v) for v in (cat.kept if cat.rare is None else cat.rare))
-            if listed:
-                test = "NOT IN" if cat.rare is None else "IN"
-                out[f"cat_{c}_{INFREQUENT}"] = f"CAST({value} {test} ({listed}) AS DOUBLE)"
+            if cat.others:
+                missing = str(cat.mode not in cat.kept).lower()
+                test = f"CASE WHEN {quoted(c)} IS NULL THEN {missing} ELSE coalesce({quoted(_flag(c))}, false) END"
+                out[f"cat_{c}_{INFREQUENT}"] = f"CAST({test} AS DOUBLE)"
         return out
 
     def columns(self) -> list[str]:
@@ -111,6 +124,32 @@ class Preparation:
         ]
 
 
+@dataclass(frozen=True)
+class Fitted:
+    """A fitted candidate: its pipeline and the rare categories it flags first."""
+
+    pipeline: PipelineModel
+    rare: DataFrame | None = None
+    rare_columns: tuple[str, ...] = ()
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.pipeline.transform(mark_rare(df, self.rare, self.rare_columns))
+
+    def save(self, path: str) -> None:
+        self.pipeline.write().overwrite().save(f"{path}/pipeline")
+        if self.rare_columns:
+            for c in self.rare_columns:
+                self.rare.where(F.col("column") == c).write.mode("overwrite").parquet(f"{path}/rare/{c}")
+
+
+def load_fitted(spark: SparkSession, path: str, categorical: Sequence[str]) -> Fitted:
+    """What ``Fitted.save`` wrote, for a model with these categorical inputs."""
+    columns = tuple(c for c in categorical if store_exists(spark, f"{path}/rare/{c}"))
+    tables = [spark.read.parquet(f"{path}/rare/{c}") for c in columns]
+    rare = reduce(DataFrame.union, tables) if tables else None
+    return Fitted(PipelineModel.load(f"{path}/pipeline"), rare, columns)
+
+
 def fit_preparation(
     df: DataFrame,
     numeric: Sequence[str],
@@ -119,7 +158,8 @@ def fit_preparation(
 ) -> Preparation:
     """Fit the preparation; columns without any value are left out.
 
-    Reads back one row per numeric column and the category lists.
+    Reads back one row per numeric column, and per categorical one its mode and at most
+    ``max_categories - 1`` kept categories.
     """
     numbers = {}
     if numeric:
@@ -127,27 +167,27 @@ def fit_preparation(
         numbers = {
             c: (rows[c]["median"], rows[c]["mean"], rows[c]["std"]) for c in numeric if c in rows
         }
-    cats = {}
+    cats, rare = {}, None
     if categorical:
-        top = top_categories(df, categorical, max_categories)
         kept: dict[str, list[str]] = {}
-        for r in top.collect():
+        for r in top_categories(df, categorical, max_categories).collect():
             kept.setdefault(r["column"], []).append(r["value"])
         first = {r["column"]: r["mode"] for r in modes(df, categorical).collect()}
-        for c in categorical:
-            if c in kept:
-                cats[c] = Category(first[c], tuple(sorted(kept[c])), _rare(df, c, kept[c], max_categories))
-    return Preparation(numbers, cats)
-
-
-def _rare(
-    df: DataFrame, column: str, kept: Sequence[str], max_categories: int
-) -> tuple[str, ...] | None:
-    if len(kept) < max_categories - 1:
-        return ()
-    others = melt(df, [column], "string").where(~F.col("value").isin(*kept))
-    names = [r["value"] for r in others.select("value").distinct().limit(RARE_LIMIT + 1).collect()]
-    return None if len(names) > RARE_LIMIT else tuple(sorted(names))
+        full = [c for c in categorical if len(kept.get(c, ())) == max_categories - 1]
+        others = set()
+        if full:
+            rare = _rare(df, {c: kept[c] for c in full})
+            others = {r["column"] for r in rare.select("column").distinct().collect()}
+        cats = {c: Category(first[c], tuple(sorted(kept[c])), c in others) for c in categorical if c in kept}
+    return Preparation(numbers, cats, rare)
+
+
+def _rare(df: DataFrame, kept: Mapping[str, Sequence[str]]) -> DataFrame:
+    """(column, value) of the categories without an indicator of their own."""
+    mine = " OR ".join(
+        f"(column = {_text(c)} AND value IN ({', '.join(map(_text, values))}))" for c, values in kept.items()
+    )
+    return melt(df, list(kept), "STRING").where(f"NOT ({mine})").distinct()
 
 
 def classifier(
@@ -182,7 +222,7 @@ def fit_candidate(
     settings: Settings = DEFAULTS,
     preparation: Preparation | None = None,
     max_iter: int | None = None,
-) -> PipelineModel:
+) -> Fitted:
     """Fit one candidate on labelled rows, classes weighted against their imbalance."""
     prepared = preparation or fit_preparation(train, numeric, categorical)
     per_class = {r["label"]: r for r in class_weights(train).collect()}
@@ -197,14 +237,14 @@ def fit_candidate(
     # Prepare first and fit on the narrow result, so that iterations reread little.
     stages = prepared.stages()
     preparing = PipelineModel(stages)
-    ready = preparing.transform(train).select(
+    ready = preparing.transform(prepared.flagged(train)).select(
         "features", F.col("label").cast("double").alias("label"), weight.alias("_weight")
     )
     fitted = classifier(name, n_rows, settings, max_iter).fit(ready)
-    return PipelineModel([*stages, fitted])
+    return Fitted(PipelineModel([*stages, fitted]), prepared.rare, prepared.rare_columns())
 
 
-def score(model: PipelineModel, df: DataFrame) -> DataFrame:
+def score(model: Fitted, df: DataFrame) -> DataFrame:
     """``df`` with ``score``, the probability of default to six decimals."""
     probability = vector_to_array("probability")[1]
     return model.transform(df).select(*df.columns, F.round(probability, 6).alias("score"))
@@ -221,13 +261,13 @@ def predictions(scored: DataFrame, model_name: str, version: str, threshold: flo
     ).select(*PREDICTION_COLUMNS)
 
 
-def split_metrics(model: PipelineModel, rows: DataFrame, digits: int | None = 4) -> DataFrame:
+def split_metrics(model: Fitted, rows: DataFrame, digits: int | None = 4) -> DataFrame:
     """Metric bundle per ``split`` of labelled rows."""
     return ranking_metrics(score_counts(score(model, rows), ["split"]), ["split"], digits)
 
 
 def split_threshold(
-    model: PipelineModel, rows: DataFrame, settings: Settings = DEFAULTS
+    model: Fitted, rows: DataFrame, settings: Settings = DEFAULTS
 ) -> DataFrame:
     counts = score_counts(score(model, rows), ["split"])
     return recall_threshold(counts, ["split"], settings.target_recall)

@@ -13,6 +13,7 @@ from loanloom.functions.cleaning import quoted
 from loanloom.functions.scoring import from_micro
 from loanloom.operators import calendar, features, governance, ledger, metrics, model, monitor, stats
 from loanloom.plans import adapters as A
+from loanloom.sources.stores import union_stores
 from loanloom.streaming.incremental import unseen_cohorts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,9 +61,8 @@ def store_scan(spark, sf_dir):
     """Two generations of a store; the older one lacks two columns."""
     book = A.ledger(spark, sf_dir)
     older = book.where("snapshot_date < DATE '1998-01-01'").drop("balance", "tenure")
-    return older.unionByName(
-        book.where("snapshot_date >= DATE '1998-01-01'"), allowMissingColumns=True
-    ).select(sorted(book.columns))
+    newer = book.where("snapshot_date >= DATE '1998-01-01'")
+    return union_stores([older, newer]).select(sorted(book.columns))
 
 
 @query
@@ -522,7 +522,9 @@ def topk_category(spark, sf_dir):
     nations = A.table(spark, sf_dir, "customer").select(
         F.col("c_nationkey").cast("string").alias("nation")
     )
-    folded = model.fold_categories(nations, "nation", stats.top_categories(nations, ["nation"]))
+    plan = model.fit_preparation(nations, [], ["nation"])
+    rare = f"{plan.expressions()['cat_nation_infrequent']} = 1"
+    folded = plan.flagged(nations).selectExpr(f"CASE WHEN {rare} THEN '{model.INFREQUENT}' ELSE nation END AS nation")
     return folded.groupBy("nation").agg(F.expr("count(*) AS n"))
 
 
@@ -536,7 +538,7 @@ def model_matrix(spark, sf_dir):
     )
     numeric, categorical = features.feature_columns(ready)
     plan = model.fit_preparation(ready, numeric, categorical)
-    matrix = ready.selectExpr("Customer_ID", *plan.columns())
+    matrix = plan.flagged(ready).selectExpr("Customer_ID", *plan.columns())
     return rounded(matrix, *[c for c in matrix.columns if c.startswith("num_")])
 
 

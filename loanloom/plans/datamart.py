@@ -42,14 +42,15 @@ def build_datamart(
         month = first["month"].isoformat()
     written = {}
 
-    def write(df: DataFrame, store: str, path: str) -> None:
-        write_partitions(df, path, "snapshot_date")
+    def write(df: DataFrame, store: str, path: str, laid_out: bool = True) -> None:
+        write_partitions(df, path, "snapshot_date", laid_out)
         # Counting a Parquet store reads file footers only.
         written[store] = _month(read_store(spark, path, df.schema), month).count()
 
     for source, file in RAW_FILES.items():
         raw = raw_months(read_raw(spark, f"{raw_dir}/{file}", source), month, settings)
-        write(raw, f"bronze/{source}", mart.bronze(source))
+        # Raw files mix the months.
+        write(raw, f"bronze/{source}", mart.bronze(source), laid_out=month is not None)
 
     def bronze(source: str) -> DataFrame:
         return _month(spark.read.parquet(mart.bronze(source)), month).drop(CORRUPT)
@@ -69,7 +70,7 @@ def build_datamart(
         _month(spark.read.parquet(mart.silver(name)), month)
         for name in ("attributes", "financials", "clickstream")
     ]
-    write(feature_store(*stores), "gold/feature_store", mart.gold("feature_store"))
+    write(feature_store(*stores), "gold/feature_store", mart.gold("feature_store"), laid_out=False)
     return written
 
 

@@ -7,8 +7,8 @@ from pyspark.sql import SparkSession
 from loanloom import schemas as S
 from loanloom.config import DEFAULTS, Settings
 from loanloom.operators import ledger, model
-from loanloom.operators.features import asof_features, feature_align, prepare_features
-from loanloom.sources.mart import Mart, champion, load_model
+from loanloom.operators.features import asof_features, feature_align, known_to, prepare_features
+from loanloom.sources.mart import Mart, champion
 from loanloom.sources.sinks import write_partitions
 from loanloom.sources.stores import read_store, store_exists
 from loanloom.streaming.incremental import unseen_cohorts
@@ -17,8 +17,8 @@ from loanloom.streaming.incremental import unseen_cohorts
 def run_inference(spark: SparkSession, mart: Mart, settings: Settings = DEFAULTS) -> dict:
     """Score every unseen cohort with the model in production.
 
-    Known cohorts are dropped before features are looked up, so a catch-up run costs
-    what its new cohorts cost. Applications without features are scored on imputed
+    Known cohorts are dropped first, and of the feature store only the customers of the
+    others are prepared, up to their newest application. Applications without features are scored on imputed
     values.
     """
     meta = champion(spark, mart)
@@ -30,10 +30,11 @@ def run_inference(spark: SparkSession, mart: Mart, settings: Settings = DEFAULTS
     done = read_store(spark, mart.gold("model_predictions"), S.PREDICTIONS)
     apps = unseen_cohorts(ledger.applications(loans), done)
     # Prepared before the lookup, so that applications without features stay NULL.
-    prepared = prepare_features(read_store(spark, mart.gold("feature_store"), S.FEATURE_STORE))
+    store = read_store(spark, mart.gold("feature_store"), S.FEATURE_STORE)
+    prepared = prepare_features(known_to(apps, store))
     known = asof_features(apps, prepared)
     aligned = feature_align(known, meta["numeric_columns"], meta["categorical"])
-    scored = model.score(load_model(meta), aligned)
+    scored = model.score(model.load_fitted(spark, meta["model_path"], meta["categorical"]), aligned)
     rows = model.predictions(
         scored, meta["model_name"], meta["version"], meta["decision_threshold"]
     )

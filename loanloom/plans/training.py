@@ -55,10 +55,10 @@ def run_training(
     if "train" not in counts or not counts["train"]["both"]:
         return {"action": None, "reason": "insufficient_train"}
 
-    use_checkpoint_dir(spark)
+    use_checkpoint_dir(spark, mart.bank("checkpoints"))
     names = [settings.initial_model] if action == "bootstrap" else list(model.CANDIDATES)
     train = frame.where("split = 'train'")
-    preparation = model.fit_preparation(train, numeric, categorical)
+    preparation = model.fit_preparation(train, numeric, categorical).stored(mart.bank(f"{version}/rare"))
     fitted, metrics = {}, {}
     for name in names:
         fitted[name] = model.fit_candidate(
@@ -78,7 +78,7 @@ def run_training(
     )
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     path = mart.bank(f"{version}/model")
-    fitted[best].write().overwrite().save(path)
+    fitted[best].save(path)
     baseline = model.score(fitted[best], train).withColumn("model_version", F.lit(version))
     write_partitions(model.baseline_counts(baseline), mart.bank("baselines"), "model_version")
     append_rows(

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from loanloom import schemas as S
@@ -59,7 +58,3 @@ def champion(spark: SparkSession, mart: Mart) -> Row | None:
     """Metadata of the model in production, the last one trained; None before the first."""
     rows = read_store(spark, mart.bank("champions"), S.CHAMPION)
     return rows.orderBy("trained_at", ascending=False).limit(1).first()
-
-
-def load_model(meta: Row) -> PipelineModel:
-    return PipelineModel.load(meta["model_path"])

@@ -6,14 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_partitions(df: DataFrame, path: str, by: str) -> None:
+def write_partitions(df: DataFrame, path: str, by: str, laid_out: bool = False) -> None:
     """Replace the partitions present in ``df`` and keep all others.
 
     The rebalance hint lets AQE split a partition value that holds much of the data
-    over many files and merge small ones.
+    over many files and merge small ones. Rows that are ``laid_out`` by the column
+    already, or all have one value of it, are written as they come, without a shuffle.
     """
     (
-        df.hint("rebalance", F.col(by))
+        (df if laid_out else df.hint("rebalance", F.col(by)))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(by)

@@ -317,7 +317,7 @@ def jaccard_components(
             "doc_id", "n", "shared", "grams", "prefix"
         )
     )
-    postings = cut(rows.selectExpr("explode(prefix) AS gram", "doc_id AS b", "n AS nb", "shared AS sb"))
+    postings = cut(rows.selectExpr("posexplode(prefix) AS (at, gram)", "doc_id AS b", "n AS nb", "shared AS sb"))
 
     def stars(entries: DataFrame, among: DataFrame) -> DataFrame:
         """Of every n-gram, one document of ``among`` against the others.
@@ -332,11 +332,14 @@ def jaccard_components(
         """Postings of n-grams that still join different components; of these, all that
         are not in the component of the n-gram's first document."""
         labels = smallest_reachable(links).withColumnRenamed("node", "b")
-        placed = postings.join(labels, "b", "left").selectExpr("gram", "b", "nb", "sb", "coalesce(component, b) AS part")
+        placed = postings.join(labels, "b", "left").selectExpr(
+            "gram", "at", "b", "nb", "sb", "coalesce(component, b) AS part"
+        )
         grams = placed.groupBy("gram").agg(
-            F.min("part").alias("low"), F.max("part").alias("high"), F.min(F.struct("b", "part")).alias("first")
+            F.min("part").alias("low"), F.max("part").alias("high"), F.min(F.struct("b", "part")).alias("first"),
+            F.min("nb").alias("least_n"),
         )
-        grams = grams.where("low < high").selectExpr("gram", "first.part AS main")
+        grams = grams.where("low < high").selectExpr("gram", "first.part AS main", "least_n")
         left = cut(placed.join(grams, "gram"))
         return left, left.where("part <> main")
 
@@ -350,8 +353,11 @@ def jaccard_components(
         links = links.union(more)
         left, minor = open_postings(links)
     # What is left: every document outside the first one's component against all others.
-    pairs = minor.selectExpr("gram", "b AS a", "nb AS na", "sb AS sa", "part AS own").join(
-        left.select("gram", "b", "nb", "sb", "part", "main"), "gram"
+    # All documents order n-grams alike, so a pair's first common n-gram has all of its overlap
+    # at or behind its place in either; a pair that is short of n-grams there is no link.
+    behind = f"{100 + percent} * (sb - at) >= {percent} * (nb + least_n)"
+    pairs = minor.where(behind).selectExpr("gram", "b AS a", "nb AS na", "sb - at AS sa", "part AS own").join(
+        left.where(behind).selectExpr("gram", "b", "nb", "sb - at AS sb", "part", "main"), "gram"
     )
     pairs = cut(_candidates(pairs.where("own <> part AND (part = main OR a < b)"), percent))
     labels = smallest_reachable(links.union(_verified(pairs, rows, percent)))

@@ -5,8 +5,10 @@ sentence) turn into typed placeholders, other words into their folded hash. Wind
 ``width`` template words of the benchmark are the build side of a hash join, windows of the
 whole documents probe it. Matches on one diagonal (document position minus item position)
 must fill the slots consistently: one value for one value, in both directions. So an item
-with other numbers and names is still found, while a chance mix of values is not. A document
-is contaminated by an item when consistent windows cover ``cover`` of the item's words.
+with other numbers and names is still found, while a chance mix of values is not. Where values
+conflict, the best supported ones stay and only windows with others are dropped; windows that
+hold the item's own values always count. A document is contaminated by an item when the
+windows kept cover ``cover`` of the item's words.
 
 The build side goes to every task in blocks of at most BLOCK_BYTES of benchmark text, so its
 size is bounded whatever the benchmark's; each further block is one more scan.
@@ -14,7 +16,7 @@ size is bounded whatever the benchmark's; each further block is one more scan.
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -119,10 +121,37 @@ def items(rows: list[tuple[int, str]], width: int = WIDTH) -> Items:
     return out
 
 
-def _consistent(mine: np.ndarray, theirs: np.ndarray) -> bool:
-    """One value for one value in both directions."""
-    pairs = set(zip(mine.tolist(), theirs.tolist(), strict=True))
-    return len(pairs) == len({a for a, _ in pairs}) == len({b for _, b in pairs})
+def _accepted(mine: np.ndarray, theirs: np.ndarray) -> set[tuple[int, int]]:
+    """Pairs that give one value for one value in both directions.
+
+    The most frequent pair first, then the item's own value, then the first in the text.
+    """
+    count = Counter(zip(mine.tolist(), theirs.tolist(), strict=True))
+    left, right, out = set(), set(), set()
+    for pair in sorted(count, key=lambda x: (-count[x], x[0] != x[1])):
+        if pair[0] not in left and pair[1] not in right:
+            left.add(pair[0])
+            right.add(pair[1])
+            out.add(pair)
+    return out
+
+
+def _kept(matched: list[tuple[int, int]], shift: int, words: np.ndarray, slots: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """The item's words in windows of one diagonal that hold its own or consistent values."""
+    mine = np.zeros(len(words), bool)
+    for a, w in matched:
+        mine[a : a + w] = True
+    filled = np.flatnonzero(mine & slots)
+    good = np.ones(len(words), bool)
+    accepted = _accepted(words[filled], text[filled + shift])
+    own = np.ones(len(words), bool)
+    own[filled] = words[filled] == text[filled + shift]
+    good[filled] = [x in accepted for x in zip(words[filled].tolist(), text[filled + shift].tolist(), strict=True)]
+    mine[:] = False
+    for a, w in matched:
+        if good[a : a + w].all() or own[a : a + w].all():
+            mine[a : a + w] = True
+    return mine
 
 
 def _found(chunk: Chunk, bench: Items, cover: float) -> Iterator[tuple[int, int, int, float, int, bool]]:
@@ -146,13 +175,9 @@ def _found(chunk: Chunk, bench: Items, cover: float) -> Iterator[tuple[int, int,
         words, slots = bench.words[item], bench.slots[item]
         covered, n_slots, other = np.zeros(len(words), bool), 0, False
         for shift, matched in diagonals.items():
-            mine = np.zeros(len(words), bool)
-            for a, w in matched:
-                mine[a : a + w] = True
+            mine = _kept(matched, shift, words, slots, chunk.word)
             filled = np.flatnonzero(mine & slots)
             theirs = chunk.word[filled + shift]
-            if not _consistent(words[filled], theirs):
-                continue
             covered |= mine
             n_slots = max(n_slots, len(filled))
             other |= bool((words[filled] != theirs).any())

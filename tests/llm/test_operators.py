@@ -266,6 +266,22 @@ def test_decontamination(spark):
     assert {r.doc_id for r in kept} == {r[0] for r in rows} - set(got)
 
 
+def test_decontamination_drops_only_windows_that_conflict(spark):
+    decimal = "The pump in the cellar moves 3.5 litres of water through the old copper pipe every 5 seconds of the day"
+    short = "Anna had 12 red apples and gave 7 to Tom in the garden"
+    rows = [
+        (1, "Some text. " + BENCH.replace("12", "31", 1).replace("Tom", "Jean", 1) + " and more"),
+        (2, "Some text. " + BENCH.replace("7 dollars", "12 dollars")),
+        (3, "Some text. " + decimal.replace("3.5", "3.7")),
+        (4, "Some text. " + BENCH.replace("Tom", "Jean").replace("12", "31").replace("while Jean", "while Tom")),
+        (5, "Some text. Rita had 31 red apples and gave 31 to Rita in the garden"),
+    ]
+    bench = spark.createDataFrame([(1, BENCH), (2, decimal), (3, short)], "item_id long, text string")
+    got = {r.doc_id: r for r in decontaminate.contamination(documents(spark, rows), bench).collect()}
+    assert {i: r.item_id for i, r in got.items()} == {1: 1, 2: 1, 3: 2, 4: 1}
+    assert not got[1].other_values and got[1].n_words == 20 and got[4].other_values
+
+
 def test_rollup_is_idempotent(spark, tmp_path):
     df = documents(spark, [(1, "a b"), (2, "c"), (3, None)])
     base, counts = str(tmp_path), rollup.counts(df)

@@ -1,9 +1,12 @@
 """Benchmark decontamination by template windows.
 
-Texts become templates: numbers, units after a number and names (capitalised inside a
-sentence) turn into typed placeholders, other words into their folded hash. Windows of
-``width`` template words of the benchmark are the build side of a hash join, windows of the
-whole documents probe it. Matches on one diagonal (document position minus item position)
+Windows of ``width`` folded words of the benchmark are the build side of a hash join, windows
+of the whole documents probe it; an item of fewer words is one window. In scripts without
+spaces every character is a word, and windows of items mostly written so are twice as wide.
+
+Beside them texts become templates: numbers, units after a number and names (capitalised
+inside a sentence) turn into typed placeholders. Windows of template words that hold
+placeholders, but not too many, are joined likewise. Matches on one diagonal (document position minus item position)
 must fill the slots consistently: one value for one value, in both directions. So an item
 with other numbers and names is still found, while a chance mix of values is not. Where values
 conflict, the best supported ones stay and only windows with others are dropped; windows that
@@ -25,17 +28,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from loanloom.llm.common import cut
-from loanloom.llm.shingles import U64, Chunk, alphabet, chunks, windows, word_hashes
+from loanloom.llm.shingles import U64, Chunk, alphabet, chunks, unspaced, windows, word_hashes
 
 WIDTH = 6
 COVER = 0.5
-#: A window with more placeholders than this share says too little.
+#: A window with more placeholders than this share says too little with other values.
 PLACEHOLDERS = 0.5
-#: Items of fewer words than this are not searched for.
+#: Items of fewer words than this are searched for with their own values only.
 SHORTEST = 4
 BLOCK_BYTES = 16 << 20
 
-WORDS = alphabet(bytes(b for b in range(128) if not chr(b).isalnum()))
+WORDS = alphabet(bytes(b for b in range(128) if not chr(b).isalnum()), characters=True)
 UNITS = (
     "kg g mg lb lbs oz km m cm mm mi mile miles meter meters metre metres foot feet inch inches "
     "l ml liter liters litre litres gallon gallons s sec second seconds min minute minutes h hour hours "
@@ -80,44 +83,50 @@ def template(chunk: Chunk, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _usable(slot: np.ndarray, width: int) -> np.ndarray:
-    """Windows with enough literal words."""
+    """Windows with placeholders and enough literal words; those without are exact ones."""
     total = np.append(0, np.cumsum(slot))
-    return total[width:] - total[:-width] <= PLACEHOLDERS * width
+    held = total[width:] - total[:-width]
+    return (held > 0) & (held <= PLACEHOLDERS * width)
 
 
 @dataclass
 class Items:
-    """Benchmark windows in hash order, by window width."""
+    """Benchmark windows in hash order, by window width and whether they are exact."""
 
     ids: list[int]
     words: list[np.ndarray]
     made: list[np.ndarray]
     slots: list[np.ndarray]
-    by_width: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
+    by_width: dict[tuple[int, bool], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
 def items(rows: list[tuple[int, str]], width: int = WIDTH) -> Items:
-    """Windows of (item_id, text) rows; items below SHORTEST words have none."""
+    """Windows of (item_id, text) rows; items without words have none."""
     column = pa.array([t for _, t in rows], pa.string())
     out = Items([], [], [], [], {})
-    found: dict[int, list] = defaultdict(list)
+    found: dict[tuple[int, bool], list] = defaultdict(list)
     for chunk in chunks(column, WORDS):
         made, slot = template(chunk, chunk.raw)
+        characters = np.isin(chunk.start, unspaced(chunk.raw)[0])
         for i in range(len(chunk.first) - 1):
             a, b = int(chunk.first[i]), int(chunk.first[i + 1])
-            if b - a < SHORTEST:
+            if a == b:
                 continue
-            w = min(width, b - a)
-            at = np.flatnonzero(_usable(slot[a:b], w))
-            found[w].append((windows(made[a:b], w)[at], np.full(len(at), len(out.ids)), at))
+            w = min(2 * width if 2 * characters[a:b].sum() > b - a else width, b - a)
+            at = np.arange(b - a - w + 1)
+            found[w, True].append((windows(chunk.word[a:b], w), np.full(len(at), len(out.ids)), at))
+            if b - a >= SHORTEST:
+                at = np.flatnonzero(_usable(slot[a:b], w))
+                found[w, False].append((windows(made[a:b], w)[at], np.full(len(at), len(out.ids)), at))
             out.ids.append(int(rows[chunk.row + i][0]))
             out.words.append(chunk.word[a:b])
             out.made.append(made[a:b])
             out.slots.append(slot[a:b])
-    for w, parts in found.items():
+    for kind, parts in found.items():
         key, item, at = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.lexsort((at, item, key))
-        out.by_width[w] = key[order], item[order], at[order]
+        if len(key):
+            out.by_width[kind] = key[order], item[order], at[order]
     return out
 
 
@@ -158,8 +167,8 @@ def _found(chunk: Chunk, bench: Items, cover: float) -> Iterator[tuple[int, int,
     """(row, item, words covered, share, slots, other values) of contaminated texts."""
     made, _ = template(chunk, chunk.raw)
     hits: dict[tuple[int, int], dict[int, list]] = defaultdict(lambda: defaultdict(list))
-    for w, (key, item, at) in bench.by_width.items():
-        run = windows(made, w)
+    for (w, exact), (key, item, at) in bench.by_width.items():
+        run = windows(chunk.word if exact else made, w)
         if not len(run):
             continue
         low = np.searchsorted(key, run, "left")
@@ -193,7 +202,8 @@ def contamination(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH
     """(doc_id, item_id, n_words, coverage, n_slots, other_values) of contaminated documents.
 
     One row per document row and benchmark item; coverage is the share of the item's words
-    found, other_values tells that slots were filled differently. Null and empty texts are
+    found, other_values tells that slots were filled differently. An item of one word is found
+    wherever that word stands. Null and empty texts are
     clean, rows without an id on either side take no part, repeated items count once, a
     repeated document row repeats its result. Other columns are not read.
     """

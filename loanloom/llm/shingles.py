@@ -33,23 +33,58 @@ def numbers(seed: int, n: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Alphabet:
-    """separator: the bytes between words; fold: what each byte counts as."""
+    """separator: the bytes between words; fold: what each byte counts as.
+
+    With ``characters``, each character of a script without spaces is a word.
+    """
 
     separator: np.ndarray
     fold: np.ndarray
+    characters: bool = False
 
 
-def alphabet(separators: bytes) -> Alphabet:
+def alphabet(separators: bytes, characters: bool = False) -> Alphabet:
     separator = np.zeros(256, dtype=bool)
     separator[list(separators)] = True
     fold = np.arange(256, dtype=np.uint8)
     fold[65:91] += 32
-    return Alphabet(separator, fold)
+    return Alphabet(separator, fold, characters)
 
 
 #: Words are runs of anything but white space.
 SPACED = alphabet(b" \t\n\x0b\x0c\r")
 
+#: Code points written without spaces: Thai, Lao, Myanmar, Khmer, kana, Han.
+_UNSPACED = np.array(
+    [(0xE00, 0xEFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3040, 0x30FA), (0x30FC, 0x31FF),
+     (0x3400, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x20000, 0x3FFFF)]
+)
+#: Punctuation and spaces beside them.
+_BETWEEN = np.array(
+    [(0x2000, 0x200A), (0x2010, 0x2027), (0x3000, 0x3004), (0x3008, 0x303F), (0x30FB, 0x30FB), (0xFF01, 0xFF0F),
+     (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65)]
+)
+
+
+def _within(code: np.ndarray, ranges: np.ndarray) -> np.ndarray:
+    at = np.searchsorted(ranges[:, 0], code, "right") - 1
+    return (at >= 0) & (code <= ranges[np.maximum(at, 0), 1])
+
+
+def unspaced(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First byte and length of characters that are words, and of characters between words."""
+    lead = np.flatnonzero(raw >= 0xE0)
+    long = raw[lead] >= 0xF0
+    lead = lead[lead + 2 + long < len(raw)]
+    long = raw[lead] >= 0xF0
+    byte = [raw[np.minimum(lead + k, len(raw) - 1)].astype(np.int64) for k in range(4)]
+    code = ((byte[0] & 15) << 12) | ((byte[1] & 63) << 6) | (byte[2] & 63)
+    code[long] = (((byte[0] & 7) << 18) | ((byte[1] & 63) << 12) | ((byte[2] & 63) << 6) | (byte[3] & 63))[long]
+    alone, between = _within(code, _UNSPACED), _within(code, _BETWEEN)
+    size = 3 + long
+    return lead[alone], size[alone], lead[between], size[between]
+
+
 _BYTE = numbers(1, 256)
 _PLACE = numbers(2, 64)
 _SHORT = numbers(3, 64)
@@ -105,6 +140,10 @@ def chunks(column: pa.Array, letters: Alphabet = SPACED) -> Iterator[Chunk]:
         raw = data[low:high]
         part = letters.fold[raw]
         separator = letters.separator[part]
+        if letters.characters:
+            alone, size, between, gap = unspaced(raw)
+            for k in range(4):
+                separator[between[gap > k] + k] = True
         inside = ~separator
         begins = inside.copy()
         begins[1:] &= separator[:-1]
@@ -115,6 +154,11 @@ def chunks(column: pa.Array, letters: Alphabet = SPACED) -> Iterator[Chunk]:
         edges = edges[(edges > 0) & (edges < high - low)]
         begins[edges] |= inside[edges]
         ends[edges - 1] |= inside[edges - 1]
+        if letters.characters:
+            begins[alone] = ends[alone + size - 1] = True
+            after, before = (alone + size)[alone + size < len(raw)], alone[alone > 0] - 1
+            begins[after] |= inside[after]
+            ends[before] |= inside[before]
         start = np.flatnonzero(begins)
         end = np.flatnonzero(ends) + 1
         first = np.searchsorted(start, bounds[row : last + 1] - low)

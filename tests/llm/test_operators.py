@@ -282,6 +282,21 @@ def test_decontamination_drops_only_windows_that_conflict(spark):
     assert not got[1].other_values and got[1].n_words == 20 and got[4].other_values
 
 
+def test_decontamination_finds_items_of_any_kind_word_for_word(spark):
+    rows = [
+        (1, "Task: convert 3 km 500 m to cm."), (2, "1) What is the capital of France"), (3, "Name a prime"),
+        (4, "地理。法国的首都是什么城市？请回答"), (5, "地理。德国的首都是什么城市？请回答"), (6, "他有3个苹果，又买了12个苹果，一共有几个苹果呢"),
+        (7, "Convert 3 km 700 m to cm"), (8, "name that prime"), (9, "x日本語y"), (10, "Tom Smith met Ann Lee, Bob Ray, Joe Fox"),
+    ]
+    told = [
+        (1, "Convert 3 km 500 m to cm"), (2, "What is the capital of France"), (3, "name a prime"), (4, "法国的首都是什么城市？"),
+        (6, "他有3个苹果,又买了12个苹果,一共有几个苹果呢"), (9, "日本語"), (10, "TOM SMITH met ANN LEE, BOB RAY, JOE FOX"), (11, "!?"),
+    ]
+    bench = spark.createDataFrame(told, "item_id long, text string")
+    got = decontaminate.contamination(documents(spark, rows), bench).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(i, i) for i in (1, 2, 3, 4, 6, 9, 10)]
+
+
 def test_rollup_is_idempotent(spark, tmp_path):
     df = documents(spark, [(1, "a b"), (2, "c"), (3, None)])
     base, counts = str(tmp_path), rollup.counts(df)

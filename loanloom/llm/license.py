@@ -1,7 +1,9 @@
 """License scans: exact containment of license templates in text blocks, in SQL alone.
 
-A template is a set of words. A block (a line of a text) contains it when it holds at least
-``percent`` of them. The set-similarity join runs over words in global order, rarest first,
+A template is a set of words. A block contains it when it holds at least ``percent`` of them.
+Blocks are the lines of a text and, for notices wrapped over lines, overlapping windows of its
+words; in a window the words must stand within the template's length, as much longer as
+``percent`` leaves room for. The set-similarity join runs over words in global order, rarest first,
 counted over the whole corpus:
 
 * prefix: a block that contains a template of n words holds one of its first
@@ -45,6 +47,7 @@ TEMPLATES = {
     "permission is hereby granted free of charge to any person obtaining a copy of this software": "mit",
     "redistribution and use in source and binary forms with or without modification are permitted": "bsd",
     "this source code form is subject to the terms of the mozilla public license": "mpl",
+    "all rights reserved": "all-rights-reserved",
     "all rights reserved no part of this publication may be reproduced": "all-rights-reserved",
 }
 
@@ -84,13 +87,14 @@ def word_order(documents: DataFrame, templates: dict[str, str] = TEMPLATES) -> l
 
 
 def template_rows(order: Sequence[str], templates: dict[str, str], percent: int) -> list[tuple]:
-    """(template, label, words in order, least overlap, prefix length)."""
+    """(template, label, words in order, least overlap, prefix length, words it may span)."""
     place = {w: i for i, w in enumerate(order)}
     out = []
     for text, label in templates.items():
         held = sorted(set(text.split()), key=place.__getitem__)
         least = -(-len(held) * percent // 100)
-        out.append((text, label, held, least, len(held) - least + 1))
+        span = -(-len(text.split()) * 100 // percent)
+        out.append((text, label, held, least, len(held) - least + 1, span))
     return out
 
 
@@ -99,42 +103,52 @@ def license_blocks(
 ) -> DataFrame:
     """(doc_id, text_key, block_no, template, label, containment) of every block that contains one.
 
-    A block is a line; block_no counts from 0. text_key is a hash of the text, so that rows
-    repeating a doc_id stay apart; equal rows give equal results, once for each.
+    A block is a line or a window of words, each counted from 0 as block_no. text_key is a
+    hash of the text, so that rows repeating a doc_id stay apart; equal rows give equal
+    results, once for each.
     """
     spark = documents.sparkSession
     order = list(order or word_order(documents, templates))
     rows = template_rows(order, templates, percent)
     table = spark.createDataFrame(
-        [(t, label, held, least, i, held[i]) for t, label, held, least, prefix in rows for i in range(prefix)],
-        "template string, label string, held array<string>, least int, i int, word string",
+        [(t, label, held, least, span, i, held[i]) for t, label, held, least, prefix, span in rows for i in range(prefix)],
+        "template string, label string, held array<string>, least int, span int, i int, word string",
     )
-    firsts = _any_of([w for _, _, held, _, prefix in rows for w in held[:prefix]])
+    firsts = _any_of([w for _, _, held, _, prefix, _ in rows for w in held[:prefix]])
     known = f"array({quoted(order)})"
-    lines = documents.selectExpr("doc_id", "xxhash64(text) AS text_key", f"{lowered('text')} AS _t").where(
+    # Windows of twice the longest span, one for each span: every run of that length lies in one.
+    step = max(span for *_, span in rows)
+    texts = documents.selectExpr("doc_id", "xxhash64(text) AS text_key", f"{lowered('text')} AS _t").where(
         f"_t RLIKE '{firsts}'"
     )
     blocks = (
-        lines.selectExpr("doc_id", "text_key", "posexplode(split(_t, '\\n')) AS (block_no, _line)")
-        .where(f"_line RLIKE '{firsts}'")
+        texts.selectExpr("doc_id", "text_key", "_t", f"{words('_t')} AS _w")
+        .selectExpr(
+            "doc_id", "text_key",
+            "inline(concat("
+            f"filter(transform(split(_t, '\n'), (l, i) -> CASE WHEN l RLIKE '{firsts}' THEN"
+            f" named_struct('block_no', i, 'whole', true, 'held_words', {words('l')}) END), b -> b IS NOT NULL), "
+            f"transform(sequence(0, size(_w) DIV {step}), i ->"
+            f" named_struct('block_no', i, 'whole', false, 'held_words', slice(_w, i * {step} + 1, {2 * step})))))",
+        )
         # In the corpus order: array_intersect keeps the order of its first argument.
-        .selectExpr("doc_id", "text_key", "block_no", f"array_intersect({known}, {words('_line')}) AS block")
-        .where(f"size(block) >= {min(least for _, _, _, least, _ in rows)}")
-    )
+        .selectExpr("*", f"array_intersect({known}, held_words) AS block")
+        .where(f"size(block) >= {min(least for _, _, _, least, _, _ in rows)}")
+    )
+    runs = "transform(sequence(1, size(held_words)), s -> size(array_intersect(held, slice(held_words, s, span))))"
     return (
         blocks.selectExpr("*", "posexplode(block) AS (j, word)")
         # The table is fixed and small.
         .join(F.broadcast(table), "word")
         .where("size(block) >= least AND 1 + least(size(held) - i - 1, size(block) - j - 1) >= least")
         # The first common word alone stands for the pair.
-        .where("word = array_intersect(block, held)[0]")
+        .where("word = array_intersect(block, held)[0] AND size(array_intersect(held, block)) >= least")
         .selectExpr(
-            "doc_id", "text_key", "block_no", "template", "label",
-            "size(array_intersect(held, block)) / size(held) AS containment",
-            "100 * size(array_intersect(held, block)) >= " f"{percent} * size(held) AS _enough",
+            "doc_id", "text_key", "block_no", "template", "label", "size(held) AS _n", "least",
+            f"CASE WHEN whole THEN size(array_intersect(held, block)) ELSE array_max({runs}) END AS _common",
         )
-        .where("_enough")
-        .drop("_enough")
+        .where("_common >= least")
+        .selectExpr("doc_id", "text_key", "block_no", "template", "label", "_common / _n AS containment")
     )
 
 

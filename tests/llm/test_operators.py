@@ -100,6 +100,24 @@ def test_license_scan(spark):
     assert got[None].base_labels == "cc-by"
 
 
+def test_license_notices_span_lines(spark):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and more"
+    bsd = "// Redistribution and use in source and binary forms, with or without\n// modification, are permitted provided"
+    texts = {
+        1: "Some words\n" + mit,
+        2: "word " * 30 + "\n" + bsd,
+        3: "All rights reserved.",
+        4: "prose " * 25 + "\r\n * licensed under\r\n *\r\n * the Apache License,\r\n * Version 2.0",
+        5: "all of us " + "x " * 10 + "\nhad rights " + "y " * 10 + "\nreserved for others",
+        6: "licensed " + "x " * 50 + "under the mit license " + "released",
+        **{100 + n: "w " * n + mit for n in range(0, 45, 3)},
+    }
+    got = {r.doc_id: r for r in license.license_scan(documents(spark, texts.items())).collect()}
+    want = {1: "mit", 2: "bsd", 3: "all-rights-reserved", 4: "apache", 5: "", 6: "mit"} | {i: "mit" for i in texts if i >= 100}
+    assert {i: r.labels for i, r in got.items()} == want
+    assert got[1].base_labels == "" and got[1].score == 1.0 and got[5].score == 0.0
+
+
 @needs_data
 def test_license_base_equals_brute_force(spark):
     rows = read(spark, "documents").select("doc_id", "text").collect()

@@ -79,7 +79,9 @@ def op6_warc_index(spark, sf_dir):
 
 @query
 def op7_url_verdicts(spark, sf_dir):
-    return urls.url_verdicts(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+    """The table labels speaks of documents, so the rules' verdicts label the URLs they fit."""
+    pages = table(spark, sf_dir, "pages")
+    return urls.url_verdicts(pages, urls.rule_labels(pages))
 
 
 @query

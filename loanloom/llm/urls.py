@@ -68,6 +68,12 @@ def rule_expression(rules: Sequence[tuple[str, str, str]], what: int | None = No
     return f"CASE {' '.join(cases)} END" if cases else "CAST(NULL AS STRING)"
 
 
+def rule_labels(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
+    """(doc_id, quality) of the pages a rule fits: 1 where it allows them, 0 where it blocks them."""
+    told = split_urls(pages).selectExpr("page_id AS doc_id", f"{rule_expression(rules, 0)} AS told")
+    return told.where("doc_id IS NOT NULL AND told IS NOT NULL").selectExpr("doc_id", "CAST(told = 'allow' AS INT) AS quality")
+
+
 def _salted(rows: DataFrame) -> DataFrame:
     return rows.withColumn("salt", F.expr(f"CAST(pmod(xxhash64(path, page_id), {SALTS}) AS INT)"))
 
@@ -103,8 +109,8 @@ def templates(urls: DataFrame, levels: int = LEVELS) -> DataFrame:
 def branches(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """(host, template, branch, labelled, bad, purity) of every template.
 
-    ``labels`` says of a page whether it is good (1) or bad (0); pages labelled both ways
-    are bad.
+    ``labels`` says of a page, its doc_id is a page_id, whether it is good (1) or bad (0);
+    pages labelled both ways are bad.
     """
     told = (
         labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id")
@@ -139,11 +145,12 @@ def url_verdicts(
 
     Null URLs and URLs without ``://`` have empty host and path, no rule, and the verdict
     of the empty template. Repeated rows repeat their result, rows without page_id have no
-    label. Without labels everything that no rule blocks is allowed. Other columns of
-    either table are not read.
+    label. Labels must be about pages, as those of ``rule_labels`` are: their doc_id is a
+    page_id. What neither a rule nor a label speaks against is allowed, a branch without
+    labels too. Other columns of either table are not read.
     """
     rows = templates(split_urls(pages))
-    rejected = branches(rows, labels.select("doc_id", "quality")).where(f"purity < {least_purity}")
+    rejected = branches(rows, labels.select("doc_id", "quality")).where(f"labelled > 0 AND purity < {least_purity}")
     rejected = rejected.select("host", "template", F.lit("block").alias("judged")).distinct()
     joined = rows.join(_spread(rejected), ["host", "template", "salt"], "left")
     return joined.selectExpr(

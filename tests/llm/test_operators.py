@@ -263,6 +263,17 @@ def test_url_rules_and_templates(spark):
     assert {got[200 + i].verdict for i in range(40)} == {"allow"}
 
 
+def test_url_labels_are_about_urls(spark, tmp_path):
+    rows = [(i, f"http://clean.net/a/{i}") for i in range(40)] + [(100 + i, f"http://x.com/de/{i}") for i in range(40)]
+    rows += [(200 + i, f"http://x.com/fr/{i}") for i in range(60)] + [(300, "http://x.com//de/7"), (301, "http://x.com//fr/7")]
+    spark.createDataFrame(rows, "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    labels = [(i, int(i >= 100), 0) for i in range(200)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r.page_id: (r.rule, r.verdict) for r in QUERIES["op7_url_verdicts"](spark, str(tmp_path)).collect()}
+    assert {got[i] for i in range(40)} == {(None, "allow")}
+    assert got[300] == (None, "block") and got[301] == (None, "allow")
+
+
 BENCH = (
     "Yesterday Tom walked 12 km with Anna to the market and paid 7 dollars for bread while Tom carried it home in 12 minutes"
 )

@@ -1,9 +1,10 @@
 """URL filters: host and path rules, and a path-template tree judged by labelled purity.
 
 Rules come first: a rule fits its host and every subdomain when the path starts with the
-rule's path; the longest rule wins. Other URLs go to the template tree. Level by level, a
-segment under one host and template becomes a wildcard where nearly every URL brings its own
-value. Sibling templates whose share of bad labels does not differ from their common share
+rule's path; the longest rule wins. Other URLs go to the template tree. Level by level, until
+no segment is left, a segment under one host and template becomes a wildcard if it looks like
+an id, or if it is one of many words and holds a small share of the distinct URLs there. How
+often a URL was captured does not count. Sibling templates whose share of bad labels does not differ from their common share
 beyond chance are merged into one branch. A branch is rejected when its smoothed share of
 good labels falls below ``least_purity``.
 
@@ -28,10 +29,10 @@ RULES = (
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )
-#: Segments of a path that get a level of their own.
-LEVELS = 3
-#: A level is variable with so many values, each standing for so few URLs on average.
-VALUES, PER_VALUE = 4, 2.0
+#: Values that are ids by their shape: numbers, dates, long hexadecimal, words with three digits.
+ID = r"^([0-9]+([-_.:][0-9]+)*([.][a-zA-Z]+)?|[0-9a-fA-F-]*[0-9][0-9a-fA-F-]{7,}|[^0-9]*([0-9][^0-9]*){3,})$"
+#: Of so many words or more, those with less than this part of the distinct URLs are variable.
+MANY = 50
 #: Standard deviations beyond which a branch differs from its siblings.
 DIFFERENT = 2.0
 #: Labels that the overall share of good ones counts for in every branch.
@@ -82,28 +83,34 @@ def _spread(found: DataFrame) -> DataFrame:
     return found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
 
-def templates(urls: DataFrame, levels: int = LEVELS) -> DataFrame:
+def templates(urls: DataFrame) -> DataFrame:
     """The rows of ``split_urls`` with ``parent`` and ``template`` of their path."""
-    rows = _salted(urls).withColumn("segments", F.expr("split(ltrim('/', path), '/')"))
-    rows = cut(rows.withColumn("template", F.lit("")).withColumn("parent", F.lit("")))
-    for level in range(levels):
-        here = rows.withColumn("segment", F.expr(f"get(segments, {level})"))
-        values = here.where("segment IS NOT NULL").groupBy("host", "template", "segment").agg(F.count("*").alias("n"))
-        shape = values.groupBy("host", "template").agg(F.count("*").alias("k"), F.sum("n").alias("n"))
-        variable = shape.where(f"k >= {VALUES} AND n < {PER_VALUE} * k").select("host", "template", F.lit(True).alias("wild"))
-        joined = here.join(_spread(variable), ["host", "template", "salt"], "left")
-        rows = cut(
+    active = urls.select("host", "path").distinct().selectExpr(
+        "host", "path", f"CAST(pmod(xxhash64(path), {SALTS}) AS INT) AS salt",
+        "split(ltrim('/', path), '/') AS segments", "'' AS parent", "'' AS template",
+    )
+    active = cut(active)
+    deepest = active.selectExpr("coalesce(max(size(segments)), 0)").first()[0]
+    done = active.limit(0).select("host", "path", "parent", "template")
+    for level in range(deepest):
+        here = active.withColumn("segment", F.expr(f"segments[{level}]")).withColumn("id", F.expr(f"segment RLIKE r'{ID}'"))
+        values = here.where("NOT id").groupBy("host", "template", "segment").agg(F.count("*").alias("n"))
+        many = values.groupBy("host", "template").agg(F.count("*").alias("k"), F.sum("n").alias("all")).where(f"k >= {MANY}")
+        # At most MANY values hold such a share.
+        own = values.join(many, ["host", "template"]).groupBy("host", "template").agg(
+            F.expr(f"collect_set(CASE WHEN n * {MANY} >= all THEN segment END)").alias("own")
+        )
+        joined = here.join(_spread(own), ["host", "template", "salt"], "left")
+        active = cut(
             joined.selectExpr(
-                "page_id", "host", "path", "salt", "segments",
-                "CASE WHEN segment IS NULL THEN parent ELSE template END AS parent",
-                "CASE WHEN segment IS NULL THEN template"
-                " ELSE concat(template, '/', CASE WHEN wild THEN '*' ELSE segment END) END AS template",
+                "host", "path", "salt", "segments", "template AS parent",
+                "concat(template, '/', CASE WHEN id OR NOT array_contains(own, segment) THEN '*' ELSE segment END) AS template",
             )
         )
-    return rows.selectExpr(
-        "page_id", "host", "path", "salt", "parent",
-        f"CASE WHEN size(segments) > {levels} THEN concat(template, '/**') ELSE template END AS template",
-    )
+        done = done.union(active.where(f"size(segments) = {level + 1}").select("host", "path", "parent", "template"))
+        active = active.where(f"size(segments) > {level + 1}")
+    found = _salted(urls).join(done, ["host", "path"])
+    return found.select("page_id", "host", "path", "salt", "parent", "template")
 
 
 def branches(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -149,7 +156,7 @@ def url_verdicts(
     page_id. What neither a rule nor a label speaks against is allowed, a branch without
     labels too. Other columns of either table are not read.
     """
-    rows = templates(split_urls(pages))
+    rows = cut(templates(split_urls(pages)))
     rejected = branches(rows, labels.select("doc_id", "quality")).where(f"labelled > 0 AND purity < {least_purity}")
     rejected = rejected.select("host", "template", F.lit("block").alias("judged")).distinct()
     joined = rows.join(_spread(rejected), ["host", "template", "salt"], "left")

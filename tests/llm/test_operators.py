@@ -274,6 +274,24 @@ def test_url_labels_are_about_urls(spark, tmp_path):
     assert got[300] == (None, "block") and got[301] == (None, "allow")
 
 
+def test_url_templates_do_not_depend_on_captures_or_depth(spark):
+    paths = [f"/item/{1000 + i}" for i in range(9)] + ["/about", "/jobs", "/faq", "/shop", "/one/two", "", "/"]
+    paths += [f"/u/{a}{b}/posts" for a in "abcdefghij" for b in "klmnopq"] + [f"/a/b/c/spam/{i}" for i in range(30)]
+    paths += [f"/a/b/c/docs/{i}/x/y" for i in range(30)]
+
+    def found(times):
+        rows = [(i, f"http://h.net{p}") for i, p in enumerate(paths)] * times
+        df = spark.createDataFrame(rows, "page_id long, url string")
+        return urls.templates(urls.split_urls(df)).select("path", "template", "page_id").collect()
+
+    once, often = found(1), found(5)
+    assert len(once) == len(paths) and len(often) == 5 * len(paths) and set(once) == set(often)
+    got = {r.path: r.template for r in often}
+    assert got["/item/1003"] == "/item/*" and got["/about"] == "/about" and got["/u/ak/posts"] == "/u/*/posts"
+    assert got["/a/b/c/spam/7"] == "/a/b/c/spam/*" and got["/a/b/c/docs/7/x/y"] == "/a/b/c/docs/*/x/y"
+    assert got[""] == "/" and got["/one/two"] == "/one/two"
+
+
 BENCH = (
     "Yesterday Tom walked 12 km with Anna to the market and paid 7 dollars for bread while Tom carried it home in 12 minutes"
 )

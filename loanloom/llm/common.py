@@ -5,7 +5,9 @@ from __future__ import annotations
 import sys
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -57,3 +59,28 @@ def partitions(spark: SparkSession) -> int:
 def worker_memory() -> dict:
     """What a Python worker keeps from task to task."""
     return sys.__dict__.setdefault("_loanloom_kept", {})
+
+
+#: Bytes of values after which a batch of result rows goes out.
+BATCH_BYTES = 4_000_000
+
+
+def map_rows(
+    batches: Iterator[pa.RecordBatch], work: Callable[..., tuple[tuple, int]], columns: dict[str, pa.DataType]
+) -> Iterator[pa.RecordBatch]:
+    """The first column of each batch beside what ``work`` makes of the others, row by row.
+
+    ``work`` takes a row's other values and returns the values of ``columns`` and their bytes;
+    a batch goes out as soon as it holds BATCH_BYTES, so long values are not gathered.
+    """
+    for batch in batches:
+        first, kept, size = 0, [], 0
+        for i in range(batch.num_rows):
+            values, weight = work(*(batch.column(j)[i].as_py() for j in range(1, batch.num_columns)))
+            kept.append(values)
+            size += weight
+            if size >= BATCH_BYTES or i + 1 == batch.num_rows:
+                arrays = [pa.array(v, t) for v, t in zip(zip(*kept), columns.values())]
+                keys = batch.column(0).slice(first, len(kept))
+                yield pa.RecordBatch.from_arrays([keys, *arrays], [batch.schema.names[0], *columns])
+                first, kept, size = i + 1, [], 0

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.llm import bpe, chat, decontaminate, jaccard, license, rollup, search, toxicity, urls, warc
+from loanloom.llm import bpe, chat, decontaminate, fim, jaccard, license, packing, periodic, rollup, search, toxicity, urls, warc
 from loanloom.llm.common import cut, scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,14 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def byte_tokenizer() -> tuple[str, str]:
+    """The byte-level vocabulary file and the pattern of its words; LOANLOOM_BYTE_TOKENIZER names another file."""
+    import public_tokenizers
+
+    given = os.environ.get("LOANLOOM_BYTE_TOKENIZER")
+    return given or str(public_tokenizers.path("byte_bpe_50k.json")), public_tokenizers.PATTERN
+
+
 @query
 def op1_ngram_jaccard(spark, sf_dir):
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
@@ -114,6 +122,40 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def with_periods(documents: DataFrame) -> DataFrame:
+    """(doc_id, text): every tenth document, by checksum, repeats its words from a place on."""
+    marked = documents.selectExpr("doc_id", "text", "crc32(CAST(doc_id AS STRING)) AS h")
+    # Each array is bound once, so that a word costs one look-up.
+    words = "filter(array(regexp_extract_all(text, '[^\\\\x20\\\\x09-\\\\x0D]+', 0)), w -> size(w) > 0)"
+    start = "CAST((h div 10) % size(w) AS INT)"
+    shaped = f"transform({words}, w -> struct(w, {start} AS a, CAST((size(w) - {start}) div (3 + (h div 10) % 8) AS INT) + 1 AS p))"
+    told = "array_join(transform(sequence(0, size(s.w) - 1), i -> s.w[if(i < s.a, i, s.a + (i - s.a) % s.p)]), ' ')"
+    text = f"CASE WHEN h % 10 = 0 THEN coalesce(get(transform({shaped}, s -> {told}), 0), '') ELSE text END AS text"
+    return marked.selectExpr("doc_id", text)
+
+
+@query
+def op11_periodic_runs(spark, sf_dir):
+    return periodic.run_digests(periodic.periodic_runs(with_periods(table(spark, sf_dir, "documents"))))
+
+
+@query
+def op12_fill_in_middle(spark, sf_dir):
+    cut_up = fim.fill_in_middle(table(spark, sf_dir, "documents"))
+    return cut_up.selectExpr(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", "sha2(output, 256) AS output_sha256",
+        f"sha2({fim.restored()}, 256) AS restored_sha256",
+    )
+
+
+@query
+def op13_packing(spark, sf_dir):
+    pieces = packing.packed(table(spark, sf_dir, "documents"), *byte_tokenizer())
+    return pieces.selectExpr(
+        "doc_id", "start", "length", "crc32(ids) AS ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline.py over documents."""
     import corpus_pipeline
@@ -143,6 +185,31 @@ SELECT source, lang, version, count(*) AS docs, CAST(sum(tokens) AS BIGINT) AS t
 FROM counted GROUP BY ALL
 """
 
+_UNIT = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+"
+ORACLES["op12_fill_in_middle"] = rf"""
+WITH t AS (
+    SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_UNIT}') AS u,
+        sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+    FROM documents
+), k AS (
+    SELECT doc_id, t, u, CAST(len(u) AS BIGINT) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(u) + 1) AS c1,
+        CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(u) + 1) AS c2,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+            OR CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 >= 50 THEN 'plain'
+            WHEN CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+    FROM t
+), s AS (
+    SELECT doc_id, t, n, form, array_to_string(u[1:least(c1, c2)], '') AS p,
+        array_to_string(u[least(c1, c2) + 1:greatest(c1, c2)], '') AS m, array_to_string(u[greatest(c1, c2) + 1:], '') AS s
+    FROM k
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM s
+"""
+
 ORACLES["op1_ngram_jaccard"] = r"""
 WITH RECURSIVE words AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

@@ -306,9 +306,10 @@ def test_decontamination(spark):
     ]
     bench = spark.createDataFrame([(9, BENCH), (9, BENCH), (10, None), (11, "a b")], "item_id long, text string")
     got = {r.doc_id: r for r in decontaminate.contamination(documents(spark, rows), bench).collect()}
-    assert {2, 6} <= set(got) and not {3, 4, 5, None} & set(got)
+    assert {2, 6, 7} <= set(got) and not {3, 4, 5, None} & set(got)
     assert got[2].other_values and not got[6].other_values and got[6].item_id == 9
-    assert 7 not in got
+    # One of two equal numbers and names was edited: the windows beside them are the item's own.
+    assert not got[7].other_values and got[7].item_id == 9
     kept = decontaminate.without_benchmark(documents(spark, rows), bench).collect()
     assert {r.doc_id for r in kept} == {r[0] for r in rows} - set(got)
 

@@ -23,6 +23,7 @@ a run, so no transform is spent on it. Words are numbered per text, texts are ha
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Sequence
 from functools import cache
 
 import numpy as np
@@ -247,18 +248,28 @@ def collapsed(words: list[str], runs: list[tuple[int, int, int]]) -> list[str]:
     return [words[i] for i in kept]
 
 
-def text_runs(text: str | None, min_length: int = MIN_LENGTH, exponent: int = EXPONENT):
-    """(number of words, runs, collapsed text) of one text."""
-    words = WORD.findall(text or "")
+def split_words(text: str) -> list[str]:
+    """Words between blanks and U+0009 to U+000D."""
+    return WORD.findall(text)
+
+
+def word_runs(words: list[str], min_length: int = MIN_LENGTH, exponent: int = EXPONENT):
+    """(runs, text without repeats) of a list of words."""
     numbers: dict[str, int] = {}
     codes = np.fromiter((numbers.setdefault(w, len(numbers)) for w in words), dtype=np.int64, count=len(words))
     # As many different words as words: nothing repeats.
     runs = runs_of(codes, min_length, exponent) if len(numbers) < len(words) else []
-    return len(words), runs, " ".join(collapsed(words, runs))
+    return runs, " ".join(collapsed(words, runs))
 
 
 def periodic_runs(
-    documents: DataFrame, min_length: int = MIN_LENGTH, exponent: int = EXPONENT, key: str = "doc_id", text: str = "text"
+    documents: DataFrame,
+    min_length: int = MIN_LENGTH,
+    exponent: int = EXPONENT,
+    key: str = "doc_id",
+    text: str = "text",
+    split: Callable[..., list[str]] = split_words,
+    more: Sequence[str] = (),
 ) -> DataFrame:
     """(key, n_words, runs, collapsed) per row: all runs of the whole text, and it without them.
 
@@ -273,12 +284,14 @@ def periodic_runs(
     numbers = pa.struct([(c, pa.int64()) for c in ("start", "length", "period")])
     columns = {"n_words": pa.int64(), "runs": pa.list_(numbers), "collapsed": pa.string()}
 
-    def work(whole: str | None) -> tuple[tuple, int]:
-        n, found, rest = text_runs(whole, min_length, exponent)
+    def work(whole: str, *values) -> tuple[tuple, int]:
+        words = split(whole, *values)
+        found, rest = word_runs(words, min_length, exponent)
         runs = [{"start": s, "length": m, "period": q} for s, m, q in found]
-        return (n, runs, rest), len(rest) + 24 * len(runs)
+        return (len(words), runs, rest), len(rest) + 24 * len(runs)
 
-    return documents.selectExpr(f"`{key}`", f"`{text}`").mapInArrow(lambda batches: map_rows(batches, work, columns), out)
+    rows = documents.selectExpr(f"`{key}`", f"coalesce(`{text}`, '') AS _text", *[f"{e} AS _{i}" for i, e in enumerate(more)])
+    return rows.mapInArrow(lambda batches: map_rows(batches, work, columns), out)
 
 
 def run_digests(found: DataFrame, key: str = "doc_id") -> DataFrame:

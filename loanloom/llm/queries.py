@@ -122,21 +122,25 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-def with_periods(documents: DataFrame) -> DataFrame:
-    """(doc_id, text): every tenth document, by checksum, repeats its words from a place on."""
-    marked = documents.selectExpr("doc_id", "text", "crc32(CAST(doc_id AS STRING)) AS h")
-    # Each array is bound once, so that a word costs one look-up.
-    words = "filter(array(regexp_extract_all(text, '[^\\\\x20\\\\x09-\\\\x0D]+', 0)), w -> size(w) > 0)"
-    start = "CAST((h div 10) % size(w) AS INT)"
-    shaped = f"transform({words}, w -> struct(w, {start} AS a, CAST((size(w) - {start}) div (3 + (h div 10) % 8) AS INT) + 1 AS p))"
-    told = "array_join(transform(sequence(0, size(s.w) - 1), i -> s.w[if(i < s.a, i, s.a + (i - s.a) % s.p)]), ' ')"
-    text = f"CASE WHEN h % 10 = 0 THEN coalesce(get(transform({shaped}, s -> {told}), 0), '') ELSE text END AS text"
-    return marked.selectExpr("doc_id", text)
+def with_period(text: str, h: int | None) -> list[str]:
+    """Words of a text; where h divides by ten they repeat with one period from a place on."""
+    words = periodic.split_words(text)
+    if h is None or h % 10 or not words:
+        return words
+    start = h // 10 % len(words)
+    period = 1 + (len(words) - start) // (3 + h // 10 % 8)
+    return [*words[:start], *(words[start + i % period] for i in range(len(words) - start))]
+
+
+def period_digests(documents: DataFrame) -> DataFrame:
+    """Digests of the runs of documents, every tenth of which, by checksum, is made periodic first."""
+    found = periodic.periodic_runs(documents, split=with_period, more=["crc32(CAST(doc_id AS STRING))"])
+    return periodic.run_digests(found)
 
 
 @query
 def op11_periodic_runs(spark, sf_dir):
-    return periodic.run_digests(periodic.periodic_runs(with_periods(table(spark, sf_dir, "documents"))))
+    return period_digests(table(spark, sf_dir, "documents"))
 
 
 @query

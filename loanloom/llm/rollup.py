@@ -2,7 +2,8 @@
 
 Totals by source, language and tokenizer version are sums of signed deltas: an insert adds a
 document and its tokens, a delete takes both away, a revised count takes the old one away and
-adds the new one. A batch of changes is combined to one row per key, written as one partition
+adds the new one. The versions here are estimates that need no vocabulary: words between
+blanks, and a quarter of the characters; ``counters`` takes others. A batch of changes is combined to one row per key, written as one partition
 of the rollup, and counts once its commit marker stands. A batch that is sent again after its
 commit changes nothing; one that failed before it is written anew. So totals never depend on
 how often a batch was tried.
@@ -21,12 +22,25 @@ COUNTERS = {
 }
 
 
+def numbers(text: str = "text", counters: dict[str, str] = COUNTERS) -> str:
+    """SQL expression: one count per version over a whole text, null as an empty one.
+
+    An array of whole numbers, so that rows can be joined or kept without their texts.
+    """
+    each = ", ".join(counters.values())
+    return f"transform(array(coalesce({text}, '')), text -> array({each}))[0]"
+
+
+def by_version(counted: DataFrame, numbers: str = "numbers", counters: dict[str, str] = COUNTERS) -> DataFrame:
+    """(source, lang, version, tokens) per row and version, from rows that hold ``numbers``."""
+    names = ", ".join(f"'{v}'" for v in counters)
+    each = counted.selectExpr("source", "lang", f"inline(arrays_zip(array({names}), {numbers}))")
+    return each.toDF(*KEYS, "tokens")
+
+
 def counts(documents: DataFrame, counters: dict[str, str] = COUNTERS) -> DataFrame:
     """(source, lang, version, tokens) per row and version, over whole texts; null text is empty."""
-    each = ", ".join(f"named_struct('version', '{v}', 'tokens', {e})" for v, e in counters.items())
-    return documents.selectExpr("source", "lang", "coalesce(text, '') AS text").selectExpr(
-        "source", "lang", f"inline(array({each}))"
-    )
+    return by_version(documents.selectExpr("source", "lang", f"{numbers(counters=counters)} AS numbers"), counters=counters)
 
 
 def signed(rows: DataFrame, sign: int) -> DataFrame:
@@ -66,9 +80,11 @@ def totals(spark: SparkSession, base: str) -> DataFrame:
     """
     if not _exists(spark, f"{base}/commits"):
         return spark.createDataFrame([], "source string, lang string, version string, docs long, tokens long")
-    commits = spark.read.parquet(f"{base}/commits/*").selectExpr("batch AS _batch").distinct()
-    deltas = spark.read.option("basePath", f"{base}/deltas").parquet(f"{base}/deltas")
-    counted = deltas.join(F.broadcast(commits), F.expr("CAST(batch AS STRING) = _batch"), "left_semi")
+    commits = spark.read.parquet(f"{base}/commits/*").select("batch").distinct()
+    # A declared type, so that a batch named 007 stays 007.
+    kinds = "source string, lang string, version string, docs long, tokens long, batch string"
+    deltas = spark.read.schema(kinds).parquet(f"{base}/deltas")
+    counted = deltas.join(commits, "batch", "left_semi")
     return (
         counted.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
         .where("docs <> 0 OR tokens <> 0")

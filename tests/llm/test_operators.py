@@ -355,6 +355,29 @@ def test_rollup_is_idempotent(spark, tmp_path):
     assert got == {"words-1": (3, 4), "quarters-1": (3, 3)}
 
 
+def test_rollup_keeps_batch_names_and_odd_rows(spark, tmp_path):
+    rows = [(1, None, None, None), (1, None, None, None), (2, "", "s", "en"), (3, "a " * 200_000, "s", "en"), (None, "b", "s", None)]
+    # Columns that clash with those of the rollup.
+    df = spark.createDataFrame([(*r, 9, "v", 7) for r in rows], "doc_id long, text string, source string, lang string, tokens int, version string, numbers int")
+    base = str(tmp_path)
+    for batch in ("007", "2024-01-01", "1e3"):
+        assert rollup.commit(rollup.signed(rollup.counts(df), 1), base, batch)
+        assert not rollup.commit(rollup.signed(rollup.counts(df), 1), base, batch)
+    rollup.commit(rollup.signed(rollup.counts(df.limit(0)), 1), base, "empty")
+    got = {(r.source, r.lang): (r.docs, r.tokens) for r in rollup.totals(spark, base).where("version = 'words-1'").collect()}
+    assert got == {(None, None): (6, 0), ("s", "en"): (6, 600_000), ("s", None): (3, 3)}
+
+
+def test_rollup_query_with_null_labels(spark, tmp_path):
+    docs = [(1, "a b", "en", "s"), (2, "x\nx\ny", "en", "s"), (3, "bad words", "en", "s"), (4, "q\nq", "en", "s")]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    labels = [(1, None, None), (2, 0, None), (3, 0, 1), (3, 1, 0), (4, 1, 0), (None, 0, 1)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    got = {r.version: (r.docs, r.tokens) for r in QUERIES["op9_token_rollup"](spark, str(tmp_path)).collect()}
+    # 3 is gone; 2 is counted as "x, y".
+    assert got == {"words-1": (3, 6), "quarters-1": (3, 3)}
+
+
 def test_toxicity_folds_and_excepts():
     table = toxicity.Fold()
     assert toxicity.folded("1D10T, lоser!", table) == toxicity.folded("idiot loser", table)

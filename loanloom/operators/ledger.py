@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -113,14 +113,15 @@ def delinquency(loans: DataFrame) -> DataFrame:
     )
 
 
-def label_store(loans: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """Default label of each loan at its maturity month."""
+def label_store(loans: DataFrame, settings: Settings = DEFAULTS, keep: Sequence[str] = ()) -> DataFrame:
+    """Default label of each loan at its maturity month, with the columns to ``keep``."""
     return loans.where(f"mob = {settings.mob_label}").selectExpr(
         "loan_id",
         "Customer_ID",
         f"CASE WHEN dpd >= {settings.dpd_threshold} THEN 1 ELSE 0 END AS label",
         f"'{settings.label_def}' AS label_def",
         "snapshot_date",
+        *map(quoted, keep),
     )
 
 

@@ -59,6 +59,17 @@ def cohort_monitor(
         "loan_id", *COHORT, "score", "prediction"
     )
     hist = score_counts(attach_labels(scored, labels), COHORT, prediction="prediction")
+    return cohort_metrics(hist, baseline, production_version, settings, digits)
+
+
+def cohort_metrics(
+    hist: DataFrame,
+    baseline: DataFrame,
+    production_version: str | None = None,
+    settings: Settings = DEFAULTS,
+    digits: int | None = 4,
+) -> DataFrame:
+    """Monitoring rows from the histogram of each cohort: (cohort, micro, n, positive, bad, good)."""
     rows = cumulate(with_baseline(hist, baseline, production_version), COHORT)
     ranking = ranking_aggs()
     totals = rows.groupBy(*COHORT).agg(

@@ -11,8 +11,9 @@ from loanloom.config import CATEGORICAL, CLIP_BOUNDS, DIRTY_NUMERIC, Settings
 from loanloom.functions import cleaning, dates
 from loanloom.functions.cleaning import quoted
 from loanloom.functions.scoring import from_micro
-from loanloom.operators import calendar, features, governance, ledger, metrics, model, monitor, stats
+from loanloom.operators import calendar, features, governance, ledger, metrics, model, monitor, monitor_state, stats
 from loanloom.plans import adapters as A
+from loanloom.session import scratch_dir
 from loanloom.sources.stores import union_stores
 from loanloom.streaming.incremental import unseen_cohorts
 
@@ -394,6 +395,36 @@ def cohort_monitor(spark, sf_dir):
     return _cohort_monitor(spark, sf_dir).orderBy("month", "model_version")
 
 
+@query
+def monitor_two_waves(spark, sf_dir):
+    """The same rows from the monitoring state, predictions and labels coming in waves.
+
+    The first labels come before half of the predictions, and every fifth is wrong and corrected
+    by the second wave, which holds all labels; one batch is sent again.
+    """
+    state = monitor_state.monitor_state(spark, scratch_dir(spark, "monitor_state"))
+    scored = A.scored(spark, sf_dir).drop("label")
+    # A loan is scored in the month it starts.
+    book = ledger.delinquency(A.ledger(spark, sf_dir))
+    matured = ledger.label_store(book, keep=["loan_start_date"]).selectExpr(
+        "loan_id", "label", "snapshot_date", f"{dates.month_start('loan_start_date')} AS orig_month"
+    )
+    wrong = "CAST(loan_id AS BIGINT) % 5 = 0"
+    early = matured.where("snapshot_date < DATE '1998-07-01'").selectExpr(
+        "loan_id", "orig_month", f"CASE WHEN {wrong} THEN 1 - label ELSE label END AS label",
+        f"CASE WHEN {wrong} THEN add_months(snapshot_date, -1) ELSE snapshot_date END AS snapshot_date",
+    )
+    old, new = (scored.where(f"orig_month {op} DATE '1998-01-01'") for op in ("<", ">="))
+    monitor_state.add_predictions(state, "scored-1", old)
+    monitor_state.add_labels(state, "labels-1", early, old)
+    monitor_state.add_predictions(state, "scored-2", new)
+    monitor_state.add_labels(state, "labels-2", matured, scored)
+    monitor_state.add_labels(state, "labels-1", early, old)
+    return monitor_state.monitoring(
+        state, _baseline(spark, sf_dir), A.PRODUCTION_VERSION, settings=SETTINGS, digits=DIGITS
+    )
+
+
 @query
 def performance_series(spark, sf_dir):
     return monitor.performance_series(_cohort_monitor(spark, sf_dir), SETTINGS)

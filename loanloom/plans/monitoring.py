@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from loanloom import schemas as S
 from loanloom.config import DEFAULTS, Settings
-from loanloom.operators import governance, monitor
+from loanloom.functions.dates import origination_month
+from loanloom.operators import governance, monitor, monitor_state
 from loanloom.operators.metrics import score_counts, score_histogram
+from loanloom.sources.files import partition_dates
 from loanloom.sources.mart import (
     Mart,
     champion,
@@ -21,6 +23,10 @@ from loanloom.sources.sinks import export_csv, export_json, write_partitions
 from loanloom.sources.stores import read_store, store_exists
 
 
+#: Batches of the monitoring state after which its deltas are merged.
+COMPACT_PARTS = 64
+
+
 def run_monitoring(spark: SparkSession, mart: Mart, settings: Settings = DEFAULTS) -> dict:
     """One row per scored cohort, written by month, plus the sorted CSV summary."""
     if not store_exists(spark, mart.gold("model_predictions")):
@@ -39,6 +45,54 @@ def run_monitoring(spark: SparkSession, mart: Mart, settings: Settings = DEFAULT
     return {"cohorts": summary.count(), "status": "ok"}
 
 
+def update_monitoring(
+    spark: SparkSession, mart: Mart, settings: Settings = DEFAULTS, again: tuple[str, ...] = ()
+) -> dict:
+    """Bring the monitoring table up to date with what came since the last update.
+
+    New cohorts and label months are added to the monitoring state, and only the cohorts they
+    touch are measured anew and replaced: a month reads one month of labels, the predictions
+    of the cohort it matures and their state. A loan's label is dated ``mob_label`` months after
+    its cohort. ``again`` names label months that were rebuilt since, to be read once more; a
+    label taken back there needs a later date to count. A cohort without a baseline of its own
+    keeps the drift measured against the model then in production; ``run_monitoring`` measures all.
+    """
+    cohorts = partition_dates(spark, mart.gold("model_predictions"), "orig_month")
+    if not cohorts:
+        return {"cohorts": 0, "batches": [], "status": "no_predictions"}
+    state = monitor_state.monitor_state(spark, mart.gold("monitor_state"))
+    predictions = read_store(spark, mart.gold("model_predictions"), S.PREDICTIONS)
+    labels = read_store(spark, mart.gold("label_store"), S.LABEL_STORE)
+    known = set(state.manifest().batches)
+    touched, added = set(), []
+    for month in cohorts:
+        batch = f"scored {month}"
+        if batch not in known:
+            monitor_state.add_predictions(state, batch, monitor_state.of_months(predictions, [month]))
+            touched.add(month)
+            added.append(batch)
+    cohort = origination_month("snapshot_date", settings.mob_label)
+    for month in partition_dates(spark, mart.gold("label_store"), "snapshot_date"):
+        batch = f"labels {month}"
+        if batch in known and month.isoformat() in again:
+            batch = f"{batch} again {state.manifest().version}"
+        if batch not in known:
+            wave = monitor_state.of_months(labels, [month], "snapshot_date").selectExpr("*", f"{cohort} AS orig_month")
+            monitor_state.add_labels(state, batch, wave, predictions)
+            touched |= set(monitor_state.months_of(wave)) & set(cohorts)
+            added.append(batch)
+    meta = champion(spark, mart)
+    if len(state.manifest().parts) > COMPACT_PARTS:
+        monitor_state.compact(state)
+    if touched:
+        rows = monitor_state.monitoring(
+            state, read_baselines(spark, mart), meta["version"] if meta else None, sorted(touched), settings
+        )
+        write_partitions(rows, mart.gold("model_monitoring"), "month")
+        export_csv(read_monitoring(spark, mart), mart.gold("monitoring_summary"), "month")
+    return {"cohorts": len(touched), "batches": added, "status": "ok"}
+
+
 def report_tables(
     spark: SparkSession, mart: Mart, settings: Settings = DEFAULTS
 ) -> dict[str, DataFrame]:

@@ -456,6 +456,8 @@ monitoring AS (
 
 MONITORING = f"WITH {LABELS}, {SCORED}, {PSI_VIEWS}, {monitoring('labels')}"
 ORACLES["cohort_monitor"] = f"{MONITORING} SELECT * FROM monitoring"
+# However labels come in, the state must end where a full recomputation does.
+ORACLES["monitor_two_waves"] = ORACLES["cohort_monitor"]
 ORACLES["performance_series"] = (
     f"{MONITORING} SELECT month, model_version, auc, auc < 0.7 AS below_floor "
     "FROM monitoring WHERE auc IS NOT NULL"

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 # AQE sizes, coalesces and splits shuffle partitions at run time, so the static
@@ -37,3 +40,16 @@ def use_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str
     if folder and spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return folder
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A new folder in the one ``spark.checkpoint.dir`` names, which all executors share.
+
+    Only a local session that names none, as in tests, gets a temporary folder.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="loanloom-")
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -1,4 +1,4 @@
-"""Model operators on Spark ML: preparation, candidates, scoring, baselines."""
+"""Model operators: preparation, candidates, scoring, baselines; fitted models are Spark ML pipelines."""
 
 from __future__ import annotations
 
@@ -7,7 +7,6 @@ from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +15,12 @@ from pyspark.sql import functions as F
 from loanloom.config import DEFAULTS, Settings
 from loanloom.functions.cleaning import quoted
 from loanloom.functions.scoring import decide, to_micro
+from loanloom.operators.boosting import Boosting, fit_boosted
+from loanloom.operators.logistic import PROBABILITY, fit_logistic
 from loanloom.operators.metrics import class_weights, ranking_metrics, recall_threshold, score_counts
 from loanloom.operators.skew import keyed_join
 from loanloom.operators.stats import impute_stats, melt, modes, top_categories
+from loanloom.session import scratch_dir
 from loanloom.sources.stores import store_exists
 
 # In bake-off order: the first one wins ties.
@@ -190,27 +192,13 @@ def _rare(df: DataFrame, kept: Mapping[str, Sequence[str]]) -> DataFrame:
     return melt(df, list(kept), "STRING").where(f"NOT ({mine})").distinct()
 
 
-def classifier(
-    name: str, n_rows: int, settings: Settings = DEFAULTS, max_iter: int | None = None
-):
-    """Untrained candidate. ``max_iter`` shortens the boosting runs."""
-    common = {"featuresCol": "features", "labelCol": "label", "weightCol": "_weight"}
-    if name == "logistic_regression":
-        # An L2 penalty of one on the summed loss is 1 / n on the mean loss.
-        return LogisticRegression(
-            **common, maxIter=2000, regParam=1.0 / n_rows, standardization=False
-        )
-    boosted = {
-        **common,
-        "stepSize": 0.05,
-        "subsamplingRate": 0.8,
-        "featureSubsetStrategy": "0.8",
-        "seed": settings.seed,
-    }
+def boosting(name: str, settings: Settings = DEFAULTS, max_iter: int | None = None) -> Boosting:
+    """Parameters of a boosted candidate. ``max_iter`` shortens the run."""
+    common = {"rate": 0.05, "reg_lambda": 1.0, "columns": 0.8, "seed": settings.seed}
     if name == "gbt_shallow":
-        return GBTClassifier(**boosted, maxIter=max_iter or 300, maxDepth=3, minInstancesPerNode=5)
+        return Boosting(trees=max_iter or 300, depth=3, gamma=0.1, min_weight=5.0, subsample=0.8, **common)
     if name == "gbt_deep":
-        return GBTClassifier(**boosted, maxIter=max_iter or 400, maxDepth=4, minInstancesPerNode=40)
+        return Boosting(trees=max_iter or 400, depth=4, min_rows=40, **common)
     raise ValueError(f"unknown candidate {name!r}")
 
 
@@ -222,8 +210,12 @@ def fit_candidate(
     settings: Settings = DEFAULTS,
     preparation: Preparation | None = None,
     max_iter: int | None = None,
+    folder: str | None = None,
 ) -> Fitted:
-    """Fit one candidate on labelled rows, classes weighted against their imbalance."""
+    """Fit one candidate on labelled rows, classes weighted against their imbalance.
+
+    Boosted candidates keep tables in ``folder``, by default a new one beside the checkpoints.
+    """
     prepared = preparation or fit_preparation(train, numeric, categorical)
     per_class = {r["label"]: r for r in class_weights(train).collect()}
     if set(per_class) != {0, 1}:
@@ -232,22 +224,29 @@ def fit_candidate(
         weights = {k: r["balanced_weight"] for k, r in per_class.items()}
     else:
         weights = {0: 1.0, 1: per_class[1]["scale_pos_weight"]}
-    n_rows = sum(r["n"] for r in per_class.values())
-    weight = F.when(F.col("label") == 1, weights[1]).otherwise(weights[0])
-    # Prepare first and fit on the narrow result, so that iterations reread little.
-    stages = prepared.stages()
-    preparing = PipelineModel(stages)
-    ready = preparing.transform(prepared.flagged(train)).select(
-        "features", F.col("label").cast("double").alias("label"), weight.alias("_weight")
-    )
-    fitted = classifier(name, n_rows, settings, max_iter).fit(ready)
-    return Fitted(PipelineModel([*stages, fitted]), prepared.rare, prepared.rare_columns())
+    weight = f"CASE WHEN label = 1 THEN {_number(weights[1])} ELSE {_number(weights[0])} END"
+    key = "loan_id" if "loan_id" in train.columns else None
+    ready = prepared.flagged(train).selectExpr(*prepared.columns(), "label", *([key] if key else []))
+    inputs = list(prepared.expressions())
+    if name == "logistic_regression":
+        # The penalty of one is on the summed loss.
+        fitted = fit_logistic(ready, inputs, weight=weight)
+    else:
+        params = boosting(name, settings, max_iter)
+        where = folder or scratch_dir(train.sparkSession, name)
+        fitted = fit_boosted(ready, inputs, where, params, weight=weight, key=key)
+    stages = [*prepared.stages(), fitted.stage()]
+    return Fitted(PipelineModel(stages), prepared.rare, prepared.rare_columns())
 
 
 def score(model: Fitted, df: DataFrame) -> DataFrame:
-    """``df`` with ``score``, the probability of default to six decimals."""
-    probability = vector_to_array("probability")[1]
-    return model.transform(df).select(*df.columns, F.round(probability, 6).alias("score"))
+    """``df`` with ``score``, the probability of default to six decimals.
+
+    Models saved by earlier versions of this library end in a Spark ML classifier.
+    """
+    out = model.transform(df)
+    chance = F.col(PROBABILITY) if PROBABILITY in out.columns else vector_to_array("probability")[1]
+    return out.select(*df.columns, F.round(chance, 6).alias("score"))
 
 
 def predictions(scored: DataFrame, model_name: str, version: str, threshold: float) -> DataFrame:

@@ -11,9 +11,10 @@ from loanloom.config import CATEGORICAL, CLIP_BOUNDS, DIRTY_NUMERIC, Settings
 from loanloom.functions import cleaning, dates
 from loanloom.functions.cleaning import quoted
 from loanloom.functions.scoring import from_micro
-from loanloom.operators import calendar, features, governance, ledger, metrics, model, monitor, monitor_state, stats
+from loanloom.operators import boosting, calendar, features, governance, ledger, metrics, model, monitor, monitor_state, stats
 from loanloom.plans import adapters as A
 from loanloom.session import scratch_dir
+from loanloom.sources.sinks import stored
 from loanloom.sources.stores import union_stores
 from loanloom.streaming.incremental import unseen_cohorts
 
@@ -574,19 +575,16 @@ def model_matrix(spark, sf_dir):
 
 
 def _training_frame(spark, sf_dir):
+    """Scored loans with the features known at origination and their split, written once."""
     scored = A.scored(spark, sf_dir).select("loan_id", "Customer_ID", "orig_month", "label")
     known = features.asof_features(scored, A.snapshots(spark, sf_dir))
-    return features.window_split(known, month=TRAIN_MONTH, settings=SETTINGS)
+    split = features.window_split(known, month=TRAIN_MONTH, settings=SETTINGS)
+    return stored(split, scratch_dir(spark, "training_frame"))
 
 
-def _baseline_model(frame):
-    # The fit reads its rows many times; hold the narrow columns it uses meanwhile.
-    train = frame.where("split = 'train' AND label IS NOT NULL").select("label", *MODEL_INPUTS)
-    train.persist()
-    try:
-        return model.fit_candidate("logistic_regression", train, MODEL_INPUTS, [], SETTINGS)
-    finally:
-        train.unpersist()
+def _fitted(frame, name="logistic_regression", max_iter=None):
+    train = frame.where("split = 'train' AND label IS NOT NULL").select("loan_id", "label", *MODEL_INPUTS)
+    return model.fit_candidate(name, train, MODEL_INPUTS, [], SETTINGS, max_iter=max_iter)
 
 
 @query
@@ -601,15 +599,42 @@ def prediction_rows(spark, sf_dir):
 def train_baseline_model(spark, sf_dir):
     """Metrics of a logistic regression on the three windows."""
     frame = _training_frame(spark, sf_dir)
-    fitted = _baseline_model(frame)
     rows = frame.where("split IS NOT NULL AND label IS NOT NULL")
-    return model.split_metrics(fitted, rows)
+    return model.split_metrics(_fitted(frame), rows)
 
 
 @query
 def score_cohorts(spark, sf_dir):
-    """Every application scored by that model."""
+    """Every application scored by that model; the time of scoring is left out."""
     frame = _training_frame(spark, sf_dir)
-    fitted = _baseline_model(frame)
-    scored = model.score(fitted, frame)
-    return model.predictions(scored, "logistic_regression", "credit_model_2001_06_01", 0.5)
+    scored = model.score(_fitted(frame), frame)
+    return model.predictions(scored, "logistic_regression", "credit_model_2001_06_01", 0.5).drop("scored_at")
+
+
+@query
+def boosting_gains(spark, sf_dir):
+    """What each first split of a boosted tree would gain: histograms of both derivatives."""
+    train = _training_frame(spark, sf_dir).where("split = 'train' AND label IS NOT NULL")
+    balance = metrics.class_weights(train).where("label = 1").first()["scale_pos_weight"]
+    params = model.boosting("gbt_shallow", SETTINGS)
+    edges = boosting.bin_edges(train, MODEL_INPUTS, params.bins)
+    weight = f"CASE WHEN label = 1 THEN {boosting.number(balance)} ELSE 1D END AS w"
+    rows = boosting.binned(train, MODEL_INPUTS, edges, "CAST(label AS DOUBLE) AS y", weight, "0D AS margin")
+    unit = boosting.unit_for(rows.selectExpr("sum(w)").first()[0] or 0.0)
+    bins = [f"b{i}" for i in range(len(MODEL_INPUTS))]
+    known = boosting.derivatives(rows, unit, *bins).withColumn("node", F.lit(1))
+    gains = boosting.split_gains(boosting.histograms(known, range(len(MODEL_INPUTS))), unit, params)
+    names = ", ".join(f"'{c}'" for c in MODEL_INPUTS)
+    # Plus zero, so that a sum that cancels is no negative zero.
+    return gains.selectExpr(
+        f"array({names})[feature] AS input", "CAST(bin AS BIGINT) AS bin", "ln AS n_left",
+        *[f"round({e}, {DIGITS}) + 0D AS {c}" for c, e in {"g_left": "lg", "h_left": "lh", "gain": "gain"}.items()],
+    )
+
+
+@query
+def boosted_trees(spark, sf_dir):
+    """Metrics of ten boosted trees on the three windows."""
+    frame = _training_frame(spark, sf_dir)
+    rows = frame.where("split IS NOT NULL AND label IS NOT NULL")
+    return model.split_metrics(_fitted(frame, "gbt_shallow", 10), rows)

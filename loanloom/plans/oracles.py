@@ -561,3 +561,93 @@ ORACLES["prediction_rows"] = f"""
 WITH {SCORED}
 SELECT loan_id, Customer_ID, orig_month, score, CAST(score >= 0.35 AS INTEGER) AS prediction,
   'logistic_regression' AS model_name, 'credit_model_2001_06_01' AS model_version FROM scored"""
+
+INPUTS = ("avg_discount", "avg_quantity", "n_lines")
+
+
+def each(text: str, start: int = 0, separator: str = ", ") -> str:
+    """``text`` once per model input, with its name for @ and its number for #."""
+    return separator.join(text.replace("@", c).replace("#", str(i)) for i, c in enumerate(INPUTS, start))
+
+
+# Scored loans with the features known at origination.
+FRAME = f"""{SCORED}, {SNAPS},
+f AS (SELECT * RENAME (snapshot_date AS feat_snapshot) FROM snaps),
+frame AS MATERIALIZED (
+  SELECT s.loan_id, s.Customer_ID, s.orig_month, s.label, {SPLIT.replace('orig_month', 's.orig_month')} AS split,
+    {each('CAST(f.@ AS DOUBLE) AS @')}
+  FROM scored s ASOF LEFT JOIN f ON s.Customer_ID = f.Customer_ID AND s.orig_month >= f.feat_snapshot),
+train AS MATERIALIZED (SELECT * FROM frame WHERE split = 'train' AND label IS NOT NULL)"""
+
+# Newton's method for the penalised log loss, twelve steps from zero: sums over the rows, then the
+# four equations solved by a Cholesky factor.
+STEPS = 12
+TERMS = ("1", "z1", "z2", "z3")
+NEWTON = f"""
+medians AS (SELECT {each('quantile_cont(@, 0.5) AS m#')} FROM train),
+moments AS (SELECT {each('avg(COALESCE(@, m#)) AS a#')}, {each('stddev_pop(COALESCE(@, m#)) AS s#')} FROM train, medians),
+balance AS (SELECT count(*) / (2 * sum(label)) AS w1, count(*) / (2 * sum(1 - label)) AS w0 FROM train),
+ready AS MATERIALIZED (
+  SELECT frame.*, {', '.join(f'(COALESCE({c}, m{i}) - a{i}) / s{i} AS z{i + 1}' for i, c in enumerate(INPUTS))}
+  FROM frame, medians, moments),
+points AS MATERIALIZED (
+  SELECT z1, z2, z3, label AS y, CASE WHEN label = 1 THEN w1 ELSE w0 END AS w
+  FROM ready, balance WHERE split = 'train' AND label IS NOT NULL),
+newton AS (
+  SELECT 0 AS step, 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2, 0.0::DOUBLE AS b3
+  UNION ALL
+  SELECT step + 1, b0 - d0, b1 - d1, b2 - d2, b3 - d3 FROM (
+    SELECT *, sqrt(h00) AS l00, h01 / l00 AS l10, h02 / l00 AS l20, h03 / l00 AS l30, sqrt(h11 - l10 * l10) AS l11,
+      (h12 - l20 * l10) / l11 AS l21, (h13 - l30 * l10) / l11 AS l31, sqrt(h22 - l20 * l20 - l21 * l21) AS l22,
+      (h23 - l30 * l20 - l31 * l21) / l22 AS l32, sqrt(h33 - l30 * l30 - l31 * l31 - l32 * l32) AS l33,
+      g0 / l00 AS y0, (g1 - l10 * y0) / l11 AS y1, (g2 - l20 * y0 - l21 * y1) / l22 AS y2,
+      (g3 - l30 * y0 - l31 * y1 - l32 * y2) / l33 AS y3,
+      y3 / l33 AS d3, (y2 - l32 * d3) / l22 AS d2, (y1 - l21 * d2 - l31 * d3) / l11 AS d1,
+      (y0 - l10 * d1 - l20 * d2 - l30 * d3) / l00 AS d0
+    FROM (
+      SELECT step, b0, b1, b2, b3, {', '.join(f'sum(w * (p - y) * {t}) + {f"b{i}" if i else 0} AS g{i}' for i, t in enumerate(TERMS))},
+        {', '.join(f'sum(w * p * (1 - p) * {t} * {u}) + {int(i == j > 0)} AS h{i}{j}' for i, t in enumerate(TERMS) for j, u in enumerate(TERMS) if i <= j)}
+      FROM (SELECT newton.*, points.*, 1 / (1 + exp(-(b0 + b1 * z1 + b2 * z2 + b3 * z3))) AS p
+        FROM newton, points WHERE step < {STEPS})
+      GROUP BY step, b0, b1, b2, b3))),
+fit AS (SELECT * FROM newton WHERE step = {STEPS}),
+judged AS (
+  SELECT ready.*, round(1 / (1 + exp(-(b0 + b1 * z1 + b2 * z2 + b3 * z3))), 6) AS score FROM ready, fit)"""
+ORACLES["train_baseline_model"] = f"""
+WITH RECURSIVE {FRAME}, {NEWTON},
+rated AS (SELECT * FROM judged WHERE split IS NOT NULL AND label IS NOT NULL),
+{ranked('rated', 'split')}
+SELECT split, {BUNDLE.replace(', 6)', ', 4)')} FROM c GROUP BY 1"""
+ORACLES["score_cohorts"] = f"""
+WITH RECURSIVE {FRAME}, {NEWTON}
+SELECT loan_id, Customer_ID, orig_month, score, CAST(score >= 0.5 AS INTEGER) AS prediction,
+  'logistic_regression' AS model_name, 'credit_model_2001_06_01' AS model_version FROM judged"""
+
+BINS = 64
+ORACLES["boosting_gains"] = f"""
+WITH {FRAME},
+long AS ({' UNION ALL '.join(f"SELECT '{c}' AS input, {c} AS x, label AS y FROM train" for c in INPUTS)}),
+buckets AS (
+  SELECT input, floor(sign(x) * asinh(abs(x)) * 4096) AS bucket, count(*) AS n, max(x) AS edge
+  FROM long WHERE x IS NOT NULL GROUP BY ALL),
+counted AS (
+  SELECT *, sum(n) OVER (PARTITION BY input ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY input) AS total FROM buckets),
+edges AS (
+  SELECT input, list(edge) FILTER (WHERE upto < total AND upto * {BINS} // total > (upto - n) * {BINS} // total) AS edges
+  FROM counted GROUP BY input),
+balance AS (SELECT sum(1 - label) / sum(label) AS pos, sum(label) * pos + sum(1 - label) AS total,
+  pow(2, least(40, 61 - greatest(0, ceil(log2(total))))) AS unit FROM train),
+drawn AS (
+  SELECT input, CASE WHEN x IS NULL THEN len(edges) ELSE len(list_filter(edges, lambda e: e < x)) END AS bin,
+    floor((CASE WHEN y = 1 THEN pos ELSE 1 END) * (0.5 - y) * unit + 0.5) / unit AS g,
+    floor((CASE WHEN y = 1 THEN pos ELSE 1 END) * 0.25 * unit + 0.5) / unit AS h
+  FROM long JOIN edges USING (input), balance),
+bins AS (SELECT input, bin, sum(g) AS g, sum(h) AS h, count(*) AS n FROM drawn GROUP BY ALL),
+sides AS (
+  SELECT input, bin, sum(g) OVER upto AS lg, sum(h) OVER upto AS lh, sum(n) OVER upto AS ln,
+    sum(g) OVER whole AS tg, sum(h) OVER whole AS th, sum(n) OVER whole AS tn
+  FROM bins WINDOW upto AS (PARTITION BY input ORDER BY bin), whole AS (PARTITION BY input))
+SELECT input, CAST(bin AS BIGINT) AS bin, CAST(ln AS BIGINT) AS n_left, round(lg, 6) + 0 AS g_left, round(lh, 6) + 0 AS h_left,
+  CASE WHEN lh >= 5 AND th - lh >= 5 AND tn > ln
+    THEN round(lg * lg / (lh + 1) + (tg - lg) * (tg - lg) / (th - lh + 1) - tg * tg / (th + 1), 6) + 0 END AS gain
+FROM sides"""

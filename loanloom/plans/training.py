@@ -62,7 +62,7 @@ def run_training(
     fitted, metrics = {}, {}
     for name in names:
         fitted[name] = model.fit_candidate(
-            name, train, numeric, categorical, settings, preparation, max_iter
+            name, train, numeric, categorical, settings, preparation, max_iter, mart.bank(f"{version}/fit/{name}")
         )
         metrics[name] = {r["split"]: r for r in model.split_metrics(fitted[name], frame).collect()}
 

@@ -22,6 +22,12 @@ def write_partitions(df: DataFrame, path: str, by: str, laid_out: bool = False)
     )
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """The rows written to ``path`` and read back: later jobs reread them, not what made them."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def append_rows(df: DataFrame, path: str) -> None:
     """Append a few rows to a log table; readers pick the latest per key."""
     df.coalesce(1).write.mode("append").parquet(path)

@@ -8,7 +8,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 from loanloom.plans.catalog import QUERIES as CORE
 
 SF = str(TESTDATA / "sf0.001")
-SLOW = {"train_baseline_model", "score_cohorts"}
+SLOW = {"boosted_trees"}
 
 pytestmark = pytest.mark.skipif(not TESTDATA.exists(), reason="test tables not present")
 
@@ -31,7 +31,7 @@ def test_model_queries_run(spark, name):
     assert queries()[name](spark, SF).count() > 0
 
 
-def test_all_but_the_models_have_sql():
+def test_all_but_the_trees_have_sql():
     assert set(CORE) <= set(queries()) and set(CORE) - set(oracle_sql()) == SLOW
 
 
@@ -43,7 +43,7 @@ def plan(spark, name):
     return queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(CORE) - SLOW - {"model_matrix"}))
+@pytest.mark.parametrize("name", sorted(set(CORE) - SLOW - {"model_matrix", "train_baseline_model", "score_cohorts"}))
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(spark, name)
     for node in ("PythonUDF", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):

@@ -426,4 +426,4 @@ def test_pipeline_keeps_what_stages_keep(spark):
 @needs_data
 def test_every_operator_has_one_query():
     numbers = sorted(int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES if q != "pipeline")
-    assert numbers == list(range(1, 11)) and "pipeline" in QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in QUERIES

@@ -60,13 +60,13 @@ def periodic_words(rng):
 def test_runs_equal_the_definition(min_length, exponent):
     rng = random.Random(min_length)
     found = 0
-    for _ in range(120):
+    for _ in range(60):
         words = periodic_words(rng)
         numbers = {w: i for i, w in enumerate(dict.fromkeys(words))}
         got = periodic.runs_of(np.array([numbers[w] for w in words]), min_length, exponent)
         assert got == naive_runs(words, min_length, exponent)
         found += len(got)
-    assert found > 100
+    assert found > 30
 
 
 def test_transform_convolves_and_inverts():

@@ -26,6 +26,8 @@ class Settings:
     target_recall: float = 0.75
     min_labelled: int = 30
     seed: int = 42
+    # Files of the as-of state; fixed once it exists.
+    asof_buckets: int = 200
 
     @property
     def label_def(self) -> str:

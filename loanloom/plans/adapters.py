@@ -97,6 +97,10 @@ BASELINE_YEARS = 1998
 PRODUCTION_VERSION = "credit_model_1995_01_01"
 
 
+# Ends of the periods in which as-of lookups move on.
+PERIODS = ("1996-06-01", "1998-06-01", "2000-01-01")
+
+
 def _dirty(text: str, offset: int = 0) -> str:
     k = f"(c_custkey + {offset})"
     return (

@@ -233,6 +233,19 @@ WITH {APPS}, {SNAPS},
 f AS (SELECT * RENAME (snapshot_date AS feat_snapshot) FROM snaps)
 SELECT apps.*, f.* EXCLUDE (Customer_ID)
 FROM apps ASOF LEFT JOIN f ON apps.Customer_ID = f.Customer_ID AND apps.orig_month >= f.feat_snapshot"""
+PERIOD_ENDS = ("0001-01-01", *A.PERIODS, "9999-12-01")
+ORACLES["asof_incremental"] = f"""
+WITH {APPS}, {SNAPS},
+f AS (SELECT * RENAME (snapshot_date AS feat_snapshot),
+  CASE WHEN CAST(Customer_ID AS BIGINT) % 7 = 0 THEN CAST(snapshot_date + INTERVAL 1 MONTH AS DATE) ELSE snapshot_date END AS arrived
+  FROM snaps)
+""" + " UNION ALL ".join(
+    f"""SELECT a.*, s.* EXCLUDE (Customer_ID, arrived)
+FROM (SELECT * FROM apps WHERE orig_month > DATE '{after}' AND orig_month <= DATE '{until}') a
+  ASOF LEFT JOIN (SELECT * FROM f WHERE arrived <= DATE '{until}') s
+  ON a.Customer_ID = s.Customer_ID AND a.orig_month >= s.feat_snapshot"""
+    for after, until in zip(PERIOD_ENDS, PERIOD_ENDS[1:])
+)
 ORACLES["feature_align"] = f"""
 WITH {SNAPS}
 SELECT Customer_ID, snapshot_date, avg_discount, CAST(NULL AS DOUBLE) AS Annual_Income,

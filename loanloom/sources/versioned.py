@@ -19,6 +19,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanloom.functions.cleaning import quoted
 from loanloom.sources.files import file_system, names, read_text
 
 TRIES = 10
@@ -33,12 +34,19 @@ class Manifest:
 
 @dataclass(frozen=True)
 class VersionedTable:
-    """A table at ``root`` on storage all executors reach, its parts partitioned by ``by``."""
+    """A table at ``root`` on storage all executors reach, its parts partitioned by ``by``.
+
+    With ``buckets`` the rows of a part lie in that many files by the hash of ``bucket_by``, sorted
+    by it, so a join on that column shuffles and sorts the other side only. Such a table is
+    changed by ``replace`` and has one part.
+    """
 
     spark: SparkSession
     root: str
     schema: str
     by: tuple[str, ...] = ()
+    bucket_by: str | None = None
+    buckets: int = 0
 
     def manifest(self) -> Manifest:
         """The newest version; version 0 has no parts."""
@@ -53,6 +61,8 @@ class VersionedTable:
         parts = (at or self.manifest()).parts
         if not parts:
             return self.spark.createDataFrame([], self.schema)
+        if self.bucket_by:
+            return self._bucketed(parts[-1])
         # A part is a partition of its own, so that one scan covers them all.
         stored = self.spark.read.schema(f"{self.schema}, _part string").option("basePath", f"{self.root}/parts")
         return stored.parquet(*[self._part(p) for p in parts]).drop("_part")
@@ -107,9 +117,30 @@ class VersionedTable:
         part = uuid.uuid4().hex
         if self.by:
             rows = rows.hint("rebalance", *map(F.col, self.by))
-        rows.write.partitionBy(*self.by).parquet(self._part(part))
+        if not self.bucket_by:
+            rows.write.partitionBy(*self.by).parquet(self._part(part))
+            return part
+        name = f"loanloom_write_{part}"
+        by = self.bucket_by
+        writer = rows.write.format("parquet").option("path", self._part(part)).bucketBy(self.buckets, by).sortBy(by)
+        writer.saveAsTable(name)
+        # The files stay: the table is external.
+        self.spark.sql(f"DROP TABLE {name}")
         return part
 
+    def _bucketed(self, part: str) -> DataFrame:
+        """A part as a table that Spark knows to be bucketed; its name is gone once it is resolved."""
+        name = f"loanloom_read_{uuid.uuid4().hex}"
+        by = quoted(self.bucket_by)
+        self.spark.sql(
+            f"CREATE TABLE {name} ({self.schema}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by}) "
+            f"INTO {self.buckets} BUCKETS LOCATION '{self._part(part)}'"
+        )
+        try:
+            return self.spark.table(name)
+        finally:
+            self.spark.sql(f"DROP TABLE {name}")
+
     def _put(self, manifest: Manifest) -> bool:
         """Whether the manifest is now the one of its version; False if another one is."""
         text = json.dumps({"version": manifest.version, "parts": manifest.parts, "batches": manifest.batches})

@@ -8,7 +8,7 @@ import pytest
 
 from loanloom.config import CATEGORICAL, DIRTY_NUMERIC, Settings
 from loanloom.plans.datamart import RAW_FILES, build_datamart
-from loanloom.plans.inference import run_inference
+from loanloom.plans.inference import run_inference, score_month
 from loanloom.plans.monitoring import report_tables, run_monitoring, run_reports
 from loanloom.plans.training import run_training
 from loanloom.sources.mart import Mart, champion, read_baselines, read_leaderboard, read_registry
@@ -148,6 +148,39 @@ def test_train_score_monitor_refresh(spark, built):
     assert champion(spark, mart)["version"] == "credit_model_2024_12_01"
 
 
+def test_months_scored_one_by_one_equal_one_run(spark, built):
+    """The as-of state, with one month's snapshots coming late, ends at the same predictions."""
+    _, mart, _, _ = built
+    meta = champion(spark, mart)
+    if meta is None:
+        pytest.skip("needs the trained model of the test before")
+    columns = ["loan_id", "Customer_ID", "score", "prediction", "orig_month", "model_version"]
+    other = Mart(f"{mart.root}-monthly")
+    for path in ("silver/loans", "gold/feature_store"):
+        spark.read.parquet(f"{mart.root}/{path}").write.partitionBy("snapshot_date").parquet(f"{other.root}/{path}")
+    append_champion(spark, mart, other)
+    settings = Settings(asof_buckets=3)
+    months = [m.isoformat() for m in MONTHS[:16]]
+    for month in months[:5]:
+        assert score_month(spark, other, month, settings)["status"] == "ok"
+    assert score_month(spark, other, months[0], settings)["status"] == "scored_before"
+    for month in months[5:]:
+        late = months[3:5] if month == months[5] else ()
+        assert score_month(spark, other, month, settings, late)["status"] == "ok"
+    got = spark.read.parquet(other.gold("model_predictions")).select(columns)
+    once = Mart(f"{mart.root}-once")
+    for path in ("silver/loans", "gold/feature_store"):
+        spark.read.parquet(f"{mart.root}/{path}").write.partitionBy("snapshot_date").parquet(f"{once.root}/{path}")
+    append_champion(spark, mart, once)
+    assert run_inference(spark, once)["scored"] == N_CUSTOMERS
+    want = spark.read.parquet(once.gold("model_predictions")).select(columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def append_champion(spark, mart, other):
+    spark.read.parquet(mart.bank("champions")).write.parquet(other.bank("champions"))
+
+
 def test_prediction_columns(spark, built):
     _, mart, _, _ = built
     assert set(spark.read.parquet(mart.gold("model_predictions")).columns) == {

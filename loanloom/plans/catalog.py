@@ -16,6 +16,7 @@ from loanloom.plans import adapters as A
 from loanloom.session import scratch_dir
 from loanloom.sources.sinks import stored
 from loanloom.sources.stores import union_stores
+from loanloom.streaming import catchup
 from loanloom.streaming.incremental import unseen_cohorts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -246,6 +247,16 @@ def asof_incremental(spark, sf_dir):
     return union_stores(out)
 
 
+@query
+def asof_stream(spark, sf_dir):
+    """The same lookups for applications that come as a stream of files, run until all are read."""
+    schema = A.table(spark, sf_dir, "orders").schema
+    # A pattern, as a stream takes a folder or a pattern and the table may be one file.
+    orders = spark.readStream.schema(schema).parquet(f"{sf_dir}/orders.parque[t]")
+    apps = orders.selectExpr(*A.select_list(A.APPLICATIONS))
+    return catchup.run_stream(catchup.asof_stream(apps, A.snapshots(spark, sf_dir)), scratch_dir(spark, "asof_stream"))
+
+
 @query
 def feature_align(spark, sf_dir):
     aligned = features.feature_align(

@@ -37,7 +37,7 @@ def run_inference(spark: SparkSession, mart: Mart, settings: Settings = DEFAULTS
     # Prepared before the lookup, so that applications without features stay NULL.
     store = read_store(spark, mart.gold("feature_store"), S.FEATURE_STORE)
     prepared = prepare_features(known_to(apps, store))
-    rows = _predicted(spark, meta, asof_features(apps, prepared))
+    rows = predicted(spark, meta, asof_features(apps, prepared))
     before = done.count()
     write_partitions(rows, mart.gold("model_predictions"), "orig_month")
     after = read_store(spark, mart.gold("model_predictions"), S.PREDICTIONS).count()
@@ -72,7 +72,7 @@ def score_month(
         wanted = f"({wanted}) OR snapshot_date IN ({', '.join(map(date_literal, late))})"
     asof_state.advance(state, month, prepared.where(wanted), " ".join(["late", *late]) if late else "")
     # Read by one month's apps only, and written once.
-    rows = _predicted(spark, meta, asof_state.lookup(state, apps))
+    rows = predicted(spark, meta, asof_state.lookup(state, apps))
     write_partitions(rows, path, "orig_month", laid_out=True)
     return {"scored": _cohort_rows(spark, path, month), "status": "ok"}
 
@@ -82,7 +82,7 @@ def _cohort_rows(spark: SparkSession, path: str, month: str) -> int:
     return read_store(spark, path, S.PREDICTIONS).where(f"orig_month = {date_literal(month)}").count()
 
 
-def _predicted(spark: SparkSession, meta: Row, known: DataFrame) -> DataFrame:
+def predicted(spark: SparkSession, meta: Row, known: DataFrame) -> DataFrame:
     """Prediction rows of applications with their features, by the model in production."""
     aligned = feature_align(known, meta["numeric_columns"], meta["categorical"])
     scored = model.score(model.load_fitted(spark, meta["model_path"], meta["categorical"]), aligned)

@@ -233,6 +233,7 @@ WITH {APPS}, {SNAPS},
 f AS (SELECT * RENAME (snapshot_date AS feat_snapshot) FROM snaps)
 SELECT apps.*, f.* EXCLUDE (Customer_ID)
 FROM apps ASOF LEFT JOIN f ON apps.Customer_ID = f.Customer_ID AND apps.orig_month >= f.feat_snapshot"""
+ORACLES["asof_stream"] = ORACLES["asof_features"]
 PERIOD_ENDS = ("0001-01-01", *A.PERIODS, "9999-12-01")
 ORACLES["asof_incremental"] = f"""
 WITH {APPS}, {SNAPS},

@@ -14,8 +14,8 @@ from loanloom.functions.dates import date_literal, window_bounds
 from loanloom.operators import governance, model
 from loanloom.operators.features import feature_columns, modelling_table, window_split
 from loanloom.session import use_checkpoint_dir
-from loanloom.sources.mart import Mart, champion, read_monitoring
-from loanloom.sources.sinks import append_rows, write_partitions
+from loanloom.sources.mart import Mart, champion, champion_table, leaderboard_table, read_monitoring, registry_table
+from loanloom.sources.sinks import write_partitions
 from loanloom.sources.stores import read_store, store_exists
 
 
@@ -81,15 +81,12 @@ def run_training(
     fitted[best].save(path)
     baseline = model.score(fitted[best], train).withColumn("model_version", F.lit(version))
     write_partitions(model.baseline_counts(baseline), mart.bank("baselines"), "model_version")
-    append_rows(
-        board.withColumns(
-            {
-                "selected": F.col("model") == best,
-                "threshold": F.lit(threshold),
-                "trained_at": F.lit(now),
-            }
-        ),
-        mart.bank("leaderboard"),
+    rows = board.withColumns(
+        {"selected": F.col("model") == best, "threshold": F.lit(threshold), "trained_at": F.lit(now)}
+    )
+    # Small tables, each swapped as a whole: a run that dies leaves the old one in place.
+    leaderboard_table(spark, mart).replace(
+        lambda old: old.where(f"month <> {date_literal(month)}").unionByName(rows).coalesce(1)
     )
 
     by_split = metrics[best]
@@ -99,7 +96,8 @@ def run_training(
         dt.date.fromisoformat(month), version, action, reason, best, "|".join(names), promoted,
         threshold, auc["train"], auc["test"], auc["oot"], n["train"], n["test"], n["oot"], now,
     )
-    append_rows(spark.createDataFrame([registry], S.REGISTRY), mart.bank("registry"))
+    entry = spark.createDataFrame([registry], S.REGISTRY)
+    registry_table(spark, mart).replace(lambda old: governance.registry_upsert(old, entry).coalesce(1))
     status = {
         "action": action, "reason": reason, "model_name": best, "version": version,
         "train_date": month, "promoted": promoted, "decision_threshold": threshold,
@@ -115,7 +113,11 @@ def run_training(
          for s, r in by_split.items()},
         path, now,
     )
-    append_rows(spark.createDataFrame([meta], S.CHAMPION), mart.bank("champions"))
+    crowned = spark.createDataFrame([meta], S.CHAMPION)
+    # The last step: until it is done, production is the model before.
+    champion_table(spark, mart).replace(
+        lambda old: old.where(F.col("version") != version).unionByName(crowned).coalesce(1)
+    )
     return {**status, "in_production": True}
 
 

@@ -7,8 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from loanloom import schemas as S
-from loanloom.operators.skew import latest_per
 from loanloom.sources.stores import read_store
+from loanloom.sources.versioned import VersionedTable
 
 
 @dataclass(frozen=True)
@@ -33,16 +33,28 @@ class Mart:
         return f"{self.root}/reports/{name}"
 
 
+def registry_table(spark: SparkSession, mart: Mart) -> VersionedTable:
+    """One row per model version, the last one written."""
+    return VersionedTable(spark, mart.bank("registry"), S.REGISTRY)
+
+
+def leaderboard_table(spark: SparkSession, mart: Mart) -> VersionedTable:
+    """Rows of the last bake-off of every training month."""
+    return VersionedTable(spark, mart.bank("leaderboard"), S.LEADERBOARD)
+
+
+def champion_table(spark: SparkSession, mart: Mart) -> VersionedTable:
+    """Metadata of every model version that went into production."""
+    return VersionedTable(spark, mart.bank("champions"), S.CHAMPION)
+
+
 def read_registry(spark: SparkSession, mart: Mart) -> DataFrame:
-    """Registry with one row per model version, the last one written."""
-    return latest_per(
-        read_store(spark, mart.bank("registry"), S.REGISTRY), ["model_version"], ["seq"]
-    )
+    return registry_table(spark, mart).read()
 
 
 def read_leaderboard(spark: SparkSession, mart: Mart) -> DataFrame:
     """Rows of the last bake-off."""
-    rows = read_store(spark, mart.bank("leaderboard"), S.LEADERBOARD)
+    rows = leaderboard_table(spark, mart).read()
     return rows.join(rows.selectExpr("max(trained_at) AS trained_at"), "trained_at")
 
 
@@ -56,5 +68,5 @@ def read_baselines(spark: SparkSession, mart: Mart) -> DataFrame:
 
 def champion(spark: SparkSession, mart: Mart) -> Row | None:
     """Metadata of the model in production, the last one trained; None before the first."""
-    rows = read_store(spark, mart.bank("champions"), S.CHAMPION)
+    rows = champion_table(spark, mart).read()
     return rows.orderBy("trained_at", ascending=False).limit(1).first()

@@ -28,11 +28,6 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def append_rows(df: DataFrame, path: str) -> None:
-    """Append a few rows to a log table; readers pick the latest per key."""
-    df.coalesce(1).write.mode("append").parquet(path)
-
-
 def export_csv(df: DataFrame, path: str, *order: str) -> None:
     """Small sorted result as one CSV file."""
     df.orderBy(*order).coalesce(1).write.mode("overwrite").option("header", True).csv(path)

@@ -10,6 +10,7 @@ Manifests are small: the names of live parts and of the batches added so far, no
 from __future__ import annotations
 
 import json
+import threading
 import time
 import uuid
 from collections.abc import Callable
@@ -23,6 +24,8 @@ from loanloom.functions.cleaning import quoted
 from loanloom.sources.files import file_system, names, read_text
 
 TRIES = 10
+#: A local file system, as in tests, looks before it renames; writers of one session take turns there.
+_TURN = threading.Lock()
 
 
 @dataclass(frozen=True)
@@ -155,7 +158,8 @@ class VersionedTable:
         options = self.spark.sparkContext._gateway.new_array(kind, 1)
         options[0] = kind.NONE
         try:
-            files.rename(fs.makeQualified(draft), fs.makeQualified(target), options)
+            with _TURN:
+                files.rename(fs.makeQualified(draft), fs.makeQualified(target), options)
         except Py4JJavaError as error:
             fs.delete(draft, False)
             if "FileAlreadyExists" in error.java_exception.getClass().getName():

@@ -3,6 +3,8 @@
 import csv
 import datetime as dt
 import random
+import shutil
+from pathlib import Path
 
 import pytest
 
@@ -11,9 +13,10 @@ from loanloom.plans.datamart import RAW_FILES, build_datamart
 from loanloom.plans.inference import run_inference, score_month
 from loanloom.plans.monitoring import report_tables, run_monitoring, run_reports
 from loanloom.plans.training import run_training
-from loanloom.sources.mart import Mart, champion, read_baselines, read_leaderboard, read_registry
+from loanloom.sources.mart import Mart, champion, champion_table, read_baselines, read_leaderboard, read_registry, registry_table
 from loanloom.sources.sinks import write_partitions
 from loanloom.sources.stores import read_store
+from loanloom.streaming.catchup import catch_up
 
 N_CUSTOMERS = 360
 MONTHS = [dt.date(2023 + m // 12, m % 12 + 1, 1) for m in range(24)]
@@ -139,6 +142,8 @@ def test_train_score_monitor_refresh(spark, built):
     refreshed = run_training(spark, mart, "2024-12-01", max_iter=4)
     assert refreshed["action"] == "refresh" and len(refreshed["candidates"]) == 3
     assert read_registry(spark, mart).count() == 2
+    # The registry is swapped, not appended to: one part, whatever the number of runs.
+    assert len(registry_table(spark, mart).manifest().parts) == 1
     assert read_leaderboard(spark, mart).select("model").distinct().count() == 3
     gated = run_training(
         spark, mart, "2025-06-01",
@@ -177,8 +182,33 @@ def test_months_scored_one_by_one_equal_one_run(spark, built):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
+    # The same as a stream that dies after its first files, between a batch's write and its commit.
+    streamed = Mart(f"{mart.root}-streamed")
+    for path in ("silver/loans", "gold/feature_store"):
+        shutil.copytree(f"{once.root}/{path}", f"{streamed.root}/{path}")
+    assert catch_up(spark, streamed)["status"] == "no_champion"
+    append_champion(spark, mart, streamed)
+    hidden = [Path(f"{streamed.root}/silver/loans/snapshot_date={m}") for m in months[8:]]
+    for folder in hidden:
+        folder.rename(folder.with_name(f".{folder.name}"))
+    assert catch_up(spark, streamed, files=4)["scored"] == sum(r.orig_month.isoformat() < months[8] for r in want.collect())
+    store = Path(streamed.gold("caught_up"))
+    newest = max(int(f.name) for f in (store / "checkpoint/commits").iterdir() if f.name.isdigit())
+    assert newest > 0
+    for log in ("checkpoint/commits", "rows/_spark_metadata"):
+        for file in (store / log).iterdir():
+            if file.name.strip(".").split(".")[0] == str(newest):
+                file.unlink()
+    for folder in hidden:
+        folder.with_name(f".{folder.name}").rename(folder)
+    assert catch_up(spark, streamed, files=4)["status"] == "ok"
+    assert catch_up(spark, streamed, files=4) == {"scored": 0, "status": "ok"}
+    again = spark.read.parquet(streamed.gold("model_predictions")).select(columns)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, want.collect()))
+
+
 def append_champion(spark, mart, other):
-    spark.read.parquet(mart.bank("champions")).write.parquet(other.bank("champions"))
+    champion_table(spark, other).replace(lambda _: champion_table(spark, mart).read())
 
 
 def test_prediction_columns(spark, built):

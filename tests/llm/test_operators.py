@@ -100,6 +100,47 @@ def test_license_scan(spark):
     assert got[None].base_labels == "cc-by"
 
 
+def brute_license(text, percent=license.PERCENT):
+    """Labels and best containment by looking at every run of words a template may span."""
+    low = (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+    base = {
+        label for phrase, label in license.PHRASES.items() for i in range(len(w))
+        if w[i : i + len(phrase.split())] == phrase.split()
+    }
+    labels, best = set(base), 1.0 if base else 0.0
+    for template, label in license.TEMPLATES.items():
+        held = set(template.split())
+        least, span = -(-len(held) * percent // 100), -(-len(template.split()) * 100 // percent)
+        common = max((len(held & set(w[i : i + span])) for i in range(len(w))), default=0)
+        if common >= least:
+            labels.add(label)
+            best = max(best, common / len(held))
+    return len(w), ",".join(sorted(base)), ",".join(sorted(labels)), best
+
+
+def test_license_labels_and_scores_equal_brute_force(spark):
+    rng = random.Random(3)
+    templates = list(license.TEMPLATES)
+    texts = {0: None, 1: "", 2: "LICENSE\U0001F600 K İ café\x85 mit\tlicense", 3: "All humans have equal rights under the law, and some seats are reserved."}
+    for i in range(4, 160):
+        parts = []
+        for _ in range(rng.randrange(1, 5)):
+            words = rng.choice(templates).split()
+            for _ in range(rng.choice([0, 0, 1, 2, 4])):
+                at = rng.randrange(len(words))
+                words[at : at + rng.randrange(2)] = rng.choice([[], ["other"], ["other", "words"]])
+            parts += ["filler"] * rng.randrange(0, 70) + words[rng.choice([0, 0, 0, 2]) :]
+        texts[i] = "".join(w.upper() + rng.choice([" ", ", ", "\n", "\n# "]) if rng.random() < 0.3 else w + " " for w in parts)
+    rows = [*texts.items(), (5, texts[5]), (None, texts[6])]
+    found = license.license_scan(documents(spark, rows)).collect()
+    assert len(found) == len(rows)
+    got = {r.doc_id: (r.n_words, r.base_labels, r.labels, pytest.approx(r.score)) for r in found if r.doc_id is not None}
+    assert got == {i: brute_license(t) for i, t in texts.items()}
+    assert sum(bool(v[2]) for v in got.values()) > 80 and got[3][2] == ""
+    assert license.license_scan(documents(spark, rows).limit(0)).count() == 0
+
+
 def test_license_notices_span_lines(spark):
     mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and more"
     bsd = "// Redistribution and use in source and binary forms, with or without\n// modification, are permitted provided"

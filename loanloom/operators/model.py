@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from functools import reduce
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -23,6 +26,8 @@ from loanloom.operators.stats import impute_stats, melt, modes, top_categories
 from loanloom.session import scratch_dir
 from loanloom.sources.stores import store_exists
 
+T = TypeVar("T")
+
 # In bake-off order: the first one wins ties.
 CANDIDATES = ("logistic_regression", "gbt_shallow", "gbt_deep")
 MAX_CATEGORIES = 20
@@ -239,6 +244,25 @@ def fit_candidate(
     return Fitted(PipelineModel(stages), prepared.rare, prepared.rare_columns())
 
 
+def bake_off(spark: SparkSession, names: Sequence[str], fit: Callable[[str], T], parallel: bool = True) -> dict[str, T]:
+    """What ``fit`` makes of each candidate, in the order of the names.
+
+    Side by side, each in a scheduler pool of its own, as the jobs of a fit are many and short: in a session with
+    fair scheduling they share the executors, and all are done when the slowest is. The first
+    failure is raised once all have ended.
+    """
+    if not parallel or len(names) < 2:
+        return {name: fit(name) for name in names}
+
+    def pooled(name: str) -> T:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        return fit(name)
+
+    with ThreadPoolExecutor(len(names)) as pool:
+        done = [pool.submit(inheritable_thread_target(spark)(pooled), name) for name in names]
+    return {name: d.result() for name, d in zip(names, done)}
+
+
 def score(model: Fitted, df: DataFrame) -> DataFrame:
     """``df`` with ``score``, the probability of default to six decimals.
 

@@ -38,10 +38,7 @@ def run_inference(spark: SparkSession, mart: Mart, settings: Settings = DEFAULTS
     store = read_store(spark, mart.gold("feature_store"), S.FEATURE_STORE)
     prepared = prepare_features(known_to(apps, store))
     rows = predicted(spark, meta, asof_features(apps, prepared))
-    before = done.count()
-    write_partitions(rows, mart.gold("model_predictions"), "orig_month")
-    after = read_store(spark, mart.gold("model_predictions"), S.PREDICTIONS).count()
-    return {"scored": after - before, "status": "ok"}
+    return {"scored": write_partitions(rows, mart.gold("model_predictions"), "orig_month"), "status": "ok"}
 
 
 def score_month(
@@ -73,13 +70,7 @@ def score_month(
     asof_state.advance(state, month, prepared.where(wanted), " ".join(["late", *late]) if late else "")
     # Read by one month's apps only, and written once.
     rows = predicted(spark, meta, asof_state.lookup(state, apps))
-    write_partitions(rows, path, "orig_month", laid_out=True)
-    return {"scored": _cohort_rows(spark, path, month), "status": "ok"}
-
-
-def _cohort_rows(spark: SparkSession, path: str, month: str) -> int:
-    """Rows of one cohort in the predictions; counted from file footers."""
-    return read_store(spark, path, S.PREDICTIONS).where(f"orig_month = {date_literal(month)}").count()
+    return {"scored": write_partitions(rows, path, "orig_month", laid_out=True), "status": "ok"}
 
 
 def predicted(spark: SparkSession, meta: Row, known: DataFrame) -> DataFrame:

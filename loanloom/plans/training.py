@@ -26,11 +26,12 @@ def run_training(
     settings: Settings = DEFAULTS,
     mode: str = "latest_then_filter",
     max_iter: int | None = None,
+    parallel: bool = True,
 ) -> dict:
     """Train for the month of ``run_date`` if governance asks for it.
 
     Always returns a status with ``action`` and ``reason``. ``max_iter`` shortens the
-    boosting runs.
+    boosting runs; ``parallel`` fits the candidates side by side, with the same result.
     """
     month = run_date[:10]
     current = champion(spark, mart)
@@ -59,12 +60,15 @@ def run_training(
     names = [settings.initial_model] if action == "bootstrap" else list(model.CANDIDATES)
     train = frame.where("split = 'train'")
     preparation = model.fit_preparation(train, numeric, categorical).stored(mart.bank(f"{version}/rare"))
-    fitted, metrics = {}, {}
-    for name in names:
-        fitted[name] = model.fit_candidate(
+
+    def fit(name: str) -> tuple[model.Fitted, dict]:
+        made = model.fit_candidate(
             name, train, numeric, categorical, settings, preparation, max_iter, mart.bank(f"{version}/fit/{name}")
         )
-        metrics[name] = {r["split"]: r for r in model.split_metrics(fitted[name], frame).collect()}
+        return made, {r["split"]: r for r in model.split_metrics(made, frame).collect()}
+
+    baked = model.bake_off(spark, names, fit, parallel)
+    fitted, metrics = ({name: pair[i] for name, pair in baked.items()} for i in (0, 1))
 
     board = _leaderboard_rows(spark, metrics, names, month, action)
     chosen = governance.champion_select(

@@ -15,6 +15,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Candidates are fitted side by side.
+    "spark.scheduler.mode": "FAIR",
     # Recording the Python call site of every column costs more than building it.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

@@ -2,6 +2,7 @@
 
 import bisect
 import random
+import threading
 
 import numpy as np
 import pytest
@@ -209,3 +210,43 @@ def test_boosted_query_equals_the_definition(spark):
     fitted = catalog._fitted(df, "gbt_shallow", 3)
     got = fitted.transform(train).orderBy("loan_id").select("p_default").collect()
     assert [r[0] for r in got] == pytest.approx(list(chances), abs=1e-9)
+
+
+def test_bake_off_side_by_side_equals_in_turn(spark, tmp_path):
+    x, y = sample(300, 4, 11)
+    df, names = frame(spark, x, y)
+    df.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    plan = model.fit_preparation(rows, names)
+
+    def fit(way):
+        def one(name):
+            made = model.fit_candidate(name, rows, names, [], preparation=plan, max_iter=2, folder=str(tmp_path / way / name))
+            return model.split_metrics(made, rows.selectExpr("*", "'train' AS split"), None).collect()
+
+        return one
+
+    both = [model.bake_off(spark, model.CANDIDATES, fit(str(parallel)), parallel) for parallel in (True, False)]
+    assert both[0] == both[1] and list(both[0]) == list(model.CANDIDATES)
+
+
+def test_bake_off_runs_at_once_and_raises_failures(spark):
+    meet = threading.Barrier(3, timeout=60)
+    pools = {}
+
+    def fit(name):
+        # All three have to be under way at the same time.
+        meet.wait()
+        pools[name] = spark.sparkContext.getLocalProperty("spark.scheduler.pool")
+        return name.upper()
+
+    assert model.bake_off(spark, ["a", "b", "c"], fit) == {"a": "A", "b": "B", "c": "C"}
+    assert pools == {"a": "a", "b": "b", "c": "c"}
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+
+    def fails(name):
+        if name == "b":
+            raise ValueError(name)
+
+    with pytest.raises(ValueError, match="b"):
+        model.bake_off(spark, ["a", "b"], fails)

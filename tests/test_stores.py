@@ -4,7 +4,7 @@ import pytest
 
 from loanloom.session import use_checkpoint_dir
 from loanloom.operators.calendar import run_months
-from loanloom.operators.ledger import snapshot_slice
+from loanloom.operators.ledger import snapshot_counts, snapshot_slice
 from loanloom.sources.sinks import export_csv, export_json, write_partitions
 from loanloom.sources.stores import (
     CORRUPT, raw_months, read_csv_table, read_dated_files, read_json_table, read_raw, read_store, store_exists, union_stores,
@@ -27,6 +27,27 @@ def test_overwrite_replaces_only_its_partitions(spark, tmp_path):
     assert store_exists(spark, path)
 
 
+def test_rows_are_counted_on_their_way(spark, tmp_path):
+    """The write's own count equals the audit query, and costs no job of its own."""
+    book = spark.sql("SELECT id, add_months(DATE '2024-01-01', CAST(id % 3 AS INT)) AS snapshot_date FROM range(1000)")
+    for laid_out in (False, True):
+        path = str(tmp_path / f"t{laid_out}")
+        spark.sparkContext.setJobGroup(f"counted {laid_out}", "")
+        assert write_partitions(book, path, "snapshot_date", laid_out) == 1000
+        spark.sparkContext.setJobGroup(f"plain {laid_out}", "")
+        rows = book if laid_out else book.hint("rebalance", "snapshot_date")
+        rows.write.partitionBy("snapshot_date").parquet(f"{path}-plain")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        jobs = [len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"{g} {laid_out}")) for g in ("counted", "plain")]
+        assert jobs[0] == jobs[1] > 0
+        audit = snapshot_counts(read_store(spark, path, book.schema))
+        assert audit.selectExpr("sum(row_count)").first()[0] == 1000
+    assert write_partitions(book.where("id % 3 = 1"), path, "snapshot_date") == 333
+    assert write_partitions(book.where("id < 0"), path, "snapshot_date") == 0
+    assert write_partitions(book.where("false"), path, "snapshot_date", laid_out=True) == 0
+    assert read_store(spark, path, book.schema).count() == 1000
+
+
 def test_slice_prunes_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     write_partitions(spark.sql("SELECT id AS v, add_months(DATE '2024-01-01', CAST(id % 3 AS INT)) AS snapshot_date FROM range(9)"), path, "snapshot_date")

@@ -28,6 +28,8 @@ class Settings:
     seed: int = 42
     # Files of the as-of state; fixed once it exists.
     asof_buckets: int = 200
+    # Files of a month in the silver customer stores; 0 leaves them unbucketed.
+    store_buckets: int = 0
 
     @property
     def label_def(self) -> str:

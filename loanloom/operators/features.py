@@ -42,7 +42,8 @@ def feature_store(attributes: DataFrame, financials: DataFrame, clicks: DataFram
     """Attributes with financials and averaged clicks of the same snapshot.
 
     The month is part of the key, so one job builds all months. Clicks are
-    aggregated before they are joined.
+    aggregated before they are joined. Stores of one month, given as a constant, that are
+    bucketed by customer are joined and aggregated where they lie.
     """
     key = ["Customer_ID", "snapshot_date"]
     return keyed_join(attributes, financials, key, "left", clickstream_agg(clicks))

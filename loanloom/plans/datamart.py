@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loanloom import schemas as S
 from loanloom.config import DEFAULTS, Settings
+from loanloom.functions.cleaning import quoted
+from loanloom.functions.dates import date_literal
 from loanloom.operators import ledger
 from loanloom.operators.calendar import run_months
 from loanloom.operators.features import feature_store
+from loanloom.sources.bucketed import read_bucketed, write_bucketed
 from loanloom.sources.mart import Mart
-from loanloom.sources.sinks import write_partitions
+from loanloom.sources.sinks import counted, observed, write_partitions
 from loanloom.sources.stores import CORRUPT, raw_months, read_raw, read_store
 
 # Raw file per source.
@@ -59,18 +62,35 @@ def build_datamart(
         "financials": ledger.typed_financials(bronze("financials"), strict_parity),
         "clickstream": ledger.typed_clickstream(bronze("clickstream")),
     }
+    bucketed = month is not None and settings.store_buckets > 0
+    joined = {}
     for name, df in silver.items():
-        write(df, f"silver/{name}", mart.silver(name))
+        if bucketed and name != "loans":
+            joined[name], written[f"silver/{name}"] = _bucketed_month(df, mart.silver(name), month, settings.store_buckets)
+        else:
+            write(df, f"silver/{name}", mart.silver(name))
 
     loans = _month(read_store(spark, mart.silver("loans"), S.SILVER_LOANS), month)
     write(ledger.label_store(loans, settings), "gold/label_store", mart.gold("label_store"))
-    stores = [
-        _month(spark.read.parquet(mart.silver(name)), month)
-        for name in ("attributes", "financials", "clickstream")
-    ]
-    write(feature_store(*stores), "gold/feature_store", mart.gold("feature_store"), laid_out=False)
+    names = ("attributes", "financials", "clickstream")
+    stores = [joined[n] if bucketed else _month(spark.read.parquet(mart.silver(n)), month) for n in names]
+    # A month joined in place is one value already.
+    write(feature_store(*stores), "gold/feature_store", mart.gold("feature_store"), laid_out=bucketed)
     return written
 
 
+def _bucketed_month(df: DataFrame, path: str, month: str, buckets: int) -> tuple[DataFrame, int]:
+    """One month of a customer store, written bucketed by customer into its partition, and read from there."""
+    folder = f"{path}/snapshot_date={month}"
+    rows, seen = observed(df.drop("snapshot_date"))
+    write_bucketed(rows, folder, "Customer_ID", buckets)
+    stored = read_bucketed(df.sparkSession, folder, _ddl(rows), "Customer_ID", buckets)
+    return stored.selectExpr(*map(quoted, rows.columns), f"{date_literal(month)} AS snapshot_date"), counted(seen)
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
 def _month(df: DataFrame, month: str | None) -> DataFrame:
     return df if month is None else ledger.snapshot_slice(df, month)

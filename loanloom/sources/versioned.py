@@ -20,7 +20,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanloom.functions.cleaning import quoted
+from loanloom.sources.bucketed import read_bucketed, write_bucketed
 from loanloom.sources.files import file_system, names, read_text
 
 TRIES = 10
@@ -123,26 +123,11 @@ class VersionedTable:
         if not self.bucket_by:
             rows.write.partitionBy(*self.by).parquet(self._part(part))
             return part
-        name = f"loanloom_write_{part}"
-        by = self.bucket_by
-        writer = rows.write.format("parquet").option("path", self._part(part)).bucketBy(self.buckets, by).sortBy(by)
-        writer.saveAsTable(name)
-        # The files stay: the table is external.
-        self.spark.sql(f"DROP TABLE {name}")
+        write_bucketed(rows, self._part(part), self.bucket_by, self.buckets)
         return part
 
     def _bucketed(self, part: str) -> DataFrame:
-        """A part as a table that Spark knows to be bucketed; its name is gone once it is resolved."""
-        name = f"loanloom_read_{uuid.uuid4().hex}"
-        by = quoted(self.bucket_by)
-        self.spark.sql(
-            f"CREATE TABLE {name} ({self.schema}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by}) "
-            f"INTO {self.buckets} BUCKETS LOCATION '{self._part(part)}'"
-        )
-        try:
-            return self.spark.table(name)
-        finally:
-            self.spark.sql(f"DROP TABLE {name}")
+        return read_bucketed(self.spark, self._part(part), self.schema, self.bucket_by, self.buckets)
 
     def _put(self, manifest: Manifest) -> bool:
         """Whether the manifest is now the one of its version; False if another one is."""

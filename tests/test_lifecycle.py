@@ -9,7 +9,8 @@ from pathlib import Path
 import pytest
 
 from loanloom.config import CATEGORICAL, DIRTY_NUMERIC, Settings
-from loanloom.plans.datamart import RAW_FILES, build_datamart
+from loanloom.operators.features import feature_store
+from loanloom.plans.datamart import RAW_FILES, _bucketed_month, build_datamart
 from loanloom.plans.inference import run_inference, score_month
 from loanloom.plans.monitoring import report_tables, run_monitoring, run_reports
 from loanloom.plans.training import run_training
@@ -106,6 +107,43 @@ def test_one_month_rebuild_keeps_the_others(spark, built):
     assert build_datamart(spark, str(raw), mart, run_date="2022-03-01") == {}
 
 
+def test_bucketed_month_equals_the_plain_one(spark, built):
+    raw, mart, _, _ = built
+    month = "2023-05-01"
+    other = Mart(f"{mart.root}-bucketed")
+    settings = Settings(store_buckets=3)
+    counts = build_datamart(spark, str(raw), other, run_date=month, settings=settings)
+    # Twice, as a run that is done again.
+    assert build_datamart(spark, str(raw), other, run_date=month, settings=settings) == counts
+    plain = spark.read.parquet(mart.gold("feature_store")).where(f"snapshot_date = DATE '{month}'")
+    got = spark.read.parquet(other.gold("feature_store")).select(plain.columns)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, plain.collect()))
+    assert counts["gold/feature_store"] == counts["silver/attributes"] == plain.count() > 0
+    assert 2 * plain.count() == counts["silver/clickstream"]
+    for name in ("attributes", "financials", "clickstream"):
+        # Any reader sees the partition.
+        there = spark.read.parquet(other.silver(name))
+        assert there.count() == counts[f"silver/{name}"] and there.where(f"snapshot_date = DATE '{month}'").count() == there.count()
+
+
+def test_bucketed_stores_are_joined_in_place(spark, built):
+    raw, mart, _, _ = built
+    stores = []
+    for name in ("attributes", "financials", "clickstream"):
+        df = spark.read.parquet(mart.silver(name)).where("snapshot_date = DATE '2023-04-01'")
+        stores.append(_bucketed_month(df, f"{mart.root}-joined/{name}", "2023-04-01", 4)[0])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = feature_store(*stores)._jdf.queryExecution().executedPlan().toString()
+        unbucketed = [spark.read.parquet(mart.silver(n)) for n in ("attributes", "financials", "clickstream")]
+        plain = feature_store(*unbucketed)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert text.count("SortMergeJoin") == 2 and "Exchange" not in text and text.count("Bucketed: true") == 3
+    assert "Exchange" in plain
+
+
 def test_write_of_nothing(spark, tmp_path):
     frame = spark.range(0).selectExpr("id", "DATE '2024-01-01' AS d")
     write_partitions(frame, str(tmp_path / "t"), "d")

@@ -39,13 +39,15 @@ PERCENT = 80
 HOT_ROWS = 20_000
 HOT_LIMIT = 1_000_000
 #: Entries a map task packs before it sends them on.
-PACK = 500_000
+PACK = 300_000
 #: Blocks for each shuffle partition, so that uneven blocks even out.
 SPREAD = 2
 #: Rounds that compare one document of each n-gram with the rest, after the first.
 ROUNDS = 2
 #: A task reports n-grams that so many of its documents hold to the hot count.
 LOCAL = 8
+#: Parts a class of equal sets is dealt to when its documents look up their first one.
+PARTS = 16
 #: Bits of an n-gram's hash that go along; its block adds the rest.
 MASK40 = U64((1 << 40) - 1)
 
@@ -308,9 +310,13 @@ def jaccard_components(
     """
     sets = cut(document_sets(documents, width, percent, hot_rows))
     may = sets.where("s1 IS NOT NULL")
-    classes = may.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"))
+    # A set of its own needs no look-up; a large class of equal ones looks up in PARTS tasks.
+    classes = may.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("rep"), F.count("doc_id").alias("_many")).where("_many > 1")
+    classes = classes.selectExpr("s1", "s2", "n", "rep", f"explode(sequence(0, {PARTS - 1})) AS _part")
     member = cut(
-        may.select("doc_id", "s1", "s2", "n").join(classes, ["s1", "s2", "n"]).select("doc_id", "rep")
+        may.selectExpr("doc_id", "s1", "s2", "n", f"CAST(pmod(xxhash64(doc_id), {PARTS}) AS INT) AS _part")
+        .join(classes, ["s1", "s2", "n", "_part"], "left")
+        .selectExpr("doc_id", "coalesce(rep, doc_id) AS rep")
     )
     rows = cut(
         may.join(member.where("doc_id = rep").select("doc_id"), "doc_id", "left_semi").select(

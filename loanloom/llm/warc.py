@@ -25,14 +25,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loanloom.llm.common import partitions, scratch_dir
+from loanloom.llm.common import cut, partitions, scratch_dir
 
 #: Payloads of fewer bytes are stored with every page.
 LEAST_BYTES = 0
 #: Records of one archive file, at most.
 FILE_RECORDS = 20_000
 #: Captures of a sorted run.
-RUN_ROWS = 50_000
+RUN_ROWS = 2_000
+#: Parts a group of equal payloads is dealt to when its pages look up their response.
+PARTS = 16
 BASE32, DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 
 CDX = T.StructType(
@@ -61,26 +63,33 @@ def url_key(url: str) -> str:
 def records(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
     """page_id, url, captured, html and what the record says, one row per page.
 
-    Equal payloads are found by length and two digests. The largest page_id of each group
+    Equal payloads are found by length and digest. The largest page_id of each group
     is the response; if rows repeat that page_id, each of them is one. Rows without
-    page_id are responses. Shuffled are digests; a group's size does not matter.
+    page_id are responses. Groups are formed by digests alone, a large one in PARTS tasks; pages
+    meet the decision about them by page, so no payload gathers the html of its copies.
     """
     body = pages.selectExpr(
         "CAST(page_id AS BIGINT) AS page_id", "coalesce(url, '') AS url", "coalesce(html, '') AS html"
     ).selectExpr(
         "*", "CAST(octet_length(html) AS BIGINT) AS payload_bytes", "sha2(html, 256) AS same",
+        "xxhash64(page_id, url, html) AS _row",
         # The tables give no time of capture: a second for each id from a fixed day on.
         "date_format(timestamp_seconds(1704067200 + coalesce(page_id, 0)), \"yyyy-MM-dd'T'HH:mm:ss'Z'\") AS captured",
     )
-    kept = (
-        body.where(f"payload_bytes >= {least_bytes}").groupBy("same", "payload_bytes").agg(F.max("page_id").alias("kept"))
-        .selectExpr("same AS _same", "payload_bytes AS _bytes", "kept")
+    known = cut(
+        body.where(f"payload_bytes >= {least_bytes} AND page_id IS NOT NULL")
+        .selectExpr("page_id", "same", "payload_bytes", "_row", f"CAST(pmod(_row, {PARTS}) AS INT) AS _part")
+    )
+    groups = known.groupBy("same", "payload_bytes").agg(F.max("page_id").alias("kept"), F.min("page_id").alias("least"))
+    groups = groups.where("least < kept").selectExpr("same", "payload_bytes", "kept", f"explode(sequence(0, {PARTS - 1})) AS _part")
+    revisits = (
+        known.join(groups, ["same", "payload_bytes", "_part"]).where("page_id < kept")
+        .selectExpr("_row AS _r", "same AS _same", "page_id AS _page", "kept").distinct()
     )
-    both = body.join(kept, F.expr("same = _same AND payload_bytes = _bytes"), "left")
+    both = body.join(revisits, F.expr("_row = _r AND same = _same AND page_id = _page"), "left")
     return both.selectExpr(
         "page_id", "url", "captured", "html", "payload_bytes", f"{base32_sha1('html')} AS payload_digest",
-        "CASE WHEN page_id < kept THEN 'revisit' ELSE 'response' END AS record_type",
-        "CASE WHEN page_id < kept THEN kept END AS refers_to",
+        "IF(kept IS NULL, 'response', 'revisit') AS record_type", "kept AS refers_to",
     )
 
 
@@ -110,7 +119,11 @@ def write_archive(pages: DataFrame, path: str, run: str, least_bytes: int = LEAS
 
 
 def read_archive(spark, path: str, run: str) -> DataFrame:
-    """The records under ``path``: header fields and payload. A wrong length raises an error."""
+    """The records under ``path``: header fields and payload.
+
+    Length and digest of a response are those of the payload as it was read; where its header
+    says otherwise, an error is raised. A revisit, which has no payload, has its header's.
+    """
     pieces = spark.read.option("lineSep", f"WARC/1.1\r\nWARC-Run: {run}\r\n").text(path).where("trim('\\r\\n ' FROM value) <> ''")
     parts = pieces.selectExpr(
         "substring_index(value, '\\r\\n\\r\\n', 1) AS head",
@@ -127,14 +140,43 @@ def read_archive(spark, path: str, run: str) -> DataFrame:
         "CAST(nullif(regexp_extract(head, 'WARC-Refers-To: <urn:page:(-?\\\\d+)>', 1), '') AS BIGINT) AS refers_to",
         f"CAST({field('Content-Length')} AS BIGINT) AS content_length", "rest",
     )
-    return out.withColumn(
-        "payload",
-        F.expr(
-            "CASE WHEN octet_length(rest) = content_length + 4"
-            " THEN CAST(substring(CAST(rest AS BINARY), 1, CAST(content_length AS INT)) AS STRING)"
-            " ELSE raise_error(concat('record of page ', page_id, ' has ', octet_length(rest), ' bytes')) END"
-        ),
-    ).drop("rest", "content_length")
+    wrong = "raise_error(concat('record of page ', page_id, ' is damaged: ', octet_length(rest), ' bytes'))"
+    cut_out = "CAST(substring(CAST(rest AS BINARY), 1, CAST(content_length AS INT)) AS STRING)"
+    whole = out.withColumn(
+        "payload", F.expr(f"CASE WHEN octet_length(rest) = content_length + 4 THEN {cut_out} ELSE {wrong} END")
+    )
+    seen = whole.withColumns(
+        {"_bytes": F.expr("CAST(octet_length(payload) AS BIGINT)"), "_digest": F.expr(base32_sha1("payload"))}
+    )
+    checked = {
+        c: F.expr(f"CASE WHEN record_type = 'revisit' THEN {c} WHEN {c} = {own} THEN {own} ELSE {wrong} END")
+        for c, own in (("payload_bytes", "_bytes"), ("payload_digest", "_digest"))
+    }
+    return seen.withColumns(checked).drop("rest", "content_length", "_bytes", "_digest")
+
+
+def resolved(archive: DataFrame) -> DataFrame:
+    """Captures without payload, each revisit with length and digest of the response it names.
+
+    A revisit whose response is missing, or was another one by its own header, is an error.
+    A response that much refers to is looked up in PARTS tasks.
+    """
+    rows = cut(archive.select(*CDX.names[1:]))
+    again = rows.where("record_type = 'revisit'")
+    named = again.selectExpr("refers_to AS _page").distinct()
+    first = rows.where("record_type = 'response'").selectExpr("page_id AS _page", "payload_bytes AS _bytes", "payload_digest AS _digest")
+    # Rows may repeat a page_id with other payloads: the header's digest tells which is meant.
+    first = first.join(named, "_page", "left_semi").distinct().selectExpr("*", f"explode(sequence(0, {PARTS - 1})) AS _part")
+    found = again.withColumn("_mine", F.expr(f"CAST(pmod(xxhash64(page_id), {PARTS}) AS INT)")).join(
+        first, F.expr("refers_to = _page AND _mine = _part AND payload_digest = _digest AND payload_bytes = _bytes"), "left"
+    )
+    wrong = "raise_error(concat('page ', page_id, ' revisits ', refers_to, ', which is missing or another payload'))"
+    own = ["page_id", "url", "captured", "record_type"]
+    checked = [f"CASE WHEN _digest IS NOT NULL THEN {e} ELSE {wrong} END AS {c}" for e, c in (("_bytes", "payload_bytes"), ("_digest", "payload_digest"))]
+    names = CDX.names[1:]
+    return rows.where("record_type = 'response'").select(*names).union(
+        found.selectExpr(*own, *checked, "refers_to").select(*names)
+    )
 
 
 class LoserTree:
@@ -221,7 +263,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def capture_index(archive: DataFrame) -> DataFrame:
     """Captures in global order of urlkey, captured and page_id, one row per record."""
-    rows = archive.selectExpr(f"{url_key('url')} AS urlkey", *CDX.names[1:])
+    rows = resolved(archive).selectExpr(f"{url_key('url')} AS urlkey", *CDX.names[1:])
     n = partitions(archive.sparkSession)
     ranged = rows.repartitionByRange(n, "urlkey", "captured", "page_id")
     return ranged.mapInArrow(_merged, CDX)

@@ -8,7 +8,9 @@ in which a match does not count. The sum of weights is divided by a power of the
 mapped to 0 to 1, the threshold of the fit at one half.
 
 The lexicon is fitted on at most about ``sample`` labelled rows (a documented bound, picked
-by a hash of the id); counting runs in Spark, and only entries that pass leave it.
+by a hash of the id). Of those with one label whose ALIKE smallest word hashes agree, mostly
+copies, one is read; each text keeps its own label. Counting runs in Spark, and only
+entries that pass leave it; how many there are is bounded by the sample's words.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from loanloom.llm.common import cut
 
 #: Labelled rows the fit reads, at most about so many.
 SAMPLE = 12_000
+#: Texts of one label with so many smallest word hashes in common are read once.
+ALIKE = 3
 #: An entry's least share of toxic documents; other documents count OTHERS times.
 PURITY, OTHERS = 0.9, 3
 #: A longer beginning is as good as a shorter one if it keeps this share of toxic documents.
@@ -37,8 +41,6 @@ KEPT = 0.95
 SHORTEST, LONGEST = 3, 9
 #: The sum of weights is divided by (words) ** LENGTH_POWER.
 LENGTH_POWER = 0.1
-#: Entries of the lexicon, at most.
-ENTRIES = 20_000
 
 #: Letters that look like Latin ones, and what is written for letters.
 LOOKALIKES = {
@@ -138,11 +140,9 @@ def training_rows(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE)
     share = min(1.0, sample / max(1, usable.count()))
     picked = usable.where(f"pmod(xxhash64(doc_id), 1000000) < {int(share * 1_000_000)}")
     texts = documents.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
-    # Copies tell nothing new: texts whose three smallest word hashes agree are one.
-    sketch = "slice(array_sort(transform(array_distinct(split(coalesce(text, ''), ' ')), w -> xxhash64(w))), 1, 3)"
-    return texts.groupBy(F.expr(sketch).alias("s")).agg(
-        F.min("text").alias("text"), F.max("toxic").alias("toxic")
-    ).select("text", "toxic")
+    # Copies tell nothing new. A text with the other label does, however alike it is.
+    sketch = f"slice(array_sort(transform(array_distinct(split(coalesce(text, ''), ' ')), w -> xxhash64(w))), 1, {ALIKE})"
+    return texts.groupBy(F.expr(sketch).alias("s"), "toxic").agg(F.min("text").alias("text")).select("text", "toxic")
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,7 +214,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, exception
         f"entry <> '' AND entry NOT LIKE '% ' AND toxic >= {support}"
         f" AND toxic >= {PURITY} * (toxic + {OTHERS} * others + 0.3)"
     )
-    passing = {r.entry: (r.toxic, r.others) for r in pure.orderBy(F.desc("toxic"), "entry").limit(ENTRIES).collect()}
+    passing = {r.entry: (r.toxic, r.others) for r in pure.collect()}
     kept = {e: passing[e] for e in chosen({e: v[0] for e, v in passing.items()})}
     weights = {
         e: log((a + 0.5) / (n_toxic + 1)) - log((b + 0.5) / (n_others + 1)) for e, (a, b) in sorted(kept.items())
@@ -229,7 +229,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, exception
         found = [
             r.w
             for r in beginnings.withColumn("n", lengths).withColumn("head", F.expr("substring(w, 1, n)"))
-            .join(starts, "head").select("w").distinct().limit(ENTRIES).collect()
+            .join(starts, "head").select("w").distinct().collect()
         ]
     fold = Fold()
     phrases = sorted({*found, *(folded(p, fold).strip() for p in exceptions)} - {""})

@@ -6,7 +6,9 @@ no segment is left, a segment under one host and template becomes a wildcard if
 an id, or if it is one of many words and holds a small share of the distinct URLs there. How
 often a URL was captured does not count. Sibling templates whose share of bad labels does not differ from their common share
 beyond chance are merged into one branch. A branch is rejected when its smoothed share of
-good labels falls below ``least_purity``.
+good labels falls below ``least_purity``. It is smoothed towards the share its template has over all
+hosts, and that towards the overall share: so hosts without labels are judged by how their
+templates fare elsewhere, and a host's own labels weigh more the more there are.
 
 All counts are combined before they are shuffled; joins of URLs with what was found about a
 host are salted, so a host with a third of all URLs is spread over SALTS keys.
@@ -90,10 +92,21 @@ def templates(urls: DataFrame) -> DataFrame:
         "split(ltrim('/', path), '/') AS segments", "'' AS parent", "'' AS template",
     )
     active = cut(active)
-    deepest = active.selectExpr("coalesce(max(size(segments)), 0)").first()[0]
-    done = active.limit(0).select("host", "path", "parent", "template")
-    for level in range(deepest):
-        here = active.withColumn("segment", F.expr(f"segments[{level}]")).withColumn("id", F.expr(f"segment RLIKE r'{ID}'"))
+    done, level = active.limit(0).select("host", "path", "parent", "template"), 0
+    while not active.isEmpty():
+        # Among fewer URLs no word is one of MANY, here or further down: what is left of them is plain.
+        large = active.groupBy("host", "template").agg(F.count("*").alias("urls")).where(f"urls >= {MANY}")
+        here = active.join(_spread(large), ["host", "template", "salt"], "left")
+        here = cut(here.withColumn("segment", F.expr(f"segments[{level}]")).withColumn("id", F.expr(f"segment RLIKE r'{ID}'")))
+        rest = f"transform(slice(segments, {level + 1}, size(segments)), s -> IF(s RLIKE r'{ID}', '*', s))"
+        plain = here.where("urls IS NULL").selectExpr("host", "path", "template", f"{rest} AS names")
+        done = done.union(
+            plain.selectExpr(
+                "host", "path", "array_join(concat(array(template), slice(names, 1, size(names) - 1)), '/') AS parent",
+                "array_join(concat(array(template), names), '/') AS template",
+            )
+        )
+        here = here.where("urls IS NOT NULL")
         values = here.where("NOT id").groupBy("host", "template", "segment").agg(F.count("*").alias("n"))
         many = values.groupBy("host", "template").agg(F.count("*").alias("k"), F.sum("n").alias("all")).where(f"k >= {MANY}")
         # At most MANY values hold such a share.
@@ -107,15 +120,17 @@ def templates(urls: DataFrame) -> DataFrame:
                 "concat(template, '/', CASE WHEN id OR NOT array_contains(own, segment) THEN '*' ELSE segment END) AS template",
             )
         )
-        done = done.union(active.where(f"size(segments) = {level + 1}").select("host", "path", "parent", "template"))
-        active = active.where(f"size(segments) > {level + 1}")
+        level += 1
+        done = done.union(active.where(f"size(segments) = {level}").select("host", "path", "parent", "template"))
+        active = active.where(f"size(segments) > {level}")
     found = _salted(urls).join(done, ["host", "path"])
     return found.select("page_id", "host", "path", "salt", "parent", "template")
 
 
 def branches(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """(host, template, branch, labelled, bad, purity) of every template.
+    """(host, template, branch, labelled, bad, elsewhere, purity) of every template.
 
+    ``elsewhere`` is how many labels the template has on any host.
     ``labels`` says of a page, its doc_id is a page_id, whether it is good (1) or bad (0);
     pages labelled both ways are bad.
     """
@@ -129,6 +144,12 @@ def branches(rows: DataFrame, labels: DataFrame) -> DataFrame:
     leaves = cut(leaves)
     total = leaves.selectExpr("coalesce(sum(labelled), 0) AS labelled", "coalesce(sum(bad), 0) AS bad").first()
     good = 1.0 - (total.bad / total.labelled if total.labelled else 0.0)
+    spread = f"CAST(pmod(xxhash64(host), {SALTS}) AS INT) AS salt"
+    alike = leaves.groupBy("template").agg(F.sum("labelled").alias("tl"), F.sum("bad").alias("tb")).where("tl > 0")
+    leaves = leaves.selectExpr("*", spread).join(_spread(alike), ["template", "salt"], "left").selectExpr(
+        "host", "parent", "template", "labelled", "bad", "coalesce(tl, 0) AS elsewhere",
+        f"(coalesce(tl - tb, 0) + {PRIOR} * {good!r}D) / (coalesce(tl, 0) + {PRIOR}) AS prior",
+    )
     pools = leaves.groupBy("host", "parent").agg(F.sum("labelled").alias("pl"), F.sum("bad").alias("pb"))
     compared = leaves.join(pools, ["host", "parent"]).withColumn("share", F.expr("coalesce(pb / nullif(pl, 0), 0)"))
     compared = compared.withColumn(
@@ -137,8 +158,8 @@ def branches(rows: DataFrame, labels: DataFrame) -> DataFrame:
     ).withColumn("branch", F.expr("CASE WHEN differs THEN template ELSE concat(parent, '/~') END"))
     merged = compared.groupBy("host", "parent", "branch").agg(F.sum("labelled").alias("bl"), F.sum("bad").alias("bb"))
     return compared.join(merged, ["host", "parent", "branch"]).selectExpr(
-        "host", "template", "branch", "bl AS labelled", "bb AS bad",
-        f"(bl - bb + {PRIOR} * {good!r}D) / (bl + {PRIOR}) AS purity",
+        "host", "template", "branch", "bl AS labelled", "bb AS bad", "elsewhere",
+        f"(bl - bb + {PRIOR} * prior) / (bl + {PRIOR}) AS purity",
     )
 
 
@@ -153,11 +174,11 @@ def url_verdicts(
     Null URLs and URLs without ``://`` have empty host and path, no rule, and the verdict
     of the empty template. Repeated rows repeat their result, rows without page_id have no
     label. Labels must be about pages, as those of ``rule_labels`` are: their doc_id is a
-    page_id. What neither a rule nor a label speaks against is allowed, a branch without
-    labels too. Other columns of either table are not read.
+    page_id. What neither a rule nor a label speaks against is allowed, a template without
+    labels on any host too. Other columns of either table are not read.
     """
     rows = cut(templates(split_urls(pages)))
-    rejected = branches(rows, labels.select("doc_id", "quality")).where(f"labelled > 0 AND purity < {least_purity}")
+    rejected = branches(rows, labels.select("doc_id", "quality")).where(f"labelled + elsewhere > 0 AND purity < {least_purity}")
     rejected = rejected.select("host", "template", F.lit("block").alias("judged")).distinct()
     joined = rows.join(_spread(rejected), ["host", "template", "salt"], "left")
     return joined.selectExpr(

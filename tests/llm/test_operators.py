@@ -1,10 +1,13 @@
 """The training-data operators against brute force, round trips and held-out labels."""
 
 import base64
+import gzip
 import hashlib
 import itertools
 import random
 import re
+import time
+import zlib
 
 import numpy as np
 import pytest
@@ -273,6 +276,37 @@ def test_warc_round_trip(spark, monkeypatch):
     assert len(got) == 41 and keys == sorted(keys)
 
 
+def test_warc_reads_back_what_it_reports(spark, tmp_path):
+    """A payload that was cut or changed, a missing response, repeated and empty pages."""
+    rows = [(i, f"http://h.org/{i}", html) for i, html in enumerate(["<p>one</p>", "<p>two</p>", "<p>one</p>", "", None])]
+    rows += [(7, "http://h.org/7", "seven"), (7, "http://h.org/7", "other"), (3, "u", "seven"), (None, "u", "seven")]
+    # Other columns may have any name.
+    pages = spark.createDataFrame([(*r, "x", 5) for r in rows], "page_id long, url string, html string, payload string, kept int")
+    path = str(tmp_path / "good")
+    got = warc.archived(pages, path=path).select("page_id", "record_type", "payload_bytes", "refers_to").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted([
+        (0, "revisit", 10, 2), (1, "response", 10, None), (2, "response", 10, None), (3, "revisit", 0, 4), (4, "response", 0, None),
+        (7, "response", 5, None), (7, "response", 5, None), (3, "revisit", 5, 7), (None, "response", 5, None),
+    ], key=repr)
+    assert warc.archived(pages.limit(0), path=str(tmp_path / "none")).count() == 0
+
+    def changed(name, edit):
+        target = tmp_path / name
+        target.mkdir()
+        whole = b"".join(gzip.decompress(f.read_bytes()) for f in sorted((tmp_path / "good").glob("*.gz")))
+        assert edit(whole) != whole
+        (target / "part-0.txt.gz").write_bytes(gzip.compress(edit(whole)))
+        return warc.capture_index(warc.read_archive(spark, str(target), "good"))
+
+    with pytest.raises(Exception, match="damaged"):
+        changed("cut", lambda b: b.replace(b"<p>two</p>", b"<p>two<")).collect()
+    with pytest.raises(Exception, match="damaged"):
+        changed("other", lambda b: b.replace(b"<p>two</p>", b"<p>TWO</p>")).collect()
+    with pytest.raises(Exception, match="missing or another"):
+        changed("lost", lambda b: b.replace(b"Refers-To: <urn:page:2>", b"Refers-To: <urn:page:1>")).collect()
+    assert changed("same", lambda b: b.replace(b"Content-Type", b"content-type")).count() == len(rows)
+
+
 def test_loser_tree():
     rng = random.Random(6)
     for n in (0, 1, 2, 3, 7, 8):
@@ -315,6 +349,41 @@ def test_url_labels_are_about_urls(spark, tmp_path):
     assert got[300] == (None, "block") and got[301] == (None, "allow")
 
 
+def test_url_templates_are_judged_by_other_hosts_too(spark):
+    rows = [(i, f"http://h{i % 4}.com/promo/{i}") for i in range(40)] + [(100 + i, f"http://h{i % 4}.com/news/{i}") for i in range(40)]
+    rows += [(200, "http://new.net/promo/7"), (201, "http://new.net/news/7"), (202, "http://new.net/promo/x"), (203, None)]
+    # On this host the template is good, by labels of its own.
+    rows += [(300 + i, f"http://fine.net/promo/{i}") for i in range(40)]
+    told = [(i, int(i >= 100)) for i in (*range(40), *range(100, 140), *range(300, 336))] + [(None, 0)]
+    pages = spark.createDataFrame([(*r, "h", "t", 1) for r in rows], "page_id long, url string, host string, template string, salt int")
+    labels = spark.createDataFrame(told, "doc_id long, quality int")
+    got = {r.page_id: r for r in urls.url_verdicts(pages, labels).collect()}
+    assert len(got) == len(rows)
+    assert got[200].verdict == "block" and got[200].template == "/promo/*"
+    assert {got[i].verdict for i in (201, 202, 203)} == {"allow"}
+    assert {got[300 + i].verdict for i in range(40)} == {"allow"} and {got[i].verdict for i in range(40)} == {"block"}
+    # By the definition: the template's share over all hosts, then the host's own.
+    bad, n = 40, 116
+    good = 1 - bad / n
+    over_all = (36 + urls.PRIOR * good) / (76 + urls.PRIOR)
+    found = {(r.host, r.template): r for r in urls.branches(urls.templates(urls.split_urls(pages)), labels).collect()}
+    assert found["new.net", "/promo/*"].purity == pytest.approx(over_all)
+    assert found["fine.net", "/promo/*"].purity == pytest.approx((36 + urls.PRIOR * over_all) / (36 + urls.PRIOR))
+    assert found["h1.com", "/promo/*"].purity == pytest.approx(urls.PRIOR * over_all / (10 + urls.PRIOR))
+    assert urls.url_verdicts(pages.limit(0), labels).count() == 0 and urls.url_verdicts(pages, labels.limit(0)).where("verdict = 'block'").count() == 0
+
+
+def test_a_deep_path_costs_no_level(spark):
+    deep = "/".join(f"s{i % 90}" if i % 3 else str(i) for i in range(5000))
+    rows = [(1, f"http://h.net/{deep}")] + [(10 + i, f"http://h.net/u/{a}{i}x/p") for i, a in enumerate("abcdefghij" * 8)]
+    began = time.time()
+    got = {r.page_id: r for r in urls.templates(urls.split_urls(spark.createDataFrame(rows, "page_id long, url string"))).collect()}
+    assert time.time() - began < 60
+    assert got[1].template == "/" + "/".join(f"s{i % 90}" if i % 3 else "*" for i in range(5000))
+    assert got[1].parent == got[1].template[: got[1].template.rindex("/")]
+    assert {got[10 + i].template for i in range(80)} == {"/u/*/p"}
+
+
 def test_url_templates_do_not_depend_on_captures_or_depth(spark):
     paths = [f"/item/{1000 + i}" for i in range(9)] + ["/about", "/jobs", "/faq", "/shop", "/one/two", "", "/"]
     paths += [f"/u/{a}{b}/posts" for a in "abcdefghij" for b in "klmnopq"] + [f"/a/b/c/spam/{i}" for i in range(30)]
@@ -428,6 +497,21 @@ def test_toxicity_folds_and_excepts():
     assert lexicon.raw("the idiotic savant", automaton, table) == 0 and lexicon.score(lexicon.raw("", automaton, table)) == 0
 
 
+def test_toxicity_fit_keeps_every_label(spark):
+    """A toxic text beside a clean one with the same smallest word hashes; copies count once."""
+    words = spark.range(60).selectExpr("concat('w', id) AS w").selectExpr("w", "xxhash64(w) AS h").orderBy("h").collect()
+    shared, others = [r.w for r in words[:3]], [r.w for r in words[3:]]
+    texts = [" ".join(shared + others[:20]), " ".join(shared + others[20:40] + others[:1]), " ".join(others)]
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(i, texts[k % 3]) for k, i in enumerate(ids[:12])] + [(900, None), (None, "lost")]
+    told = spark.createDataFrame([(i, 1, int(t == texts[1])) for i, t in rows[:12]] + [(None, 0, 1)], "doc_id long, quality int, toxic int")
+    got = {(r.text, r.toxic) for r in toxicity.training_rows(documents(spark, rows), told).collect()}
+    assert got == {(texts[0], 0), (texts[1], 1), (texts[2], 0)}
+    empty = toxicity.toxicity(documents(spark, rows), told.limit(0))
+    assert {r.score for r in empty.collect()} == {0.0} and empty.count() == len(rows)
+    assert toxicity.toxicity(documents(spark, rows).limit(0), told).count() == 0
+
+
 def test_toxicity_held_out(spark):
     rng = random.Random(8)
     rows, labels = [], []

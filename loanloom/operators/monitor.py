@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from loanloom.config import DEFAULTS, Settings
 from loanloom.functions.scoring import MICRO
 from loanloom.operators.metrics import (
-    bin_counts,
+    BINS,
+    baseline_shape,
+    bin_sums,
     cumulate,
     exprs,
     psi_value,
@@ -16,6 +18,7 @@ from loanloom.operators.metrics import (
     round_to,
     score_counts,
     with_baseline,
+    with_bin,
 )
 from loanloom.operators.skew import keyed_join
 
@@ -70,9 +73,10 @@ def cohort_metrics(
     digits: int | None = 4,
 ) -> DataFrame:
     """Monitoring rows from the histogram of each cohort: (cohort, micro, n, positive, bad, good)."""
-    rows = cumulate(with_baseline(hist, baseline, production_version), COHORT)
+    shape = baseline_shape(baseline)
+    rows = cumulate(with_bin(hist, shape, production_version), COHORT)
     ranking = ranking_aggs()
-    totals = rows.groupBy(*COHORT).agg(
+    counted = rows.groupBy(*COHORT).agg(
         *exprs(
             "sum(n) AS n_scored",
             "sum(bad) AS n_bad",
@@ -80,11 +84,12 @@ def cohort_metrics(
             "sum(positive) AS n_positive",
             "sum(CAST(micro * n AS DOUBLE)) AS micros",
             "sum(CASE WHEN micro IS NOT NULL THEN n END) AS n_with_score",
-            "max(expected) AS expected",
             *[f"{e} AS {name}" for name, e in ranking.items()],
-            f"{bin_counts()} AS binned",
+            *bin_sums(),
         )
     )
+    binned = f"array({', '.join(f'b{i}' for i in range(BINS))}) AS binned"
+    totals = with_baseline(counted, shape, "expected", production_version).selectExpr("*", binned)
     enough = f"n_labelled >= {settings.min_labelled}"
     measured = f"{enough} AND auc IS NOT NULL"
     numbers = {

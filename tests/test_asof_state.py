@@ -7,6 +7,7 @@ import pytest
 
 from loanloom.operators import asof_state as state_of
 from loanloom.operators.features import asof_features
+from loanloom.plans import catalog
 
 MONTHS = [dt.date(2024, m, 1) for m in range(1, 9)]
 SNAPS = "Customer_ID string, snapshot_date date, a double, b string"
@@ -91,3 +92,18 @@ def test_the_state_is_not_shuffled(spark, tmp_path):
     assert text.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in text
     assert text.index("Exchange hashpartitioning") < text.index("Bucketed: true")
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("loanloom_")]
+
+
+def test_periods_read_what_arrived_in_them(spark, tmp_path):
+    orders = spark.range(300).selectExpr(
+        "id AS o_orderkey", "id % 40 AS o_custkey", "add_months(TIMESTAMP_NTZ '1995-01-01', CAST(id % 80 AS INT)) AS d"
+    ).selectExpr("o_orderkey", "o_custkey", "CAST(d AS TIMESTAMP_NTZ) AS o_orderdate")
+    lines = orders.selectExpr(
+        "o_orderkey AS l_orderkey", "CAST(add_months(o_orderdate, 1) AS TIMESTAMP_NTZ) AS l_shipdate",
+        "0.05D AS l_discount", "CAST(o_orderkey AS DOUBLE) AS l_quantity",
+    )
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    found = catalog.asof_incremental(spark, str(tmp_path))
+    assert not [f for f in found.inputFiles() if "lineitem" in f]
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(map(tuple, catalog.asof_features(spark, str(tmp_path)).select(found.columns).collect()), key=repr)

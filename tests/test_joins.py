@@ -75,6 +75,16 @@ def test_asof_keeps_rows_without_key(spark):
     assert sorted((r["x"] or 0) for r in asof_join(left, right, "k", "t", "ft").collect()) == [0, 0, 1]
 
 
+def test_asof_reads_the_right_side_once(spark):
+    left = spark.range(50).selectExpr("CAST(id % 9 AS STRING) AS k", "date_add(DATE '2024-01-01', CAST(id AS INT)) AS t")
+    right = spark.range(77).selectExpr(
+        "CAST(id % 7 AS STRING) AS k", "date_add(DATE '2024-01-01', CAST(id AS INT)) AS ft", "id AS x", "CAST(NULL AS STRING) AS y"
+    )
+    got = asof_join(left, right, "k", "t", "ft")
+    assert got._jdf.queryExecution().executedPlan().toString().count("Range (0, 77,") == 1
+    assert got.count() == 50 and got.where("x IS NULL").count() == got.where("ft IS NULL").count() < 50
+
+
 def test_latest_per_is_limited_before_the_shuffle(spark):
     df = spark.range(1000).selectExpr("id % 3 AS k", "id AS v")
     out = latest_per(df, ["k"], ["v"])

@@ -250,3 +250,16 @@ def test_bake_off_runs_at_once_and_raises_failures(spark):
 
     with pytest.raises(ValueError, match="b"):
         model.bake_off(spark, ["a", "b"], fails)
+
+
+def test_bins_are_searched_not_listed(spark):
+    inf, nan = float("inf"), float("nan")
+    values = [-inf, -1e300, -2.5, -1.0, -0.0, 0.0, 0.3, 1.0, 7.0, 1e300, inf, nan, None]
+    edges = ((-1.0, 0.0, 1.0), (-inf, -0.0, 7.0), (), (-inf,))
+    df = spark.createDataFrame([(v,) * 4 for v in values], "a double, b double, c double, d double")
+    got = boosting.binned(df, list("abcd"), edges, "a")
+    for row, v in zip(got.collect(), values):
+        for i, e in enumerate(edges):
+            missing = v is None or v != v
+            assert row[f"b{i}"] == (len(e) if missing else sum(x < v for x in e))
+    assert "lambda" not in got._jdf.queryExecution().optimizedPlan().toString()
